@@ -271,7 +271,7 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
         for name, vector in zip(columns, encoded)
     ]
     tall = rows.select("o_orderkey", F.inline(F.array(*cells)))
-    return tall.select("o_orderkey", "column_name", F.posexplode("dense").alias("slot", "value")).where("value <> 0")
+    return tall.select("o_orderkey", "column_name", F.posexplode_outer("dense").alias("slot", "value")).where("value <> 0")
 
 
 @registered

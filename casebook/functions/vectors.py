@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 
 def slots(df: DataFrame, keys: Sequence[str], vector: str, slot: str = "slot", value: str = "value") -> DataFrame:
-    """One row per non-zero vector slot."""
+    """One row per non-zero vector slot.
+
+    The outer form of explode keeps Catalyst from adding a size check that would compute the vector again.
+    """
     dense = df.select(*keys, vector_to_array(vector).alias("_values"))
-    return dense.select(*keys, F.posexplode("_values").alias(slot, value)).where(F.col(value) != 0)
+    return dense.select(*keys, F.posexplode_outer("_values").alias(slot, value)).where(F.col(value) != 0)

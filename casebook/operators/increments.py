@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casebook.schema import FIRST_DATE, KEY, RECEIVED
+from casebook.workspace import write_table
 
 
 def high_water_mark(store: DataFrame, first_date: str = FIRST_DATE, received: str = RECEIVED) -> DataFrame:
@@ -27,8 +28,9 @@ def incremental_slice(
     """Records of ``feed`` from the store's mark on (and before ``to_date``) that the store lacks.
 
     One record per key is kept: downloads of neighbouring windows repeat their shared day. The
-    slice is small beside the store, so the store's keys are first cut down to those in the slice
-    (the store is streamed past the slice's keys) and only those are anti-joined.
+    slice is written first, so that appending it to the store later cannot move the mark under it,
+    and because Catalyst then knows how small it is beside the store: the store's keys are cut
+    down to those in the slice by a broadcast where it fits, and only those are anti-joined.
     """
     mark = high_water_mark(store, first_date, received).scalar()
     due = feed.where(F.col(received) >= mark)
@@ -37,7 +39,8 @@ def incremental_slice(
     others = [F.col(name) for name in feed.columns if name != key]
     copies = Window.partitionBy(key).orderBy(F.col(received).desc(), *others)
     new = due.withColumn("copy", F.row_number().over(copies)).where("copy = 1").drop("copy")
-    replayed = store.select(key).join(due.select(key), key, "left_semi")
+    new = write_table(new, "slice")
+    replayed = store.select(key).join(new.select(key), key, "left_semi")
     return new.join(replayed, key, "left_anti")
 
 

@@ -27,7 +27,7 @@ def split_frames(df: DataFrame, test_share: float = TEST_SHARE, key: str = KEY)
 def class_balance(df: DataFrame, label: str = TARGET) -> DataFrame:
     """Rows per class (NULL is a class) and its share of all rows."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("class_count"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("class_count")).scalar()
     return counts.withColumn("share", F.col("class_count") / total)
 
 

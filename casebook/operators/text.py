@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions.vectors import slots
@@ -32,11 +32,17 @@ def tfidf_hashed(df: DataFrame, key: str, column: str, buckets: int = TEXT_BUCKE
     return slots(weighted, [key], "tfidf", "bucket", "tfidf")
 
 
+def _each(words: str | Column) -> Column:
+    """One row per word. Outer, or Catalyst would split the text again just to check that it has words."""
+    return F.explode_outer(words)
+
+
 def term_frequencies(df: DataFrame, key: str, column: str) -> DataFrame:
     """Count of every word per record."""
     words = tokenize(df.select(key, column), column)
     return (
-        words.select(key, F.explode("words").alias("term"))
+        words.select(key, _each("words").alias("term"))
+        .where("term IS NOT NULL")
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -45,7 +51,7 @@ def term_frequencies(df: DataFrame, key: str, column: str) -> DataFrame:
 def document_frequencies(df: DataFrame, column: str) -> DataFrame:
     """Records per word. Words repeat within a record only once, so only the vocabulary is shuffled."""
     words = tokenize(df.select(column), column)
-    terms = words.select(F.explode(F.array_distinct("words")).alias("value"))
+    terms = words.select(_each(F.array_distinct("words")).alias("value")).where("value IS NOT NULL")
     return terms.groupBy("value").agg(F.count(F.lit(1)).alias("frequency"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from casebook.operators.promotion import append_report, latest_model, promotion_gate, report_row
 from casebook.operators.quality import accepted_rows, quarantine_columns, rejected_columns, require_columns
-from casebook.operators.sampling import split_frames
+from casebook.operators.sampling import split_frames, train_test_split
 from casebook.plans.features import fit_features, join_models
 from casebook.plans.training import fit_forest, fit_label_index, training_metrics
 from casebook.schema import (
@@ -51,17 +51,17 @@ def train(accepted: DataFrame, run: TrainingRun, seed: int = 42) -> PipelineMode
     """Fit on the training split, write vectors, metrics and the model that takes raw records."""
     spark = accepted.sparkSession
     labelled = accepted.where(F.col(TARGET).isNotNull())
-    training, test = split_frames(labelled)
-    features = fit_features(training)
+    tagged = train_test_split(labelled)
+    features = fit_features(tagged.where("split = 'train'"))
     features.write().overwrite().save(run.path("features"))
-    vectors = {}
-    for side, rows in (("train", training), ("test", test)):
-        features.transform(rows).select(KEY, SCALED, TARGET).write.parquet(run.path(f"vectors/split={side}"))
-        vectors[side] = spark.read.parquet(run.path(f"vectors/split={side}"))
-    labels = fit_label_index(vectors["train"])
+    vectors = features.transform(tagged).select(KEY, SCALED, TARGET, "split")
+    vectors.write.partitionBy("split").parquet(run.path("vectors"))
+    vectors = spark.read.parquet(run.path("vectors"))
+    training = vectors.where("split = 'train'")
+    labels = fit_label_index(training)
     labels.write().overwrite().save(run.path("label_index"))
-    forest = fit_forest(vectors["train"], labels, seed)
-    scored = forest.transform(spark.read.parquet(run.path("vectors")))
+    forest = fit_forest(training, labels, seed)
+    scored = forest.transform(vectors)
     training_metrics(scored).write.parquet(run.path("metrics"))
     model = join_models(features, forest)
     model.write().overwrite().save(run.model)

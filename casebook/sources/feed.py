@@ -37,14 +37,17 @@ def write_envelope(records: DataFrame, path: str) -> None:
     records.select(F.struct(*texts).alias(PAYLOAD)).write.mode("append").json(path)
 
 
-def append_to_store(records: DataFrame, path: str) -> None:
-    """Append to the store, partitioned by year of receipt.
+def append_to_store(records: DataFrame, path: str, rebalance: bool = False) -> None:
+    """Append to the store, partitioned by year of receipt, without a shuffle.
 
-    Rebalancing gives files of even size: AQE splits a year that holds a third of the rows among
-    tasks and merges the small ones.
+    Feed files hold one download window each, so a task meets a year or two. For feeds mixed in
+    time, ``rebalance`` shuffles to files of even size: AQE splits a year that holds a third of the
+    rows among tasks and merges small ones.
     """
     yearly = records.withColumn(STORE_YEAR, F.year(RECEIVED))
-    yearly.hint("rebalance", STORE_YEAR).write.mode("append").partitionBy(STORE_YEAR).parquet(path)
+    if rebalance:
+        yearly = yearly.hint("rebalance", STORE_YEAR)
+    yearly.write.mode("append").partitionBy(STORE_YEAR).parquet(path)
 
 
 def read_store(spark: SparkSession, path: str, from_year: int | None = None) -> DataFrame:
