@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,7 +36,7 @@ from casebook.schema import (
 from casebook.sources.cases import CASE_COLUMNS, cases, table
 from casebook.sources.feed import land_to_store, read_envelope, write_envelope
 from casebook.streaming.scoring import score_stream
-from casebook.workspace import new_folder, write_table
+from casebook.workspace import new_folder, spread, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -291,14 +292,17 @@ def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
 # Text features
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def _joined_words(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, F.size("words").cast("long").alias("word_count"), F.array_join("words", " ").alias("words"))
 
 
 @registered
 def tokenize(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select("doc_id", "text")
-    return _joined_words(text.tokenize(documents, "text"), "doc_id")
+    return _joined_words(text.tokenize(_documents(spark, folder), "text"), "doc_id")
 
 
 @registered
@@ -308,19 +312,19 @@ def tokenize_issue(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def hashing_tf(spark: SparkSession, folder: str) -> DataFrame:
-    counts = text.hashing_tf(table(spark, folder, "documents"), "doc_id", "text")
+    counts = text.hashing_tf(_documents(spark, folder), "doc_id", "text")
     return counts.withColumn("tf", F.col("tf").cast("long"))
 
 
 @registered
 def tfidf_hashed(spark: SparkSession, folder: str) -> DataFrame:
-    weights = text.tfidf_hashed(table(spark, folder, "documents"), "doc_id", "text")
+    weights = text.tfidf_hashed(_documents(spark, folder), "doc_id", "text")
     return weights.select("doc_id", "bucket", rounded("tfidf").alias("tfidf"))
 
 
 @registered
 def tfidf_terms(spark: SparkSession, folder: str) -> DataFrame:
-    weights = text.tfidf_terms(table(spark, folder, "documents"), "doc_id", "text")
+    weights = text.tfidf_terms(_documents(spark, folder), "doc_id", "text")
     return weights.withColumn("tfidf", rounded("tfidf"))
 
 
@@ -329,7 +333,7 @@ def tfidf_terms(spark: SparkSession, folder: str) -> DataFrame:
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
     """All records through the stages that were fitted on the training split."""
-    records = write_table(cases(spark, folder, FEATURE_COLUMNS), "records")
+    records = spread(write_table(cases(spark, folder, FEATURE_COLUMNS), "records"))
     training, _ = sampling.split_frames(records)
     return fit_features(training).transform(records)
 
@@ -371,7 +375,8 @@ def sampling_fractions(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def balance_undersample(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.balance_undersample(cases(spark, folder, [KEY, TARGET, "company_response"]))
+    records = write_table(cases(spark, folder, [KEY, TARGET, "company_response"]), "records")
+    return sampling.balance_undersample(records)
 
 
 @registered
@@ -388,25 +393,26 @@ def label_index(spark: SparkSession, folder: str) -> DataFrame:
     return fit_label_index(rows).transform(rows).withColumn(LABEL_INDEX, F.col(LABEL_INDEX).cast("long"))
 
 
-def _trained(spark: SparkSession, folder: str):
+def _trained(spark: SparkSession, folder: str) -> tuple[TrainingRun, PipelineModel, DataFrame]:
+    """A finished training run over all cases: its paths, its model, and the records it began with."""
     run = TrainingRun(new_folder(spark, "training"))
-    return run, train(validate(cases(spark, folder), run), run)
+    records = write_table(cases(spark, folder), "records")
+    return run, train(validate(records, run), run), records
 
 
 @registered
 def train_forest(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics of the forest on the training and the test split."""
-    run, _ = _trained(spark, folder)
+    run, _, _ = _trained(spark, folder)
     return spark.read.parquet(run.path("metrics"))
 
 
 @registered
 def score_batch(spark: SparkSession, folder: str) -> DataFrame:
     """Every case scored by a model that was trained on the training split; a bad folder is diverted."""
-    run, model = _trained(spark, folder)
+    run, model, records = _trained(spark, folder)
     good, bad = run.path("input"), run.path("broken")
-    records = cases(spark, folder, FEATURE_COLUMNS)
-    records.write.parquet(good)
+    records.select(*FEATURE_COLUMNS).write.parquet(good)
     records.select(KEY, "issue").write.parquet(bad)
     outputs = [run.path(name) for name in ("predictions", "archive", "failed")]
     (scored,) = score_folders(model, spark, [good, bad], *outputs, run="1")
@@ -416,8 +422,8 @@ def score_batch(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def _score_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Every case scored as its file arrives."""
-    run, model = _trained(spark, folder)
-    records = cases(spark, folder, FEATURE_COLUMNS)
+    run, model, records = _trained(spark, folder)
+    records = records.select(*FEATURE_COLUMNS)
     records.write.parquet(run.path("arrivals"))
     outputs = [run.path(name) for name in ("predictions", "archive", "progress")]
     score_stream(model, spark, run.path("arrivals"), records.schema, *outputs).awaitTermination()

@@ -21,6 +21,7 @@ from casebook.schema import (
     TARGET,
     TRAINING_COLUMNS,
 )
+from casebook.workspace import spread
 
 
 @dataclass(frozen=True)
@@ -51,12 +52,11 @@ def train(accepted: DataFrame, run: TrainingRun, seed: int = 42) -> PipelineMode
     """Fit on the training split, write vectors, metrics and the model that takes raw records."""
     spark = accepted.sparkSession
     labelled = accepted.where(F.col(TARGET).isNotNull())
-    tagged = train_test_split(labelled)
+    tagged = train_test_split(spread(labelled))
     features = fit_features(tagged.where("split = 'train'"))
-    features.write().overwrite().save(run.path("features"))
     vectors = features.transform(tagged).select(KEY, SCALED, TARGET, "split")
     vectors.write.partitionBy("split").parquet(run.path("vectors"))
-    vectors = spark.read.parquet(run.path("vectors"))
+    vectors = spread(spark.read.parquet(run.path("vectors")))
     training = vectors.where("split = 'train'")
     labels = fit_label_index(training)
     labels.write().overwrite().save(run.path("label_index"))

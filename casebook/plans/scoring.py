@@ -9,6 +9,7 @@ from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
 
 from casebook.schema import KEY, PREDICTED_LABEL, SCORING_COLUMNS
+from casebook.workspace import spread
 
 
 def missing_columns(df: DataFrame, required: Sequence[str] = SCORING_COLUMNS) -> list[str]:
@@ -58,7 +59,7 @@ def score_folders(
     written = []
     for folder, df in valid.items():
         target = output_folder(predictions, folder, run)
-        score(model, df).write.mode("overwrite").parquet(target)
+        score(model, spread(df)).write.mode("overwrite").parquet(target)
         df.write.mode("overwrite").parquet(output_folder(archive, folder, run))
         written.append(target)
     return written

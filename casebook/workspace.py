@@ -1,4 +1,4 @@
-"""Where written tables go: the folder all executors share."""
+"""Written tables in the folder all executors share, and small tables over all cores."""
 
 from __future__ import annotations
 
@@ -40,3 +40,13 @@ def write_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or new_folder(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table read from files, over all cores.
+
+    For work that costs much more per row than a shuffle: a table of few splits would leave cores
+    idle. A table with at least one split per core, as any large one has, comes back unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
