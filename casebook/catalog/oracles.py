@@ -311,6 +311,13 @@ def accuracy_f1(prediction: str) -> str:
         from scored s group by consumer_disputed)"""
 
 
+RULE_SCORES = f"""
+scored as (
+  select consumer_disputed, case when company_response = 'F' then 'Yes' else 'No' end as candidate, 'No' as champion
+  from cases),
+scores as (
+  select ({accuracy_f1("candidate")}) as c, ({accuracy_f1("champion")}) as h)"""
+
 SIZES = "sizes as (select consumer_disputed, count(*) as class_count from cases group by consumer_disputed)"
 ACCEPTED = [c for c in CASE_COLUMNS if c not in ("sub_product", "company_public_response")]
 TRAINING = ["consumer_disputed", *CATEGORIES, "issue", "date_sent_to_company", "date_received"]
@@ -453,12 +460,17 @@ select label, cast(support as bigint) as support, round(recall, 6) as true_posit
 from per_label""",
     "weighted_metrics": weighted(f"{CASES},{MATRIX}"),
     "weighted_metrics_labels": weighted(LABEL_MATRIX),
-    "promotion_gate": f"""with {CASES},
-scored as (
-  select consumer_disputed, case when company_response = 'F' then 'Yes' else 'No' end as candidate, 'No' as champion
-  from cases),
-scores as (
-  select ({accuracy_f1("candidate")}) as c, ({accuracy_f1("champion")}) as h)
+    "evaluation_report": f"""with {CASES},{RULE_SCORES},
+verdict as (select c - h as change, c - h >= 0.002 as better from scores)
+select 'true' as model_accepted, 0.0::double as changed_accuracy, 'models/none' as trained_model_path,
+       cast(null as varchar) as best_model_path, 'true' as active,
+       case when better then 'models/closed' else 'models/none' end as newest_model
+from verdict
+union all
+select cast(better as varchar), round(cast(cast(change as float) as double), 5), 'models/closed', 'models/none',
+       cast(better as varchar), case when better then 'models/closed' else 'models/none' end
+from verdict""",
+    "promotion_gate": f"""with {CASES},{RULE_SCORES}
 select round(c, 6) as candidate_f1, round(h, 6) as champion_f1, round(c - h, 6) as changed_accuracy,
        c - h >= 0.002 as model_accepted, c - h >= 0.002 as active
 from scores""",

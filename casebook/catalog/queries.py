@@ -482,3 +482,24 @@ def weighted_metrics_labels(spark: SparkSession, folder: str) -> DataFrame:
 def promotion_gate(spark: SparkSession, folder: str) -> DataFrame:
     scored = _rule_scored(spark, folder)
     return _rounded_rates(promotion.promotion_gate(scored, TARGET, "candidate", "champion"))
+
+
+@registered
+def evaluation_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Two rules evaluated one after the other, the report they leave, and the model it makes the newest."""
+    path = new_folder(spark, "report")
+    scored = _rule_scored(spark, folder)
+    first = promotion.promotion_gate(scored, TARGET, "champion", None)
+    promotion.append_report(promotion.report_row(first, "models/none", None), path)
+    second = promotion.promotion_gate(scored, TARGET, "candidate", "champion")
+    best = promotion.latest_model(spark, path)
+    promotion.append_report(promotion.report_row(second, "models/closed", best), path)
+    report = spark.read.schema(promotion.REPORT_SCHEMA).parquet(path)
+    return report.select(
+        "model_accepted",
+        F.round(F.col("changed_accuracy").cast("double"), 5).alias("changed_accuracy"),
+        "trained_model_path",
+        "best_model_path",
+        "active",
+        F.lit(promotion.latest_model(spark, path)).alias("newest_model"),
+    )

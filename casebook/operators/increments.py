@@ -40,7 +40,7 @@ def incremental_slice(
     copies = Window.partitionBy(key).orderBy(F.col(received).desc(), *others)
     new = due.withColumn("copy", F.row_number().over(copies)).where("copy = 1").drop("copy")
     new = write_table(new, "slice")
-    replayed = store.select(key).join(new.select(key), key, "left_semi")
+    replayed = store.select(key).join(new.select(key), key, "left_semi").distinct()
     return new.join(replayed, key, "left_anti")
 
 

@@ -90,12 +90,17 @@ def accepted_rows(df: DataFrame, rejected: Sequence[str]) -> DataFrame:
     return df.drop(*rejected)
 
 
-def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Return ``df``, or raise when a required column is absent. Looks at the schema only."""
+def require_columns(df: DataFrame, required: Sequence[str], rejected: Sequence[str] = ()) -> DataFrame:
+    """Return ``df``, or raise when a required column is absent. Looks at the schema only.
+
+    ``rejected`` names columns dropped before, so that the error tells why they are absent.
+    """
     found = [name for name in df.columns if name in set(required)]
     absent = [name for name in required if name not in set(found)]
     if absent:
-        raise ContractError(f"required columns missing: {absent}; expected {list(required)}, found {found}")
+        dropped = [name for name in absent if name in set(rejected)]
+        cause = f"; dropped for too many missing values: {dropped}" if dropped else ""
+        raise ContractError(f"required columns missing: {absent}{cause}; expected {list(required)}, found {found}")
     return df
 
 

@@ -43,7 +43,8 @@ def undersample_cutoffs(df: DataFrame, label: str = TARGET, key: str = KEY) -> D
 
     Ranking a class in one window would put the whole class in one task. Instead: count records
     per class and digest bucket (combined map-side), find the bucket in which each class reaches
-    the size of the smallest class, and rank only the records of that bucket.
+    the size of the smallest class, and walk only through the keys of that bucket, counted first
+    so that copies of a key weigh as one row.
     """
     records = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("class"), F.col(key).alias("key"), key_digest(key).alias("digest")
@@ -60,17 +61,23 @@ def undersample_cutoffs(df: DataFrame, label: str = TARGET, key: str = KEY) -> D
         .select("class", "bucket", "quota")
     )
     last_buckets = write_table(last_buckets, "undersample-buckets")
-    rank = F.row_number().over(Window.partitionBy("class", "bucket").orderBy("digest", "key"))
-    return (
+    keys = (
         records.join(last_buckets, ["class", "bucket"])
-        .withColumn("rank", rank)
-        .where(F.col("rank") == F.col("quota"))
+        .groupBy("class", "quota", "digest", "key")
+        .agg(F.count(F.lit(1)).alias("held"))
+    )
+    so_far = F.sum("held").over(Window.partitionBy("class").orderBy("digest", "key"))
+    return (
+        keys.withColumn("so_far", so_far)
+        .where((F.col("so_far") >= F.col("quota")) & (F.col("so_far") - F.col("held") < F.col("quota")))
         .select("class", F.col("digest").alias("last_digest"), F.col("key").alias("last_key"))
     )
 
 
 def balance_undersample(df: DataFrame, label: str = TARGET, key: str = KEY) -> DataFrame:
-    """Exactly as many records of every class as the smallest class has; NULL labels are left out.
+    """As many records of every class as the smallest class has; NULL labels are left out.
+
+    The count is exact when ``key`` is unique; copies of the last key are kept together.
 
     The cutoffs are a written table with one row per class, so the big side is filtered where it
     lies: Catalyst sees the table's size and broadcasts it without a hint.

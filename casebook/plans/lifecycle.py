@@ -41,7 +41,7 @@ class TrainingRun:
 def validate(records: DataFrame, run: TrainingRun) -> DataFrame:
     """Quarantine the rejected columns, check the contract, write and return the accepted rows."""
     rejected = rejected_columns(records)
-    accepted = require_columns(accepted_rows(records, rejected), TRAINING_COLUMNS)
+    accepted = require_columns(accepted_rows(records, rejected), TRAINING_COLUMNS, rejected)
     if rejected:
         quarantine_columns(records, rejected).write.mode("append").parquet(run.path("quarantine"))
     accepted.write.parquet(run.path("accepted"))

@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {SETTING} to a folder that every executor can reach")
     application = spark.conf.get("spark.app.id", "local")
     if application not in _local_folders:

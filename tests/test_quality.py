@@ -68,6 +68,8 @@ def test_contract(spark):
     assert quality.require_columns(df, ["a", "b"]) is df
     with pytest.raises(quality.ContractError, match="'c'"):
         quality.require_columns(df, ["b", "c"])
+    with pytest.raises(quality.ContractError, match=r"too many missing values: \['c'\]"):
+        quality.require_columns(df, ["b", "c"], rejected=["c"])
     report = {r.column_name: tuple(r)[1:] for r in quality.contract_report(df, ["a", "b", "c"]).collect()}
     assert report == {"a": (True, 2, False), "b": (True, 0, True), "c": (False, None, False)}
     assert quality.contract_report(df, ["c"]).count() == 1

@@ -43,6 +43,13 @@ def test_undersample_of_one_class_keeps_all(spark):
     assert sampling.balance_undersample(df).count() == 50
 
 
+def test_copies_of_a_key_stay_together(spark):
+    one = spark.range(100).selectExpr("cast(id as string) complaint_id", "if(id < 20, 'a', 'b') consumer_disputed")
+    copies = spark.range(500).selectExpr("'50' complaint_id", "'b' consumer_disputed")
+    counts = dict(sampling.balance_undersample(one.union(copies)).groupBy("consumer_disputed").count().collect())
+    assert counts["a"] == 20 and (counts["b"] == 20 or counts["b"] > 500)
+
+
 def test_undersample_with_numeric_labels(spark):
     df = spark.range(90).selectExpr("cast(id as string) complaint_id", "if(id < 30, 1, 0) consumer_disputed")
     counts = sampling.balance_undersample(df).groupBy("consumer_disputed").count().collect()

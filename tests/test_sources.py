@@ -62,12 +62,12 @@ def test_landing_an_empty_feed(spark, tmp_path):
 
 
 def slice_of(spark, feed_rows, store_rows, **options):
-    schema = "complaint_id string, date_received timestamp"
-    make = lambda rows: spark.createDataFrame(rows, "complaint_id string, d string").selectExpr(
-        "complaint_id", "cast(d as timestamp) date_received"
-    )
-    result = increments.incremental_slice(make(feed_rows), make(store_rows), **options)
-    assert schema.startswith("complaint_id") and result.columns == ["complaint_id", "date_received"]
+    def records(rows):
+        texts = spark.createDataFrame(rows, "complaint_id string, d string")
+        return texts.selectExpr("complaint_id", "cast(d as timestamp) date_received")
+
+    result = increments.incremental_slice(records(feed_rows), records(store_rows), **options)
+    assert result.columns == ["complaint_id", "date_received"]
     return sorted(r.complaint_id for r in result.collect())
 
 
