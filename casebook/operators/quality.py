@@ -135,37 +135,55 @@ def contract_report(
 _DIGEST_LENGTH = 64
 
 
-def _countable(df: DataFrame, name: str) -> Column:
+def _as_text(name: str, kind: str) -> Column:
+    """Equal values give equal texts, different values different ones."""
     value = _named(name)
-    if dict(df.dtypes)[name] != "string":
-        return value
-    return F.when(F.length(value) > _DIGEST_LENGTH, F.sha2(value, 256)).otherwise(value)
+    if kind in ("float", "double"):
+        value = value + F.lit(0.0)  # minus zero equals zero
+    elif kind == "binary":
+        value = F.hex(value)
+    elif kind.startswith(("array", "struct", "map")):
+        value = F.to_json(value)
+    text = value.cast("string")
+    return F.when(F.length(text) > _DIGEST_LENGTH, F.sha2(text, 256)).otherwise(text)
 
 
 def column_profile(df: DataFrame, approximate: bool = False, error: float = 0.02) -> DataFrame:
     """Distinct values (NULL counts as one), NULL rows and their percentage, per column.
 
-    The exact form shuffles each column's distinct values; ``approximate`` uses one pass of
-    HyperLogLog sketches and shuffles only those, for wide or very large tables.
+    The exact form counts the rows of every value of every column in one aggregate, so it shuffles
+    the distinct values of each task; ``approximate`` shuffles HyperLogLog sketches only.
     """
-
-    def distinct(name: str) -> Column:
-        value = _countable(df, name)
-        return F.approx_count_distinct(value, error) if approximate else F.count_distinct(value)
-
-    measured = []
-    for i, name in enumerate(df.columns):
-        measured += [distinct(name).alias(f"distinct_{i}"), F.count(_named(name)).alias(f"filled_{i}")]
-    counts = df.agg(F.count(F.lit(1)).alias("total"), *measured)
-    lines = []
-    for i, name in enumerate(df.columns):
-        missing = F.col("total") - F.col(f"filled_{i}")
-        lines.append(
+    names = df.columns
+    texts = df.select(*[_as_text(name, kind).alias(f"c{i}") for i, (name, kind) in enumerate(df.dtypes)])
+    if approximate:
+        sketches = [F.approx_count_distinct(f"c{i}", error).alias(f"distinct_{i}") for i in range(len(names))]
+        filled = [F.count(f"c{i}").alias(f"filled_{i}") for i in range(len(names))]
+        counts = texts.agg(F.count(F.lit(1)).alias("total_row"), *sketches, *filled)
+        lines = [
             F.struct(
                 F.lit(name).alias("column_name"),
-                F.col("total").alias("total_row"),
-                (F.col(f"distinct_{i}") + F.when(missing > 0, 1).otherwise(0)).alias("distinct_values"),
-                missing.alias("missing_row"),
+                F.col(f"distinct_{i}").alias("seen"),
+                (F.col("total_row") - F.col(f"filled_{i}")).alias("missing_row"),
             )
+            for i, name in enumerate(names)
+        ]
+        profile = counts.select("total_row", F.inline(F.array(*lines)))
+        seen = F.col("seen") + F.when(F.col("missing_row") > 0, 1).otherwise(0)
+    else:
+        cells = [F.struct(F.lit(n).alias("column_name"), F.col(f"c{i}").alias("value")) for i, n in enumerate(names)]
+        values = texts.select(F.inline(F.array(*cells))).groupBy("column_name", "value")
+        counted = values.agg(F.count(F.lit(1)).alias("held"))
+        # A table without rows still has a line per column.
+        lines = df.sparkSession.range(1).select(
+            F.explode(F.array(*map(F.lit, names))), F.lit(None).cast("string"), F.lit(0).cast("long")
         )
-    return counts.select(F.inline(F.array(*lines))).withColumn("missing_percentage", _percentage())
+        profile = counted.union(lines).groupBy("column_name").agg(
+            F.sum("held").alias("total_row"),
+            F.count_if(F.col("held") > 0).alias("seen"),
+            F.sum(F.when(F.col("value").isNull(), F.col("held")).otherwise(0)).alias("missing_row"),
+        )
+        seen = F.col("seen")
+    return profile.select("column_name", "total_row", seen.alias("distinct_values"), "missing_row").withColumn(
+        "missing_percentage", _percentage()
+    )
