@@ -302,7 +302,7 @@ first_label as (select * from per_label order by support desc, label limit 1)
 {union_all(rows)}"""
 
 
-def accuracy_f1(prediction: str) -> str:
+def weighted_f1(prediction: str) -> str:
     return f"""
   select sum(case when hits = 0 then 0 else 2.0 * hits / (support + predicted) end * support) / sum(support)
   from (select consumer_disputed as label, count(*) as support,
@@ -316,7 +316,7 @@ scored as (
   select consumer_disputed, case when company_response = 'F' then 'Yes' else 'No' end as candidate, 'No' as champion
   from cases),
 scores as (
-  select ({accuracy_f1("candidate")}) as c, ({accuracy_f1("champion")}) as h)"""
+  select ({weighted_f1("candidate")}) as c, ({weighted_f1("champion")}) as h)"""
 
 SIZES = "sizes as (select consumer_disputed, count(*) as class_count from cases group by consumer_disputed)"
 ACCEPTED = [c for c in CASE_COLUMNS if c not in ("sub_product", "company_public_response")]
@@ -325,6 +325,7 @@ USER_EVENTS = "counts as (select user_id, count(*) as n from events group by use
 
 ORACLES: dict[str, str] = {
     "read_envelope": f"with {CASES}\nselect {shown(CASE_COLUMNS)} from cases",
+    "load_increment": f"with {CASES}\nselect {shown(CASE_COLUMNS)} from cases",
     "land_to_store": f"""with {CASES}
 select complaint_id, cast(2 as bigint) as copies, {day("date_received")} as date_received, issue, consumer_disputed
 from cases""",

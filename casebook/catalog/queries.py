@@ -34,7 +34,8 @@ from casebook.schema import (
     prefixed,
 )
 from casebook.sources.cases import CASE_COLUMNS, cases, table
-from casebook.sources.feed import land_to_store, read_envelope, write_envelope
+from casebook.sources.feed import land_to_store, read_envelope, read_store, write_envelope
+from casebook.sources.feed import load_increment as increment
 from casebook.streaming.scoring import score_stream
 from casebook.workspace import new_folder, spread, write_table
 
@@ -99,6 +100,15 @@ def incremental_slice(spark: SparkSession, folder: str) -> DataFrame:
     return shown(new)
 
 
+@registered
+def load_increment(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed loaded in three runs, the last one a replay; the store then holds every case once."""
+    feed, store = _written_feed(spark, folder), new_folder(spark, "store")
+    for to_date in ("1999-01-01", None, None):
+        increment(spark, feed, store, to_date, first_date="1995-01-01")
+    return shown(read_store(spark, store).select(*CASE_COLUMNS))
+
+
 @registered
 def window_coverage(spark: SparkSession, folder: str) -> DataFrame:
     rows = cases(spark, folder, ["date_received"])

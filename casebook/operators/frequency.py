@@ -108,5 +108,13 @@ def encode_frequencies(
     return df
 
 
-def hot_by_column(counts: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    return {name: hot_values(counts.where(F.col("column_name") == name)) for name in columns}
+def hot_by_column(counts: DataFrame) -> dict[str, list[str]]:
+    """The hot values of every column of a ``frequency_table``, in two passes whatever the columns."""
+    totals = counts.groupBy("column_name").agg(F.sum("frequency").alias("total")).collect()
+    hot: dict[str, list[str]] = {row.column_name: [] for row in totals}
+    if hot:
+        total = F.coalesce(*[F.when(F.col("column_name") == row.column_name, row.total) for row in totals])
+        frequent = F.col("value").isNotNull() & (F.col("frequency") * HOT_PARTS >= total)
+        for row in counts.where(frequent).collect():
+            hot[row.column_name].append(row.value)
+    return hot

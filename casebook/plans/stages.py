@@ -107,8 +107,8 @@ class FrequencyEncoder(Estimator, _Columns, _Unseen):
 
     def _fit(self, dataset: DataFrame) -> FrequencyEncoderModel:
         names = self.getInputCols()
-        counts = write_table(frequency_table(dataset, names), "frequencies")
-        model = FrequencyEncoderModel(hotValues=json.dumps(hot_by_column(counts, names)))
+        counts = write_table(frequency_table(dataset, names), "frequencies", ("column_name",))
+        model = FrequencyEncoderModel(hotValues=json.dumps(hot_by_column(counts)))
         model.frequencies = counts
         return self._copyValues(model)
 
@@ -116,13 +116,14 @@ class FrequencyEncoder(Estimator, _Columns, _Unseen):
 class _TableWriter(DefaultParamsWriter):
     def saveImpl(self, path: str) -> None:
         super().saveImpl(path)
-        self.instance.frequencies.write.parquet(f"{path}/frequencies")
+        self.instance.frequencies.write.partitionBy("column_name").parquet(f"{path}/frequencies")
 
 
 class _TableReader(DefaultParamsReader):
     def load(self, path: str) -> FrequencyEncoderModel:
         model = super().load(path)
-        model.frequencies = self.sparkSession.read.parquet(f"{path}/frequencies")
+        reader = self.sparkSession.read.schema("column_name string, value string, frequency long")
+        model.frequencies = reader.parquet(f"{path}/frequencies")
         return model
 
 

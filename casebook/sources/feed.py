@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.functions.columns import as_timestamp
-from casebook.schema import RECEIVED, RECORD_SCHEMA
+from casebook.operators.increments import incremental_slice
+from casebook.schema import FIRST_DATE, RECEIVED, RECORD_SCHEMA
 
 PAYLOAD = "_source"
 STORE_YEAR = "received_year"
@@ -59,6 +61,33 @@ def read_store(spark: SparkSession, path: str, from_year: int | None = None) ->
     return stored.drop(STORE_YEAR)
 
 
+def store_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema(RECORD_SCHEMA).parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
+def load_increment(
+    spark: SparkSession,
+    feed_path: str,
+    store_path: str,
+    to_date: str | None = None,
+    first_date: str = FIRST_DATE,
+) -> DataFrame:
+    """Append the feed's records that the store lacks, each once; returns what was appended.
+
+    The next run starts at the newest record that was loaded, so a file that failed to arrive is
+    not skipped for good.
+    """
+    feed = read_envelope(spark, feed_path)
+    stored = read_store(spark, store_path) if store_exists(spark, store_path) else feed.limit(0)
+    new = incremental_slice(feed, stored, to_date, first_date)
+    append_to_store(new, store_path)
+    return new
+
+
 def land_to_store(spark: SparkSession, feed_path: str, store_path: str, multi_line: bool = False) -> DataFrame:
     """Read all feed files of a folder in one job, append their records, return the whole store."""
     append_to_store(read_envelope(spark, feed_path, multi_line), store_path)

@@ -30,15 +30,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/casebook/{name}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once and read it back.
 
     The copy survives lost executors, ends the lineage, and has a size that Catalyst knows, so
     joins against it are broadcast only when it is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
-    path = path or new_folder(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    path = new_folder(spark, name)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -73,7 +73,7 @@ def test_hot_value_is_spread_when_the_table_is_not_broadcast(spark, unseen):
     rows = spark.range(30_000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id % 5000 as string)) as c")
     rows = rows.union(spark.range(500).selectExpr("id + 100000", "cast(null as string)"))
     model = FrequencyEncoder(inputCols=["c"], outputCols=["n"], unseen=unseen).fit(rows)
-    assert frequency.hot_by_column(model.frequencies, ["c"]) == {"c": ["hot"]}
+    assert frequency.hot_by_column(model.frequencies) == {"c": ["hot"]}
     kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -78,6 +78,18 @@ def test_slice_keeps_one_copy_and_drops_replays(spark):
     assert slice_of(spark, feed_rows, store, to_date="2020-01-09") == ["3"]
 
 
+def test_loading_in_steps_equals_loading_at_once(spark, tmp_path):
+    records = cases(spark, SF)
+    feed_path, store = str(tmp_path / "feed"), str(tmp_path / "store")
+    feed.write_envelope(records.union(records.where("year(date_received) = 1998")), feed_path)
+    first = feed.load_increment(spark, feed_path, store, "1998-06-01", "1995-01-01")
+    assert first.count() == records.where("date_received < '1998-06-01'").count()
+    feed.load_increment(spark, feed_path, store, first_date="1995-01-01")
+    assert feed.load_increment(spark, feed_path, store).isEmpty()
+    stored = feed.read_store(spark, store).select(CASE_COLUMNS)
+    assert stored.exceptAll(records).isEmpty() and records.exceptAll(stored).isEmpty()
+
+
 def test_first_slice_starts_at_the_first_date(spark):
     assert slice_of(spark, [("0", "2011-12-31"), ("1", "2012-01-01")], []) == ["1"]
 
