@@ -441,7 +441,8 @@ select consumer_disputed, cast(class_count as bigint) as class_count,
 from sizes""",
     "balance_undersample": f"""with {CASES},{SIZES}
 select complaint_id, consumer_disputed, company_response from (
-  select *, row_number() over (partition by consumer_disputed order by md5(complaint_id), complaint_id) as rn from cases)
+  select *, row_number() over (partition by consumer_disputed order by md5(complaint_id), complaint_id) as rn
+  from cases)
 where rn <= (select min(class_count) from sizes)""",
     "shuffle_rows": f"""with {CASES}
 select complaint_id, consumer_disputed, md5(complaint_id) as shuffle_key from cases""",

@@ -66,7 +66,7 @@ def rounded(column: str | Column) -> Column:
 def _written_feed(spark: SparkSession, folder: str) -> str:
     """All cases as feed files, and beside them one element without a record per case."""
     path = new_folder(spark, "feed")
-    records = cases(spark, folder)
+    records = write_table(cases(spark, folder), "records")
     write_envelope(records, path)
     records.select(F.array(KEY).alias("sort")).write.mode("append").json(path)
     return path
@@ -282,7 +282,8 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
         for name, vector in zip(columns, encoded)
     ]
     tall = rows.select("o_orderkey", F.inline(F.array(*cells)))
-    return tall.select("o_orderkey", "column_name", F.posexplode_outer("dense").alias("slot", "value")).where("value <> 0")
+    cell = F.posexplode_outer("dense").alias("slot", "value")
+    return tall.select("o_orderkey", "column_name", cell).where("value <> 0")
 
 
 @registered

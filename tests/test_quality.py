@@ -81,7 +81,8 @@ def test_profile_counts_null_as_a_value(spark):
     exact = {r.column_name: r for r in quality.column_profile(df).collect()}
     assert (exact["t"].distinct_values, exact["t"].missing_row, exact["t"].missing_percentage) == (3, 2, 50.0)
     assert exact["n"].distinct_values == 3
-    odd = frame(spark, [(0.0, [1], b"a"), (-0.0, [1, 2], b"a"), (float("nan"), None, b"b")], "d double, a array<int>, b binary")
+    rows = [(0.0, [1], b"a"), (-0.0, [1, 2], b"a"), (float("nan"), None, b"b")]
+    odd = frame(spark, rows, "d double, a array<int>, b binary")
     assert {r.column_name: r.distinct_values for r in quality.column_profile(odd).collect()} == {"d": 2, "a": 3, "b": 2}
     about = {r.column_name: r.distinct_values for r in quality.column_profile(df, approximate=True).collect()}
     assert about == {"t": 3, "n": 3}

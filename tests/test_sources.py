@@ -72,7 +72,8 @@ def slice_of(spark, feed_rows, store_rows, **options):
 
 
 def test_slice_keeps_one_copy_and_drops_replays(spark):
-    feed_rows = [("1", "2020-01-01"), ("2", "2020-01-02"), ("2", "2020-01-02"), ("3", "2020-01-02"), ("4", "2020-01-09")]
+    second = "2020-01-02"
+    feed_rows = [("1", "2020-01-01"), ("2", second), ("2", second), ("3", second), ("4", "2020-01-09")]
     store = [("1", "2020-01-01"), ("2", "2020-01-02")]
     assert slice_of(spark, feed_rows, store) == ["3", "4"]
     assert slice_of(spark, feed_rows, store, to_date="2020-01-09") == ["3"]
