@@ -407,7 +407,7 @@ def label_index(spark: SparkSession, folder: str) -> DataFrame:
 def _trained(spark: SparkSession, folder: str) -> tuple[TrainingRun, PipelineModel, DataFrame]:
     """A finished training run over all cases: its paths, its model, and the records it began with."""
     run = TrainingRun(new_folder(spark, "training"))
-    records = write_table(cases(spark, folder), "records")
+    records = spread(write_table(cases(spark, folder), "records"))
     return run, train(validate(records, run), run), records
 
 
@@ -499,7 +499,7 @@ def promotion_gate(spark: SparkSession, folder: str) -> DataFrame:
 def evaluation_report(spark: SparkSession, folder: str) -> DataFrame:
     """Two rules evaluated one after the other, the report they leave, and the model it makes the newest."""
     path = new_folder(spark, "report")
-    scored = _rule_scored(spark, folder)
+    scored = write_table(_rule_scored(spark, folder), "scored")
     first = promotion.promotion_gate(scored, TARGET, "champion", None)
     promotion.append_report(promotion.report_row(first, "models/none", None), path)
     second = promotion.promotion_gate(scored, TARGET, "candidate", "champion")

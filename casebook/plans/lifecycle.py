@@ -49,7 +49,7 @@ def validate(records: DataFrame, run: TrainingRun) -> DataFrame:
 
 
 def train(accepted: DataFrame, run: TrainingRun, seed: int = 42) -> PipelineModel:
-    """Fit on the training split, write vectors, metrics and the model that takes raw records."""
+    """Fit on the training split, write vectors and metrics, return the model that takes raw records."""
     spark = accepted.sparkSession
     labelled = accepted.where(F.col(TARGET).isNotNull())
     tagged = train_test_split(spread(labelled))
@@ -63,9 +63,7 @@ def train(accepted: DataFrame, run: TrainingRun, seed: int = 42) -> PipelineMode
     forest = fit_forest(training, labels, seed)
     scored = forest.transform(vectors)
     training_metrics(scored).write.parquet(run.path("metrics"))
-    model = join_models(features, forest)
-    model.write().overwrite().save(run.model)
-    return model
+    return join_models(features, forest)
 
 
 def compare(
@@ -88,6 +86,7 @@ def run_training(records: DataFrame, folder: str, report: str, seed: int = 42) -
     run = TrainingRun(folder)
     accepted = validate(records, run)
     model = train(accepted, run, seed)
+    model.write().overwrite().save(run.model)
     champion_path = latest_model(records.sparkSession, report)
     champion = PipelineModel.load(champion_path) if champion_path else None
     _, holdout = split_frames(accepted)
