@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import bpe, token_files, token_rollups
+from casebook.llm import (
+    bpe,
+    language_spans,
+    line_spread,
+    order_minhash,
+    phrase_index,
+    quality_rules,
+    suffix_dedup,
+    token_files,
+    token_rollups,
+    url_filter,
+)
 from casebook.llm.library import byte_bpe_path, many_languages_path
 from casebook.workspace import new_folder
 
@@ -23,6 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@registered
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge every document by rules that vote."""
+    return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token totals after inserts, deletions of copies and a change of tokenizer."""
@@ -31,13 +48,54 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rollups.history(table(spark, sf_dir, "documents"), rollup, vocabularies)
 
 
+@registered
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document."""
+    return order_minhash.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove byte strings that the corpus has before from every document."""
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    return language_spans.identified(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@registered
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove boilerplate lines from every document."""
+    return line_spread.without_boilerplate(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Find every benchmark passage in every document."""
+    return phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @registered
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents' token ids to binary shards and read them back."""
     return token_files.written_and_read(spark, table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
+@registered
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge every page's URL."""
+    return url_filter.judged(table(spark, sf_dir, "pages")).drop("score")
+
+
 @registered
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document."""
     return bpe.digests(table(spark, sf_dir, "documents"), byte_bpe_path())
+
+
+ORACLES["op6_line_dedup"] = line_spread.ORACLE
+ORACLES["op7_benchmark_decontamination"] = phrase_index.ORACLE
+ORACLES["op9_url_filters"] = url_filter.oracle()
