@@ -94,6 +94,15 @@ def pieces(text: str, size: int = CHUNK) -> list[str]:
     return found
 
 
+def span_keys(points: np.ndarray, within: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A hash of each span: of its code points, each with its place in the span."""
+    mixed = (points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= within.astype(np.uint64) * np.uint64(2) + np.uint64(0x94D049BB133111EB)
+    mixed ^= mixed >> np.uint64(32)
+    return np.add.reduceat(mixed, first)
+
+
 def numbered(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number of each span, equal for equal spans, and the first span of each number."""
     if not len(start):
@@ -103,12 +112,7 @@ def numbered(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     first_within = np.cumsum(length) - length
     within -= np.repeat(first_within, length)
     own = points[within + np.repeat(start, length)]
-    mixed = (own.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= within.astype(np.uint64) * np.uint64(2) + np.uint64(0x94D049BB133111EB)
-    mixed ^= mixed >> np.uint64(32)
-    key = np.add.reduceat(mixed, first_within)
-    _, first, number = np.unique(key, return_index=True, return_inverse=True)
+    _, first, number = np.unique(span_keys(own, within, first_within), return_index=True, return_inverse=True)
     like = first[number]
     if (length == length[like]).all():
         within += np.repeat(start[like], length)
