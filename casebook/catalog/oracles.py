@@ -321,11 +321,17 @@ scores as (
 SIZES = "sizes as (select consumer_disputed, count(*) as class_count from cases group by consumer_disputed)"
 ACCEPTED = [c for c in CASE_COLUMNS if c not in ("sub_product", "company_public_response")]
 TRAINING = ["consumer_disputed", *CATEGORIES, "issue", "date_sent_to_company", "date_received"]
+SCORED = [*CATEGORIES, "issue", "date_sent_to_company", "date_received"]
 USER_EVENTS = "counts as (select user_id, count(*) as n from events group by user_id)"
 
 ORACLES: dict[str, str] = {
     "read_envelope": f"with {CASES}\nselect {shown(CASE_COLUMNS)} from cases",
-    "load_increment": f"with {CASES}\nselect {shown(CASE_COLUMNS)} from cases",
+    "load_increment": f"with {CASES}\nselect {shown(CASE_COLUMNS)}, 'tag ' || complaint_id as tags from cases",
+    "rejected_feed": f"""with {CASES},
+numbered as (select complaint_id, cast(complaint_id as bigint) % 50 as n from cases)
+select 'no date' as reason, 'u' || complaint_id as complaint_id, cast(1 as bigint) as row_count from numbered where n = 0
+union all select 'no key', null, cast(count(*) as bigint) from numbered where n = 1 having count(*) > 0
+union all select 'broken', null, cast(count(*) as bigint) from numbered where n = 2 having count(*) > 0""",
     "land_to_store": f"""with {CASES}
 select complaint_id, cast(2 as bigint) as copies, {day("date_received")} as date_received, issue, consumer_disputed
 from cases""",
@@ -429,6 +435,9 @@ select complaint_id, cast(slot as integer) as slot, round(value, 6) as value fro
     "scaled_features": f"""with {FEATURES}
 select complaint_id, cast(slot as integer) as slot, round(value / deviation, 6) as value
 from slots join deviations using (slot) where value <> 0 and deviation > 0""",
+    "feature_pipeline": f"""with {FEATURES}
+select complaint_id, cast(count(*) as bigint) as filled_slots, round(sum(value / deviation), 4) as total
+from slots join deviations using (slot) where value <> 0 and deviation > 0 group by complaint_id""",
     "train_test_split": f"""with {CASES}
 select complaint_id, case when {SHARE} < 70 then 'train' else 'test' end as split from cases""",
     "class_balance": f"""with {CASES},{SIZES}
@@ -444,6 +453,29 @@ select complaint_id, consumer_disputed, company_response from (
   select *, row_number() over (partition by consumer_disputed order by md5(complaint_id), complaint_id) as rn
   from cases)
 where rn <= (select min(class_count) from sizes)""",
+    "balanced_shuffled": f"""with {CASES},{SIZES}
+select complaint_id, consumer_disputed, company_response from (
+  select *, row_number() over (partition by consumer_disputed order by md5(complaint_id), complaint_id) as rn
+  from cases)
+where rn <= (select min(class_count) from sizes)""",
+    "train_forest": f"""with {CASES}
+select case when {SHARE} < 70 then 'train' else 'test' end as split, cast(count(*) as bigint) as row_count,
+       cast(count(distinct consumer_disputed) as bigint) as classes, cast(11 as bigint) as metrics, true as beats_rule
+from cases group by 1""",
+    "score_batch": f"with {CASES}\nselect complaint_id, {shown(SCORED)}, true as known_label from cases",
+    "scored_archive": f"""with {CASES}
+select case cast(complaint_id as bigint) % 4 when 0 then '2024/day' when 1 then '2025/day' else 'mixed' end as input,
+       complaint_id, {shown(SCORED)}, true as known_label
+from cases where cast(complaint_id as bigint) % 4 <> 3""",
+    "diverted_input": f"""with {CASES}
+select 'mixed' as input, complaint_id, {shown([c for c in SCORED if c != "issue"])}
+from cases where cast(complaint_id as bigint) % 4 = 3""",
+    "score_stream": f"""with {CASES}
+select complaint_id, {shown(SCORED)}, true as same_as_batch, true as also_diverted from cases""",
+    "training_run": f"""with {CASES}
+select cast(run as integer) as run, true as champion_as_expected, true as verdict_follows_margin,
+       true as newest_is_a_run, cast(count(*) as bigint) as accepted_rows, cast(count(*) as bigint) as scored
+from cases, range(1, 3) runs(run) group by run""",
     "shuffle_rows": f"""with {CASES}
 select complaint_id, consumer_disputed, md5(complaint_id) as shuffle_key from cases""",
     "label_index": f"""with {CASES},{SIZES}

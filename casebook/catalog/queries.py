@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -11,11 +12,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.functions.vectors import slots
+from casebook.functions.vectors import slots, stored
 from casebook.operators import frequency, increments, metrics, promotion, quality, sampling, text
 from casebook.plans.features import fit_features
-from casebook.plans.lifecycle import TrainingRun, train, validate
-from casebook.plans.scoring import missing_columns, scoring_contract, score_folders
+from casebook.plans.lifecycle import TrainingRun, run_training, train, validate
+from casebook.plans.scoring import SOURCE, file_groups, score, score_inputs
 from casebook.plans.stages import ElapsedDays, FrequencyEncoder, ModeImputer
 from casebook.plans.training import fit_label_index
 from casebook.schema import (
@@ -27,6 +28,8 @@ from casebook.schema import (
     INDEXED,
     KEY,
     LABEL_INDEX,
+    PREDICTED_LABEL,
+    PROMOTION_MARGIN,
     SCALED,
     SCORING_COLUMNS,
     TARGET,
@@ -34,10 +37,10 @@ from casebook.schema import (
     prefixed,
 )
 from casebook.sources.cases import CASE_COLUMNS, cases, table
-from casebook.sources.feed import land_to_store, read_envelope, read_store, write_envelope
+from casebook.sources.feed import OTHER, land_to_store, read_envelope, read_rejected, read_store, write_envelope
 from casebook.sources.feed import load_increment as increment
 from casebook.streaming.scoring import score_stream
-from casebook.workspace import new_folder, spread, write_table
+from casebook.workspace import new_folder, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -91,6 +94,45 @@ def _land_to_store(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _loaded_store(spark: SparkSession, folder: str) -> str:
+    """A store loaded from a feed that grows: cases that arrive late, and records that cannot be loaded.
+
+    Every case has a field that no column declares. Every third case received before 1998 arrives
+    after all others. Every fiftieth case comes a second time under another key with a bad date,
+    others without a key, others as a line that breaks off. The last of four loads is a replay.
+    """
+    feed, store = new_folder(spark, "feed"), new_folder(spark, "store")
+    records = write_table(cases(spark, folder).withColumn("tags", F.concat(F.lit("tag "), KEY)), "records")
+    number = F.col(KEY).cast("long")
+    late = (F.col("date_received") < "1998-01-01") & (number % 3 == 0)
+    write_envelope(records.where(~late), feed)
+    undated = {KEY: F.concat(F.lit("u"), KEY), "date_received": F.lit("no date")}
+    write_envelope(records.where(number % 50 == 0).withColumns(undated), feed)
+    write_envelope(records.where(number % 50 == 1).drop(KEY), feed)
+    broken = F.concat(F.lit('{"_source": {"complaint_id": "'), KEY)
+    records.where(number % 50 == 2).select(broken.alias("value")).write.mode("append").text(feed)
+    for to_date in ("1999-01-01", None):
+        increment(spark, feed, store, to_date, first_date="1995-01-01")
+    write_envelope(records.where(late), feed)
+    for _ in range(2):
+        increment(spark, feed, store, first_date="1995-01-01")
+    return store
+
+
+@registered
+def load_increment(spark: SparkSession, folder: str) -> DataFrame:
+    """The store then holds every case once, with all its fields."""
+    stored = read_store(spark, _loaded_store(spark, folder))
+    return shown(stored.select(*CASE_COLUMNS, F.col(OTHER)["tags"].alias("tags")))
+
+
+@registered
+def rejected_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """What the same feed held that could not be loaded."""
+    rejected = read_rejected(spark, _loaded_store(spark, folder))
+    return rejected.groupBy("reason", KEY).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @registered
 def incremental_slice(spark: SparkSession, folder: str) -> DataFrame:
     """The store holds the closed cases received before 1999; the feed holds every case."""
@@ -100,15 +142,6 @@ def incremental_slice(spark: SparkSession, folder: str) -> DataFrame:
     return shown(new)
 
 
-@registered
-def load_increment(spark: SparkSession, folder: str) -> DataFrame:
-    """The feed loaded in three runs, the last one a replay; the store then holds every case once."""
-    feed, store = _written_feed(spark, folder), new_folder(spark, "store")
-    for to_date in ("1999-01-01", None, None):
-        increment(spark, feed, store, to_date, first_date="1995-01-01")
-    return shown(read_store(spark, store).select(*CASE_COLUMNS))
-
-
 @registered
 def window_coverage(spark: SparkSession, folder: str) -> DataFrame:
     rows = cases(spark, folder, ["date_received"])
@@ -171,21 +204,23 @@ def column_profile_cases(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def _scoring_contract(spark: SparkSession, folder: str) -> DataFrame:
     """Two input folders, one lacking a column; per folder its verdict and its rows."""
-    good, bad = new_folder(spark, "good"), new_folder(spark, "bad")
+    base = new_folder(spark, "inputs")
     records = cases(spark, folder, FEATURE_COLUMNS)
-    records.write.parquet(good)
-    records.drop("issue").write.parquet(bad)
-    valid, invalid = scoring_contract(spark, [good, bad])
-
-    def verdict(name: str, df: DataFrame, is_valid: bool) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("input"),
-            F.lit(is_valid).alias("valid"),
-            F.lit(",".join(missing_columns(df))).alias("missing_columns"),
+    records.write.parquet(f"{base}/good")
+    records.drop("issue").write.parquet(f"{base}/bad")
+    parts = [
+        group.read(spark)
+        .groupBy(F.substring_index(SOURCE, "/", -1).alias("input"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(
+            "input",
+            F.lit(not group.problems).alias("valid"),
+            F.lit(",".join(group.problems)).alias("missing_columns"),
             "row_count",
         )
-
-    return verdict("good", valid[good], True).unionByName(verdict("bad", invalid[bad], False))
+        for group in file_groups(spark, [f"{base}/good", f"{base}/bad"])
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # Tabular features
@@ -253,21 +288,11 @@ def frequency_encode_cases(spark: SparkSession, folder: str) -> DataFrame:
     return encoder.fit(rows).transform(rows)
 
 
-def _tall(df: DataFrame, key: str, columns: dict[str, str], value: str) -> DataFrame:
-    cells = [
-        F.struct(F.lit(name).alias("column_name"), F.col(source).cast("long").alias(value))
-        for name, source in columns.items()
-    ]
-    return df.select(key, F.inline(F.array(*cells)))
-
-
 @registered
 def string_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Few categories and, as ``issue``, as many as there are texts: ranked in parallel."""
     columns = [*CATEGORY_COLUMNS, "issue"]
-    rows = cases(spark, folder, [KEY, *columns])
-    outputs = prefixed(INDEXED, columns)
-    indexer = StringIndexer(inputCols=columns, outputCols=outputs, handleInvalid="keep")
-    return _tall(indexer.fit(rows).transform(rows), KEY, dict(zip(columns, outputs)), "category_index")
+    return frequency.index_categories(cases(spark, folder, [KEY, *columns]), KEY, columns)
 
 
 @registered
@@ -278,12 +303,11 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     rows = StringIndexer(inputCols=columns, outputCols=indexed).fit(rows).transform(rows)
     rows = OneHotEncoder(inputCols=indexed, outputCols=encoded).fit(rows).transform(rows)
     cells = [
-        F.struct(F.lit(name).alias("column_name"), vector_to_array(vector).alias("dense"))
+        F.struct(F.lit(name).alias("column_name"), stored(vector).alias("pairs"))
         for name, vector in zip(columns, encoded)
     ]
     tall = rows.select("o_orderkey", F.inline(F.array(*cells)))
-    cell = F.posexplode_outer("dense").alias("slot", "value")
-    return tall.select("o_orderkey", "column_name", cell).where("value <> 0")
+    return tall.select("o_orderkey", "column_name", F.inline_outer("pairs")).where("value <> 0")
 
 
 @registered
@@ -304,7 +328,7 @@ def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return table(spark, folder, "documents").select("doc_id", "text")
 
 
 def _joined_words(df: DataFrame, key: str) -> DataFrame:
@@ -344,7 +368,7 @@ def tfidf_terms(spark: SparkSession, folder: str) -> DataFrame:
 
 def _features(spark: SparkSession, folder: str) -> DataFrame:
     """All records through the stages that were fitted on the training split."""
-    records = spread(write_table(cases(spark, folder, FEATURE_COLUMNS), "records"))
+    records = write_table(cases(spark, folder, FEATURE_COLUMNS), "records")
     training, _ = sampling.split_frames(records)
     return fit_features(training).transform(records)
 
@@ -364,6 +388,16 @@ def scaled_features(spark: SparkSession, folder: str) -> DataFrame:
     return _slots(_features(spark, folder), SCALED)
 
 
+@registered
+def feature_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The fitted pipeline in one vector per record: how many slots it fills, and their sum."""
+    vector = F.transform(stored(SCALED), lambda pair: pair["value"])
+    filled = F.filter(vector, lambda value: value != 0)
+    features = _features(spark, folder).select(KEY, filled.alias("filled"))
+    total = F.aggregate("filled", F.lit(0.0), lambda total, value: total + value)
+    return features.select(KEY, F.size("filled").cast("long").alias("filled_slots"), F.round(total, 4).alias("total"))
+
+
 # Sampling
 
 
@@ -395,6 +429,13 @@ def shuffle_rows(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.shuffle_rows(cases(spark, folder, [KEY, TARGET]))
 
 
+@registered
+def balanced_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """The balanced sample in shuffled order."""
+    records = write_table(cases(spark, folder, [KEY, TARGET, "company_response"]), "records")
+    return sampling.balanced_shuffled(records)
+
+
 # Models
 
 
@@ -405,40 +446,153 @@ def label_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _trained(spark: SparkSession, folder: str) -> tuple[TrainingRun, PipelineModel, DataFrame]:
-    """A finished training run over all cases: its paths, its model, and the records it began with."""
+    """A finished training run over all cases: its paths, its model as saved, and its records."""
     run = TrainingRun(new_folder(spark, "training"))
-    records = spread(write_table(cases(spark, folder), "records"))
-    return run, train(validate(records, run), run), records
+    records = write_table(cases(spark, folder), "records")
+    train(validate(records, run), run).write().overwrite().save(run.model)
+    return run, PipelineModel.load(run.model), records
 
 
 @registered
 def train_forest(spark: SparkSession, folder: str) -> DataFrame:
-    """Metrics of the forest on the training and the test split."""
+    """Per split: its rows, how many metrics the forest has, and whether its F1 is worth having.
+
+    The forest's own numbers have no SQL. A forest that is no better than always predicting the
+    label of most rows would show here.
+    """
     run, _, _ = _trained(spark, folder)
-    return spark.read.parquet(run.path("metrics"))
+    labels = spark.read.parquet(run.path("vectors")).groupBy("split", TARGET).agg(F.count(F.lit(1)).alias("n"))
+    share = F.max("n") / F.sum("n")
+    rule = labels.groupBy("split").agg(
+        F.sum("n").alias("row_count"),
+        F.count(F.lit(1)).alias("classes"),
+        # F1 of the label of most rows, weighted by rows: its recall is 1, its precision its share
+        (share * 2 * share / (share + 1)).alias("rule_f1"),
+    )
+    metrics = spark.read.parquet(run.path("metrics"))
+    held = metrics.groupBy("split").agg(
+        F.count(F.lit(1)).alias("metrics"), F.max(F.when(F.col("metric") == "f1", F.col("value"))).alias("f1")
+    )
+    return rule.join(held, "split").select(
+        "split", "row_count", "classes", "metrics", (F.col("f1") >= F.col("rule_f1")).alias("beats_rule")
+    )
+
+
+def _known(scored: DataFrame) -> DataFrame:
+    """Scored rows with, for the prediction, whether it is a label; the forest's choice has no SQL."""
+    known = F.col(PREDICTED_LABEL).isin("Yes", "No").alias("known_label")
+    return shown(scored.select(KEY, *SCORING_COLUMNS, known))
+
+
+def _scored_inputs(spark: SparkSession, folder: str, model: PipelineModel, base: str) -> None:
+    """Three inputs scored: two folders of equal name, and one in which half of the files lack a column.
+
+    Cases are dealt by their keys, so every case is in one input; all paths are under ``base``.
+    """
+    records = cases(spark, folder, FEATURE_COLUMNS)
+    part = F.col(KEY).cast("long") % 4
+    records.where(part == 0).write.parquet(f"{base}/2024/day")
+    records.where(part == 1).write.parquet(f"{base}/2025/day")
+    records.where(part == 2).write.parquet(f"{base}/mixed")
+    records.where(part == 3).drop("issue").write.mode("append").parquet(f"{base}/mixed")
+    inputs = [f"{base}/{name}" for name in ("2024/day", "2025/day", "mixed")]
+    outputs = [f"{base}/{name}" for name in ("predictions", "archive", "failed")]
+    score_inputs(model, spark, inputs, *outputs, run="1")
 
 
 @registered
 def score_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """Every case scored by a model that was trained on the training split; a bad folder is diverted."""
+    """Every case scored by a model that was trained on the training split, saved and loaded again."""
     run, model, records = _trained(spark, folder)
-    good, bad = run.path("input"), run.path("broken")
+    good = run.path("input")
     records.select(*FEATURE_COLUMNS).write.parquet(good)
-    records.select(KEY, "issue").write.parquet(bad)
     outputs = [run.path(name) for name in ("predictions", "archive", "failed")]
-    (scored,) = score_folders(model, spark, [good, bad], *outputs, run="1")
-    return shown(spark.read.parquet(scored))
+    (scored,) = score_inputs(model, spark, [good], *outputs, run="1")
+    return _known(spark.read.parquet(scored))
+
+
+@registered
+def scored_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions and archive of all valid files, read back: nothing of one input replaces another's."""
+    run, model, _ = _trained(spark, folder)
+    _scored_inputs(spark, folder, model, run.path("in"))
+    predicted = spark.read.parquet(f"{run.path('in')}/predictions").select(SOURCE, KEY, PREDICTED_LABEL)
+    archived = spark.read.parquet(f"{run.path('in')}/archive").select(SOURCE, KEY, *SCORING_COLUMNS)
+    both = archived.join(predicted, [SOURCE, KEY], "full")
+    known = F.col(PREDICTED_LABEL).isin("Yes", "No").alias("known_label")
+    source = F.substring_index(SOURCE, "/in/", -1).alias("input")
+    return shown(both.select(source, KEY, *SCORING_COLUMNS, known))
+
+
+@registered
+def diverted_input(spark: SparkSession, folder: str) -> DataFrame:
+    """The files that break the contract, read back from where they were diverted."""
+    run, model, _ = _trained(spark, folder)
+    _scored_inputs(spark, folder, model, run.path("in"))
+    diverted = spark.read.parquet(f"{run.path('in')}/failed")
+    source = F.substring_index(SOURCE, "/in/", -1).alias("input")
+    return shown(diverted.select(source, KEY, *[name for name in SCORING_COLUMNS if name != "issue"]))
 
 
 @registered
 def _score_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Every case scored as its file arrives."""
+    """Every case scored as its file arrives, with whether batch scoring says the same; a bad file is diverted."""
     run, model, records = _trained(spark, folder)
     records = records.select(*FEATURE_COLUMNS)
-    records.write.parquet(run.path("arrivals"))
-    outputs = [run.path(name) for name in ("predictions", "archive", "progress")]
-    score_stream(model, spark, run.path("arrivals"), records.schema, *outputs).awaitTermination()
-    return shown(spark.read.parquet(run.path("predictions")).drop("batch"))
+    arrivals = run.path("arrivals")
+    records.write.parquet(arrivals)
+    records.drop("issue").write.mode("append").parquet(arrivals)
+    outputs = [run.path(name) for name in ("predictions", "archive", "failed", "progress")]
+    score_stream(model, spark, arrivals, records.schema, *outputs).awaitTermination()
+    streamed = spark.read.parquet(run.path("predictions")).select(KEY, *SCORING_COLUMNS, PREDICTED_LABEL)
+    batch = score(model, records).select(KEY, F.col(PREDICTED_LABEL).alias("batch_label"))
+    diverted = spark.read.parquet(run.path("failed")).select(KEY, F.lit(True).alias("diverted"))
+    both = streamed.join(batch, KEY, "full").join(diverted, KEY, "full")
+    return shown(
+        both.select(
+            KEY,
+            *SCORING_COLUMNS,
+            F.col(PREDICTED_LABEL).eqNullSafe(F.col("batch_label")).alias("same_as_batch"),
+            F.coalesce("diverted", F.lit(False)).alias("also_diverted"),
+        )
+    )
+
+
+@registered
+def training_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Two whole runs and their report, and all cases scored with the newest accepted model, loaded anew.
+
+    Which of the two models is the better one has no SQL; what every run must leave behind has.
+    """
+    base = new_folder(spark, "runs")
+    records = write_table(cases(spark, folder), "records")
+    report = f"{base}/report"
+    runs = [run_training(records, f"{base}/{number}", report, seed=number) for number in (1, 2)]
+    newest = promotion.latest_model(spark, report)
+    scored = score(PipelineModel.load(newest), records)
+    known = F.count_if(F.col(PREDICTED_LABEL).isin("Yes", "No"))
+    rows = spark.read.schema(promotion.REPORT_SCHEMA).parquet(report)
+    number = F.when(F.col("trained_model_path") == runs[0].model, 1).otherwise(2)
+    first = F.col("run") == 1
+    accepted = (first & (F.col("model_accepted") == "true")) | (
+        ~first & (F.col("model_accepted") == (F.col("changed_accuracy") >= PROMOTION_MARGIN).cast("string"))
+    )
+    counts = [
+        spark.read.parquet(run.path("accepted")).agg(F.count(F.lit(1)).alias("accepted_rows")).withColumn("run", F.lit(k))
+        for k, run in enumerate(runs, 1)
+    ]
+    return (
+        rows.withColumn("run", number)
+        .join(reduce(DataFrame.unionByName, counts), "run")
+        .select(
+            "run",
+            F.col("best_model_path").eqNullSafe(F.when(~first, F.lit(runs[0].model))).alias("champion_as_expected"),
+            accepted.alias("verdict_follows_margin"),
+            F.lit(newest in [run.model for run in runs]).alias("newest_is_a_run"),
+            "accepted_rows",
+            scored.agg(known).scalar().alias("scored"),
+        )
+    )
 
 
 # Metrics and promotion

@@ -22,6 +22,28 @@ def as_timestamp(column: str) -> Column:
     return F.col(column).try_cast("timestamp")
 
 
+def value_text(column: Column, kind: str) -> Column:
+    """Equal values as equal texts, different ones as different texts, whatever the session's time zone."""
+    if kind in ("float", "double"):
+        column = column + F.lit(0.0)  # minus zero equals zero
+    elif kind == "timestamp":
+        column = F.unix_micros(column)
+    elif kind == "binary":
+        column = F.hex(column)
+    elif kind.startswith(("array", "struct", "map")):
+        column = F.to_json(column, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timeZone": "UTC"})
+    return column.cast("string")
+
+
+def text_value(text: Column, kind: str) -> Column:
+    """The value that ``value_text`` made the text from, for single values."""
+    if kind == "timestamp":
+        return F.timestamp_micros(text.cast("long"))
+    if kind == "binary":
+        return F.unhex(text)
+    return text.cast(kind)
+
+
 def elapsed_days(start: str, end: str) -> Column:
     """Absolute distance in days, counted in whole seconds; NULL when either side is."""
     seconds = as_timestamp(end).cast("long") - as_timestamp(start).cast("long")

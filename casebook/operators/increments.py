@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.schema import FIRST_DATE, KEY, RECEIVED
@@ -27,23 +28,53 @@ def incremental_slice(
 ) -> DataFrame:
     """Records of ``feed`` from the store's mark on (and before ``to_date``) that the store lacks.
 
-    One record per key is kept: downloads of neighbouring windows repeat their shared day. The
-    slice is written first, so that appending it to the store later cannot move the mark under it,
-    and because Catalyst then knows how small it is beside the store: the store's keys are cut
-    down to those in the slice by a broadcast where it fits, and only those are anti-joined.
+    One record per key is kept: downloads of neighbouring windows repeat their shared day. Records
+    without a key are kept apart; records without a date are in no slice, and those that arrive
+    after the mark has passed them are left to ``unseen_records``. The slice is written first, so
+    that appending it to the store later cannot move the mark under it, and because Catalyst then
+    knows how small it is beside the store: the store's keys are cut down to those in the slice by
+    a broadcast where it fits, and only those are anti-joined.
     """
     mark = high_water_mark(store, first_date, received).scalar()
     due = feed.where(F.col(received) >= mark)
     if to_date is not None:
         due = due.where(F.col(received) < F.lit(to_date).cast("timestamp"))
-    others = [F.col(name) for name in feed.columns if name != key]
-    copies = Window.partitionBy(key).orderBy(F.col(received).desc(), *others)
-    new = due.withColumn("copy", F.row_number().over(copies)).where("copy = 1").drop("copy")
-    new = write_table(new, "slice")
+    new = write_table(newest_copies(due, key, received), "slice")
     replayed = store.select(key).join(new.select(key), key, "left_semi").distinct()
     return new.join(replayed, key, "left_anti")
 
 
+def newest_copies(records: DataFrame, key: str = KEY, received: str = RECEIVED) -> DataFrame:
+    """The newest record of every key (of equally new ones the last by content), and all without a key.
+
+    The newest is found per map task before the shuffle, so copies of one key never gather in a task.
+    """
+    row = F.struct(*[F.col(name) for name in records.columns])
+    order = F.struct(F.col(received), F.to_json(row))
+    keyed = records.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
+    newest = keyed.agg(F.max_by(row, order).alias("_row")).select("_row.*")
+    return newest.unionByName(records.where(F.col(key).isNull()))
+
+
+def unseen_records(
+    records: DataFrame,
+    read_years: Callable[[int, int], DataFrame],
+    key: str = KEY,
+    received: str = RECEIVED,
+) -> DataFrame:
+    """Records whose key the store lacks, whenever they were received, each key once.
+
+    ``read_years`` gives the store's records received from one year to another. Only the years that
+    the records touch are read; a record whose year of receipt has changed counts as a new one.
+    """
+    new = write_table(newest_copies(records, key, received), "slice")
+    years = new.agg(F.min(F.year(received)), F.max(F.year(received))).first()
+    if years[0] is None:
+        return new
+    replayed = read_years(*years).select(key).join(new.select(key), key, "left_semi").distinct()
+    return new.join(replayed, key, "left_anti")
+
+
 def window_unit(from_date: date, to_date: date) -> str | None:
     """Unit of the download windows by length of the span; None is one window for the whole span."""
     days = (to_date - from_date).days

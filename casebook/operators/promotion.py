@@ -86,7 +86,9 @@ def latest_model(spark: SparkSession, report_path: str) -> str | None:
     """Path of the newest accepted model; None when there is no report or none was accepted."""
     try:
         report = spark.read.schema(REPORT_SCHEMA).parquet(report_path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     accepted = report.where(F.col("model_accepted") == "true")
     return accepted.agg(F.max_by("trained_model_path", "evaluated_at")).first()[0]

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casebook.functions.columns import value_text
 from casebook.schema import KEY, MISSING_THRESHOLD, QUARANTINE_REASON, UNWANTED_COLUMNS
 
 
@@ -131,21 +132,16 @@ def contract_report(
     return held.unionByName(gaps) if absent else held
 
 
-# Values longer than a digest are counted by digest, which bounds the width of what is shuffled.
+# Values longer than a digest are counted by digest, which bounds the width of what is shuffled. A
+# mark in front keeps a digest apart from a value that happens to be its text.
 _DIGEST_LENGTH = 64
 
 
 def _as_text(name: str, kind: str) -> Column:
     """Equal values give equal texts, different values different ones."""
-    value = _named(name)
-    if kind in ("float", "double"):
-        value = value + F.lit(0.0)  # minus zero equals zero
-    elif kind == "binary":
-        value = F.hex(value)
-    elif kind.startswith(("array", "struct", "map")):
-        value = F.to_json(value)
-    text = value.cast("string")
-    return F.when(F.length(text) > _DIGEST_LENGTH, F.sha2(text, 256)).otherwise(text)
+    text = value_text(_named(name), kind)
+    digest = F.concat(F.lit("#"), F.sha2(text, 256))
+    return F.when(F.length(text) > _DIGEST_LENGTH, digest).otherwise(F.concat(F.lit("="), text))
 
 
 def column_profile(df: DataFrame, approximate: bool = False, error: float = 0.02) -> DataFrame:

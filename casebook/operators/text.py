@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions.vectors import slots
-from casebook.operators.frequency import attach_counts, hot_values
+from casebook.operators.frequency import ROWS_PER_TASK, attach_counts, hot_values
 from casebook.schema import TEXT_BUCKETS
 from casebook.workspace import write_table
 
@@ -38,7 +38,7 @@ def _each(words: str | Column) -> Column:
 
 
 def term_frequencies(df: DataFrame, key: str, column: str) -> DataFrame:
-    """Count of every word per record."""
+    """Count of every word per record; ``key`` names one record."""
     words = tokenize(df.select(key, column), column)
     return (
         words.select(key, _each("words").alias("term"))
@@ -55,10 +55,11 @@ def document_frequencies(df: DataFrame, column: str) -> DataFrame:
     return terms.groupBy("value").agg(F.count(F.lit(1)).alias("frequency"))
 
 
-def tfidf_terms(df: DataFrame, key: str, column: str) -> DataFrame:
-    """TF-IDF over the exact vocabulary, one row per record and word."""
+def tfidf_terms(df: DataFrame, key: str, column: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """TF-IDF over the exact vocabulary, one row per record and word; ``key`` names one record."""
     vocabulary = write_table(document_frequencies(df, column), "vocabulary")
     terms = term_frequencies(df, key, column)
-    weighted = attach_counts(terms, vocabulary, "term", "df", hot=hot_values(vocabulary), spread_by=[key])
+    hot = hot_values(vocabulary, rows_per_task=rows_per_task)
+    weighted = attach_counts(terms, vocabulary, "term", "df", hot=hot, spread_by=[key])
     records = df.agg(F.count(F.lit(1))).scalar()
     return weighted.withColumn("tfidf", F.col("tf") * F.log((records + 1) / (F.col("df") + 1)))

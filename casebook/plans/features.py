@@ -11,6 +11,7 @@ from pyspark.ml.feature import (
     SQLTransformer,
     StandardScaler,
     StringIndexer,
+    StringIndexerModel,
     Tokenizer,
     VectorAssembler,
 )
@@ -18,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions.columns import elapsed_days
-from casebook.plans.stages import ElapsedDays, ModeImputer
+from casebook.operators.frequency import frequency_table
+from casebook.plans.stages import ElapsedDays, ModeImputer, ModeImputerModel
 from casebook.schema import (
     ASSEMBLED,
     CATEGORY_COLUMNS,
@@ -32,8 +34,10 @@ from casebook.schema import (
     TEXT_COLUMN,
     prefixed,
 )
+from casebook.workspace import write_table
 
-# Categories are indexed by a list kept with the model, so there must be few enough to list.
+# Categories are indexed by a list kept with the model, so there must be few enough to list; the
+# largest number that ``fit_features`` takes unless told otherwise.
 MAX_CATEGORIES = 100_000
 
 _TEXT = "filled_text"
@@ -64,23 +68,52 @@ def feature_stages(strict: bool = False) -> list:
     ]
 
 
-def check_fit_inputs(df: DataFrame) -> DataFrame:
-    """Return ``df``, or raise naming the columns no stage can be fitted on. One aggregate."""
-    filled = {ELAPSED: F.count(elapsed_days(*DATE_COLUMNS))} | {name: F.count(name) for name in CATEGORY_COLUMNS}
-    many = [F.approx_count_distinct(name).alias(f"distinct_{name}") for name in CATEGORY_COLUMNS]
-    row = df.agg(*[count.alias(name) for name, count in filled.items()], *many).first()
-    empty = [name for name in filled if row[name] == 0]
+def fitted_categories(df: DataFrame, strict: bool, most: int) -> list[Transformer]:
+    """Mode imputer and indexers of the category columns, from one count of all their values.
+
+    Raises, naming the columns no stage can be fitted on. Categories are counted exactly.
+    """
+    known = F.when(elapsed_days(*DATE_COLUMNS).isNotNull(), "")
+    counts = frequency_table(df.withColumn(ELAPSED, known), [*CATEGORY_COLUMNS, ELAPSED])
+    counts = write_table(counts, "categories")
+    sizes = counts.where("value IS NOT NULL").groupBy("column_name").agg(F.count(F.lit(1)).alias("held"))
+    held = {row.column_name: row.held for row in sizes.collect()}
+    empty = [name for name in (ELAPSED, *CATEGORY_COLUMNS) if name not in held]
     if empty:
         raise ValueError(f"cannot fit features: no values in {empty}")
-    wide = [name for name in CATEGORY_COLUMNS if row[f"distinct_{name}"] > MAX_CATEGORIES]
+    wide = [name for name in CATEGORY_COLUMNS if held[name] > most]
     if wide:
-        raise ValueError(f"cannot one-hot encode {wide}: more than {MAX_CATEGORIES} categories")
-    return df
+        raise ValueError(f"cannot one-hot encode {wide}: more than {most} categories")
+    found: dict[str, dict[str | None, int]] = {name: {} for name in CATEGORY_COLUMNS}
+    for row in counts.where(F.col("column_name") != ELAPSED).collect():  # at most ``most`` for each column
+        found[row.column_name][row.value] = row.frequency
+    modes, labels = [], []
+    for name in CATEGORY_COLUMNS:
+        missing = found[name].pop(None, 0)
+        mode = min(found[name], key=lambda value: (-found[name][value], value))
+        found[name][mode] += missing
+        modes.append(mode)
+        labels.append(sorted(found[name], key=lambda value: (-found[name][value], value)))
+    imputed, indexed = prefixed(IMPUTED, CATEGORY_COLUMNS), prefixed(INDEXED, CATEGORY_COLUMNS)
+    imputer = ModeImputerModel(fillValues=modes).setInputCols(CATEGORY_COLUMNS).setOutputCols(imputed)
+    invalid = "error" if strict else "keep"
+    # one model for each column: a shared one would fill up the shorter lists of labels
+    indexers = [
+        StringIndexerModel.from_labels(own, name, output, invalid)
+        for own, name, output in zip(labels, imputed, indexed, strict=True)
+    ]
+    return [imputer, *indexers]
 
 
-def fit_features(train: DataFrame, strict: bool = False) -> PipelineModel:
-    """Fit on training records only. Give a written table: every estimator makes its own column-pruned pass."""
-    return Pipeline(stages=feature_stages(strict)).fit(check_fit_inputs(train))
+def fit_features(train: DataFrame, strict: bool = False, max_categories: int = MAX_CATEGORIES) -> PipelineModel:
+    """Fit on training records only. Give a written table: counting, mean, IDF and scaler each make
+    a column-pruned pass of their own."""
+    imputer, *indexers = fitted_categories(train, strict, max_categories)
+    stages: list = []
+    for stage in feature_stages(strict):
+        fitted = {ModeImputer: [imputer], StringIndexer: indexers}
+        stages += fitted.get(type(stage), [stage])
+    return Pipeline(stages=stages).fit(train)
 
 
 def join_models(*models: Transformer) -> PipelineModel:

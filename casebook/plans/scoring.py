@@ -1,28 +1,81 @@
-"""Batch scoring: check input folders, score the valid ones whole, archive them, divert the others."""
+"""Batch scoring: check input files, score the valid ones, archive them, divert the others."""
 
 from __future__ import annotations
 
-import posixpath
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from casebook.schema import KEY, PREDICTED_LABEL, SCORING_COLUMNS
-from casebook.workspace import spread
+from casebook.schema import DATE_COLUMNS, KEY, PREDICTED_LABEL, SCORING_COLUMNS
+
+SOURCE = "source"
+# Footers read at a time; each is a short job of its own.
+READERS = 16
+_TEXTS, _DATES = {"string"}, {"string", "date", "timestamp", "timestamp_ntz"}
 
 
 def missing_columns(df: DataFrame, required: Sequence[str] = SCORING_COLUMNS) -> list[str]:
     return [name for name in required if name not in df.columns]
 
 
-def scoring_contract(
-    spark: SparkSession, folders: Sequence[str], required: Sequence[str] = SCORING_COLUMNS
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Input folders by whether they hold every required column: (valid, invalid). Reads footers only."""
-    inputs = {folder: spark.read.parquet(folder) for folder in folders}
-    valid = {folder: df for folder, df in inputs.items() if not missing_columns(df, required)}
-    return valid, {folder: df for folder, df in inputs.items() if folder not in valid}
+def contract_problems(schema: StructType, required: Sequence[str] = SCORING_COLUMNS) -> list[str]:
+    """Required columns that a schema lacks or has with a type that no stage accepts."""
+    kinds = {field.name: field.dataType.simpleString() for field in schema}
+    lacking = [name for name in required if name not in kinds]
+    wrong = [
+        f"{name} {kinds[name]}"
+        for name in required
+        if name in kinds and kinds[name] not in (_DATES if name in DATE_COLUMNS else _TEXTS)
+    ]
+    return lacking + wrong
+
+
+@dataclass(frozen=True)
+class FileGroup:
+    """Files of one schema, by the input they were found under, and what the contract says of them."""
+
+    schema: StructType
+    files: dict[str, list[str]]
+    problems: list[str]
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """All rows, with the input they came from."""
+        parts = [
+            spark.read.schema(self.schema).parquet(*files).withColumn(SOURCE, F.lit(name))
+            for name, files in self.files.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+
+def files_under(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a folder, or the file itself. Lists names; reads no content."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return sorted(row.path for row in found.select("path").collect())
+
+
+def file_groups(
+    spark: SparkSession, inputs: Iterable[str], required: Sequence[str] = SCORING_COLUMNS
+) -> list[FileGroup]:
+    """The inputs' files by schema. Every file's own footer decides; names and types are compared."""
+    by_input = {name: files_under(spark, name) for name in inputs}
+    files = [file for found in by_input.values() for file in found]
+    with ThreadPoolExecutor(READERS) as pool:
+        schemas = dict(zip(files, pool.map(lambda file: spark.read.parquet(file).schema, files), strict=True))
+    groups: dict[str, dict[str, list[str]]] = defaultdict(lambda: defaultdict(list))
+    for name, found in by_input.items():
+        for file in found:
+            groups[schemas[file].json()][name].append(file)
+    return [
+        FileGroup(schema, dict(groups[text]), contract_problems(schema, required))
+        for text, schema in sorted({schemas[file].json(): schemas[file] for file in files}.items())
+    ]
 
 
 def score(model: Transformer, df: DataFrame, keep: Sequence[str] = (KEY, *SCORING_COLUMNS)) -> DataFrame:
@@ -31,35 +84,33 @@ def score(model: Transformer, df: DataFrame, keep: Sequence[str] = (KEY, *SCORIN
     return model.transform(df).select(*kept, PREDICTED_LABEL)
 
 
-def output_folder(base: str, source: str, run: str) -> str:
-    """Where one run writes what came from ``source``; a ``.csv`` file stands for its folder."""
-    source = source.rstrip("/")
-    if source.endswith(".csv"):
-        source = posixpath.dirname(source)
-    return f"{base.rstrip('/')}/run={run}/{posixpath.basename(source)}"
-
-
-def score_folders(
+def score_inputs(
     model: Transformer,
     spark: SparkSession,
-    folders: Sequence[str],
+    inputs: Sequence[str],
     predictions: str,
     archive: str,
     failed: str,
     run: str,
 ) -> list[str]:
-    """Score every valid folder, archive its input, divert invalid ones; returns the prediction folders.
+    """Score the valid files of all inputs, archive their rows, divert the files that break the contract.
 
-    Both writes read the same file listing. Scanning twice, each time only the columns that are
-    written, costs less than holding the input in memory. Repeating a run overwrites its output.
+    Files of one schema are one job, whatever inputs they belong to. A run writes
+    ``<base>/run=<run>/group=<number>/source=<whole input path>``, so inputs of equal name stay
+    apart. Repeating a run overwrites its output. Returns the folders with predictions.
     """
-    valid, invalid = scoring_contract(spark, folders)
-    for folder, df in invalid.items():
-        df.write.mode("overwrite").parquet(output_folder(failed, folder, run))
     written = []
-    for folder, df in valid.items():
-        target = output_folder(predictions, folder, run)
-        score(model, spread(df)).write.mode("overwrite").parquet(target)
-        df.write.mode("overwrite").parquet(output_folder(archive, folder, run))
-        written.append(target)
+    for number, group in enumerate(file_groups(spark, inputs)):
+        rows, place = group.read(spark), f"run={run}/group={number}"
+
+        def write(df: DataFrame, base: str, place: str = place) -> str:
+            target = f"{base.rstrip('/')}/{place}"
+            df.write.mode("overwrite").partitionBy(SOURCE).parquet(target)
+            return target
+
+        if group.problems:
+            write(rows, failed)
+        else:
+            written.append(write(score(model, rows, (KEY, *SCORING_COLUMNS, SOURCE)), predictions))
+            write(rows, archive)
     return written

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 
 from casebook.functions.columns import as_timestamp, elapsed_days
 from casebook.operators.frequency import (
+    ROWS_PER_TASK,
     encode_frequencies,
     fitted_modes,
     frequency_table,
@@ -97,18 +98,31 @@ class _Unseen(Params):
 class FrequencyEncoder(Estimator, _Columns, _Unseen):
     """Replace values by how many rows of the fitted data hold them."""
 
+    rowsPerTask = Param(
+        Params._dummy(),
+        "rowsPerTask",
+        "rows of one value that a task of the lookup may get",
+        typeConverter=TypeConverters.toInt,
+    )
+
     @keyword_only
     def __init__(
-        self, *, inputCols: list[str] | None = None, outputCols: list[str] | None = None, unseen: str = "drop"
+        self,
+        *,
+        inputCols: list[str] | None = None,
+        outputCols: list[str] | None = None,
+        unseen: str = "drop",
+        rowsPerTask: int = ROWS_PER_TASK,
     ):
         super().__init__()
-        self._setDefault(unseen="drop")
+        self._setDefault(unseen="drop", rowsPerTask=ROWS_PER_TASK)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> FrequencyEncoderModel:
         names = self.getInputCols()
         counts = write_table(frequency_table(dataset, names), "frequencies", ("column_name",))
-        model = FrequencyEncoderModel(hotValues=json.dumps(hot_by_column(counts)))
+        hot = hot_by_column(counts, self.getOrDefault(self.rowsPerTask))
+        model = FrequencyEncoderModel(hotValues=json.dumps(hot))
         model.frequencies = counts
         return self._copyValues(model)
 
@@ -131,7 +145,7 @@ class FrequencyEncoderModel(Model, _Columns, _Unseen):
     """The counts stay a distributed table: ``frequencies(column_name, value, frequency)``."""
 
     hotValues = Param(
-        Params._dummy(), "hotValues", "very frequent values per column, as JSON", typeConverter=TypeConverters.toString
+        Params._dummy(), "hotValues", "very frequent values per column and their join keys, as JSON", typeConverter=TypeConverters.toString
     )
 
     frequencies: DataFrame

@@ -2,20 +2,47 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casebook.functions.columns import as_timestamp
-from casebook.operators.increments import incremental_slice
-from casebook.schema import FIRST_DATE, RECEIVED, RECORD_SCHEMA
+from casebook.operators.increments import unseen_records
+from casebook.schema import FIRST_DATE, KEY, RECEIVED, RECORD_SCHEMA
 
 PAYLOAD = "_source"
+BROKEN = "_broken"
 STORE_YEAR = "received_year"
+OTHER = "other_fields"
+
+# Feeds carry everything as text, so a bad date becomes NULL, and undeclared fields are kept by name.
+_ENVELOPE = T.StructType(
+    [T.StructField(PAYLOAD, T.MapType(T.StringType(), T.StringType())), T.StructField(BROKEN, T.StringType())]
+)
+STORE_SCHEMA = T.StructType([*RECORD_SCHEMA, T.StructField(OTHER, T.MapType(T.StringType(), T.StringType()))])
+
+
+def read_elements(spark: SparkSession, path: str, multi_line: bool = False, mode: str = "PERMISSIVE") -> DataFrame:
+    """Feed elements: the fields of each one's record, or the text of what is no JSON.
+
+    Every line is an element or an array of elements, so a large file is split among tasks.
+    ``multi_line`` reads files that spread one array over many lines, one file per task.
+    """
+    reader = spark.read.schema(_ENVELOPE).option("columnNameOfCorruptRecord", BROKEN)
+    return reader.option("multiLine", multi_line).option("mode", mode).json(path)
+
 
-# Feeds carry everything as text, so a bad date becomes NULL and only broken JSON fails the read.
-_TEXT_RECORD = T.StructType([T.StructField(field.name, T.StringType()) for field in RECORD_SCHEMA])
+def records_of(elements: DataFrame) -> list[Column]:
+    """The declared columns and the other fields of an element's record."""
+    declared = [field.name for field in RECORD_SCHEMA]
+    values = {name: F.col(PAYLOAD)[name] for name in declared}
+    for field in RECORD_SCHEMA:
+        if isinstance(field.dataType, T.TimestampType):
+            values[field.name] = values[field.name].try_cast("timestamp")
+    others = F.map_filter(PAYLOAD, lambda name, _: ~name.isin(*declared))
+    return [*[value.alias(name) for name, value in values.items()], others.alias(OTHER)]
 
 
 def read_envelope(
@@ -23,14 +50,22 @@ def read_envelope(
 ) -> DataFrame:
     """Records inside the ``_source`` of feed elements; elements without one are left out.
 
-    By default every line is an element or an array of elements, so a large file is split among
-    tasks. ``multi_line`` reads files that spread one array over many lines, one file per task.
+    Fields that the record type does not declare are kept as text in ``other_fields``.
     """
-    envelope = T.StructType([T.StructField(PAYLOAD, _TEXT_RECORD)])
-    elements = spark.read.schema(envelope).option("multiLine", multi_line).option("mode", mode).json(path)
-    records = elements.where(F.col(PAYLOAD).isNotNull()).select(f"{PAYLOAD}.*")
-    dates = [field.name for field in RECORD_SCHEMA if isinstance(field.dataType, T.TimestampType)]
-    return records.withColumns({name: as_timestamp(name) for name in dates})
+    elements = read_elements(spark, path, multi_line, mode).where(F.col(PAYLOAD).isNotNull())
+    return elements.select(*records_of(elements))
+
+
+def rejection(first_date: str = FIRST_DATE) -> Column:
+    """Why a record cannot be loaded, NULL if it can: it is broken, or lacks a key or a usable date."""
+    received = F.col(PAYLOAD)[RECEIVED].try_cast("timestamp")
+    key = F.col(PAYLOAD)[KEY]
+    return (
+        F.when(F.col(BROKEN).isNotNull(), "broken")
+        .when(key.isNull() | (F.trim(key) == ""), "no key")
+        .when(received.isNull(), "no date")
+        .when(received < F.lit(first_date).cast("timestamp"), "before the first date")
+    )
 
 
 def write_envelope(records: DataFrame, path: str) -> None:
@@ -40,11 +75,11 @@ def write_envelope(records: DataFrame, path: str) -> None:
 
 
 def append_to_store(records: DataFrame, path: str, rebalance: bool = False) -> None:
-    """Append to the store, partitioned by year of receipt, without a shuffle.
+    """Append to the store, partitioned by year of receipt.
 
-    Feed files hold one download window each, so a task meets a year or two. For feeds mixed in
-    time, ``rebalance`` shuffles to files of even size: AQE splits a year that holds a third of the
-    rows among tasks and merges small ones.
+    Feed files hold one download window each, so a task meets a year or two and needs no shuffle.
+    For records that were shuffled before, ``rebalance`` gathers them by year into files of even
+    size: AQE splits a year that holds a third of the rows among tasks and merges small ones.
     """
     yearly = records.withColumn(STORE_YEAR, F.year(RECEIVED))
     if rebalance:
@@ -52,19 +87,25 @@ def append_to_store(records: DataFrame, path: str, rebalance: bool = False) -> N
     yearly.write.mode("append").partitionBy(STORE_YEAR).parquet(path)
 
 
-def read_store(spark: SparkSession, path: str, from_year: int | None = None) -> DataFrame:
-    """The store's records; ``from_year`` reads only the partitions from that year on."""
-    schema = T.StructType([*RECORD_SCHEMA, T.StructField(STORE_YEAR, T.IntegerType())])
+def read_store(
+    spark: SparkSession, path: str, from_year: int | None = None, to_year: int | None = None
+) -> DataFrame:
+    """The store's records; the years bound the partitions that are read."""
+    schema = T.StructType([*STORE_SCHEMA, T.StructField(STORE_YEAR, T.IntegerType())])
     stored = spark.read.schema(schema).parquet(path)
     if from_year is not None:
         stored = stored.where(F.col(STORE_YEAR) >= from_year)
+    if to_year is not None:
+        stored = stored.where(F.col(STORE_YEAR) <= to_year)
     return stored.drop(STORE_YEAR)
 
 
 def store_exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.schema(RECORD_SCHEMA).parquet(path)
-    except AnalysisException:
+        spark.read.schema(STORE_SCHEMA).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     return True
 
@@ -78,16 +119,41 @@ def load_increment(
 ) -> DataFrame:
     """Append the feed's records that the store lacks, each once; returns what was appended.
 
-    The next run starts at the newest record that was loaded, so a file that failed to arrive is
-    not skipped for good.
+    A record that arrives late is loaded like any other. What cannot be loaded goes to the rejected
+    table with its reason; loading a feed again replaces what it had rejected. Records received
+    from ``to_date`` on wait for a later run.
     """
-    feed = read_envelope(spark, feed_path)
-    stored = read_store(spark, store_path) if store_exists(spark, store_path) else feed.limit(0)
-    new = incremental_slice(feed, stored, to_date, first_date)
-    append_to_store(new, store_path)
+    elements = read_elements(spark, feed_path).withColumn("reason", rejection(first_date))
+    elements = elements.where(F.col(PAYLOAD).isNotNull() | F.col(BROKEN).isNotNull())
+    rejected = elements.where("reason IS NOT NULL").select(
+        "reason",
+        F.coalesce(BROKEN, F.to_json(PAYLOAD)).alias("record"),
+        F.when(F.col(BROKEN).isNull(), F.col(PAYLOAD)[KEY]).alias(KEY),
+    )
+    feed = hashlib.sha256(feed_path.rstrip("/").encode()).hexdigest()
+    rejected.write.mode("overwrite").parquet(f"{rejected_path(store_path)}/feed={feed}")
+    usable = elements.where("reason IS NULL").select(*records_of(elements))
+    if to_date is not None:
+        usable = usable.where(F.col(RECEIVED) < F.lit(to_date).cast("timestamp"))
+
+    def read_years(low: int, high: int) -> DataFrame:
+        return read_store(spark, store_path, low, high) if store_exists(spark, store_path) else usable.limit(0)
+
+    new = unseen_records(usable, read_years)
+    append_to_store(new, store_path, rebalance=True)
     return new
 
 
+def rejected_path(store_path: str) -> str:
+    return f"{store_path.rstrip('/')}-rejected"
+
+
+def read_rejected(spark: SparkSession, store_path: str) -> DataFrame:
+    """reason, record (as text) and key of everything that the feeds of a store could not load."""
+    schema = f"reason string, record string, {KEY} string, feed string"
+    return spark.read.schema(schema).parquet(rejected_path(store_path)).drop("feed")
+
+
 def land_to_store(spark: SparkSession, feed_path: str, store_path: str, multi_line: bool = False) -> DataFrame:
     """Read all feed files of a folder in one job, append their records, return the whole store."""
     append_to_store(read_envelope(spark, feed_path, multi_line), store_path)

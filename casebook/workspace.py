@@ -1,4 +1,4 @@
-"""Written tables in the folder all executors share, and small tables over all cores."""
+"""Written tables in the folder all executors share."""
 
 from __future__ import annotations
 
@@ -25,9 +25,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's tables."""
+    return f"{shared_folder(spark)}/casebook/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/casebook/{name}-{uuid.uuid4().hex}"
+    """A path in the run's folder that nothing else uses."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -42,11 +47,7 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a table read from files, over all cores.
-
-    For work that costs much more per row than a shuffle: a table of few splits would leave cores
-    idle. A table with at least one split per core, as any large one has, comes back unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that this application has written; results that read them must be stored by then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

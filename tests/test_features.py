@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from casebook.operators import frequency, text
-from casebook.plans.features import feature_stages, fit_features
+from casebook.plans.features import feature_stages, fit_features, fitted_categories
 from casebook.plans.stages import ElapsedDays, FrequencyEncoder, ModeImputer
 from casebook.schema import SCALED
 from casebook.sources.cases import cases
@@ -72,8 +72,9 @@ def test_hot_value_is_spread_when_the_table_is_not_broadcast(spark, unseen):
     """A value that holds a third of all rows meets its count in many join keys, with nothing lost or doubled."""
     rows = spark.range(30_000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id % 5000 as string)) as c")
     rows = rows.union(spark.range(500).selectExpr("id + 100000", "cast(null as string)"))
-    model = FrequencyEncoder(inputCols=["c"], outputCols=["n"], unseen=unseen).fit(rows)
-    assert frequency.hot_by_column(model.frequencies) == {"c": ["hot"]}
+    encoder = FrequencyEncoder(inputCols=["c"], outputCols=["n"], unseen=unseen, rowsPerTask=400)
+    model = encoder.fit(rows)
+    assert frequency.hot_by_column(model.frequencies, 400) == {"c": {"hot": 32}}
     kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -173,6 +174,28 @@ def test_unseen_category_and_null_are_scored(spark, records):
     assert model.transform(odd).select(vector_to_array(SCALED)).count() == 2
 
 
+def test_categories_are_counted_exactly(spark, records):
+    assert fit_features(records, max_categories=5)
+    with pytest.raises(ValueError, match="submitted_via"):
+        fit_features(records, max_categories=4)
+
+
+def test_categories_are_indexed_as_the_indexer_would(spark, records):
+    imputer, *indexers = fitted_categories(records, strict=False, most=100)
+    filled = ModeImputer(inputCols=imputer.getInputCols(), outputCols=imputer.getOutputCols()).fit(records).transform(records)
+    for indexer in indexers:
+        assert indexer.labels == StringIndexer(inputCol=indexer.getInputCol(), outputCol="i").fit(filled).labels
+
+
+def test_fills_keep_the_columns_type(spark):
+    df = spark.createDataFrame([(1, "2020-01-01"), (1, "2020-01-01"), (None, None)], "n int, d string")
+    df = df.selectExpr("n", "cast(d as timestamp) d")
+    model = ModeImputer(inputCols=["n", "d"], outputCols=["im_n", "im_d"]).fit(df)
+    filled = model.transform(df)
+    assert dict(filled.dtypes)["im_n"] == "int" and dict(filled.dtypes)["im_d"] == "timestamp"
+    assert filled.where("im_n = 1 and im_d = timestamp'2020-01-01'").count() == 3
+
+
 def test_strict_pipeline_drops_the_rarest_slot(spark, records):
     kept, strict = fit_features(records), fit_features(records, strict=True)
     sizes = [len(m.transform(records).select(vector_to_array(SCALED).alias("v")).first().v) for m in (kept, strict)]

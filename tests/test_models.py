@@ -141,25 +141,39 @@ def test_metrics_of_the_forest_equal_the_evaluator(spark, trained):
     assert row.value == pytest.approx(evaluator.evaluate(scored))
 
 
-def test_folders_are_scored_archived_or_diverted(spark, trained, tmp_path):
+def test_inputs_are_scored_archived_or_diverted(spark, trained, tmp_path):
+    """Two inputs of equal name, one with a file that lacks a column, one with a column of another type."""
     records, first, _, _ = trained
     inputs = records.select(KEY, *SCORING_COLUMNS)
-    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
-    inputs.write.parquet(good)
-    inputs.drop("issue").write.parquet(bad)
+    one, two, three = str(tmp_path / "1/day"), str(tmp_path / "2/day"), str(tmp_path / "a b=c")
+    inputs.write.parquet(one)
+    inputs.limit(100).write.parquet(two)
+    inputs.drop("issue").write.mode("append").parquet(two)
+    inputs.withColumn("issue", F.lit(5)).write.parquet(three)
     model = PipelineModel.load(first.model)
     outputs = [str(tmp_path / name) for name in ("predictions", "archive", "failed")]
     for _ in range(2):  # a repeated run overwrites its output
-        (written,) = scoring.score_folders(model, spark, [good, bad], *outputs, run="7")
-    assert written.endswith("predictions/run=7/good")
-    scored = spark.read.parquet(written)
-    assert scored.columns == [KEY, *SCORING_COLUMNS, PREDICTED_LABEL] and scored.count() == 1500
-    assert spark.read.parquet(f"{outputs[1]}/run=7/good").exceptAll(inputs).isEmpty()
-    assert spark.read.parquet(f"{outputs[2]}/run=7/bad").count() == 1500
-
-
-def test_csv_path_stands_for_its_folder():
-    assert scoring.output_folder("out/", "in/day1/part.csv", "5") == "out/run=5/day1"
+        scoring.score_inputs(model, spark, [one, two, three], *outputs, run="7")
+    scored = spark.read.parquet(outputs[0])
+    assert {KEY, *SCORING_COLUMNS, PREDICTED_LABEL, "source"} <= set(scored.columns)
+    assert dict(scored.groupBy("source").count().collect()) == {one: 1500, two: 100}
+    archived = spark.read.parquet(outputs[1]).where(F.col("source") == one).select(*inputs.columns)
+    assert archived.exceptAll(inputs).isEmpty() and archived.count() == 1500
+    failed = [spark.read.parquet(str(path)) for path in sorted((tmp_path / "failed" / "run=7").iterdir())]
+    assert sorted((df.first().source, df.count(), "issue" in df.columns) for df in failed) == [
+        (two, 1500, False),
+        (three, 1500, True),
+    ]
+
+
+def test_contract_names_problems(spark):
+    df = spark.createDataFrame([("a", 1, "2020-01-01")], "issue string, submitted_via int, date_received string")
+    assert scoring.contract_problems(df.schema) == [
+        "company_response",
+        "consumer_consent_provided",
+        "date_sent_to_company",
+        "submitted_via int",
+    ]
 
 
 def test_stream_equals_batch(spark, trained, tmp_path):
@@ -167,7 +181,7 @@ def test_stream_equals_batch(spark, trained, tmp_path):
     inputs = records.select(KEY, *SCORING_COLUMNS)
     inputs.repartition(4).write.parquet(str(tmp_path / "in"))
     model = PipelineModel.load(first.model)
-    outputs = [str(tmp_path / name) for name in ("predictions", "archive", "progress")]
+    outputs = [str(tmp_path / name) for name in ("predictions", "archive", "failed", "progress")]
 
     def drain():
         score_stream(
@@ -175,13 +189,29 @@ def test_stream_equals_batch(spark, trained, tmp_path):
         ).awaitTermination()
         return spark.read.parquet(outputs[0])
 
-    streamed = drain().drop("batch")
+    streamed = drain().select(*inputs.columns, PREDICTED_LABEL)
     batch = scoring.score(model, inputs)
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
-    assert spark.read.parquet(outputs[1]).drop("batch").count() == 1500
-    assert drain().select("batch").distinct().count() == 2  # nothing new, nothing scored again
+    assert spark.read.parquet(outputs[1]).count() == 1500
+    assert drain().select("run").distinct().count() == 2  # nothing new, nothing scored again
     inputs.limit(10).write.mode("append").parquet(str(tmp_path / "in"))
-    assert drain().count() == 1510
+    inputs.limit(20).drop("issue", "company_response").write.mode("append").parquet(str(tmp_path / "in"))
+    assert drain().count() == 1510 and spark.read.parquet(outputs[2]).count() == 20
+
+
+def test_layout_does_not_change_the_forest(spark, trained, tmp_path):
+    """The same vectors in one file and in eight give the same trees."""
+    _, first, _, _ = trained
+    vectors = spark.read.parquet(first.path("vectors")).where("split = 'train'")
+    predicted = []
+    for parts in (1, 8):
+        rows = write_table(vectors.repartition(parts), "layout")
+        labels = training.fit_label_index(rows)
+        forest = training.fit_forest(training.dealt(rows), labels)
+        predicted.append(forest.transform(rows).select(KEY, PREDICTED_LABEL))
+    assert predicted[0].exceptAll(predicted[1]).isEmpty() and predicted[0].count() > 900
+    (row,) = spark.read.parquet(first.path("settings")).collect()
+    assert (row.seed, row.parts) == (42, training.TRAINING_PARTS)
 
 
 def test_run_paths():

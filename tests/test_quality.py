@@ -1,6 +1,8 @@
+import hashlib
+
 import pytest
 
-from casebook.operators import quality
+from casebook.operators import frequency, quality
 
 
 def frame(spark, rows, schema):
@@ -88,6 +90,25 @@ def test_profile_counts_null_as_a_value(spark):
     assert about == {"t": 3, "n": 3}
 
 
+def test_instants_stay_apart_in_every_time_zone(spark):
+    """The clock shows half past one twice on that night in New York."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("select timestamp_micros(1604208600000000 + id * 3600000000) t from range(2)")
+        (row,) = quality.column_profile(df).collect()
+        counts = frequency.frequency_table(df, ["t"]).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row.distinct_values == 2 and len(counts) == 2
+
+
+def test_a_digest_is_no_value(spark):
+    long = "w" * 100
+    df = frame(spark, [(long,), (hashlib.sha256(long.encode()).hexdigest(),), ("#x",), ("x",)], "t string")
+    (row,) = quality.column_profile(df).collect()
+    assert row.distinct_values == 4
+
+
 def test_profile_of_no_rows(spark):
     df = frame(spark, [], "a string, b int")
     for approximate in (False, True):

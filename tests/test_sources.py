@@ -91,6 +91,61 @@ def test_loading_in_steps_equals_loading_at_once(spark, tmp_path):
     assert stored.exceptAll(records).isEmpty() and records.exceptAll(stored).isEmpty()
 
 
+def element(**fields):
+    return json.dumps({"_source": fields})
+
+
+def test_nothing_of_a_feed_is_lost(spark, tmp_path):
+    """Good, late, undated, keyless, too early and broken records: loaded and rejected make the feed."""
+    store = str(tmp_path / "store")
+    first, second = tmp_path / "first", tmp_path / "second"
+    for folder in (first, second):
+        folder.mkdir()
+    lines = [
+        element(complaint_id="1", date_received="2020-01-01", tags=["a", "b"], sub_issue="s"),
+        element(complaint_id="2", date_received="not yet"),
+        element(complaint_id="3"),
+        element(date_received="2020-01-01", issue="x"),
+        element(complaint_id=" ", date_received="2020-01-01", issue="y"),
+        element(complaint_id="4", date_received="2001-01-01"),
+        '{"_source": {"complaint_id": "5", ',
+        json.dumps({"sort": [1]}),
+    ]
+    (first / "a.json").write_text("\n".join(lines))
+    (second / "a.json").write_text(element(complaint_id="6", date_received="2019-06-01"))
+    for _ in range(2):
+        feed.load_increment(spark, str(first), store)
+    feed.load_increment(spark, str(second), store)
+    stored = feed.read_store(spark, store).orderBy("complaint_id").collect()
+    assert [row.complaint_id for row in stored] == ["1", "6"]
+    others = stored[0].other_fields
+    assert json.loads(others.pop("tags")) == ["a", "b"] and others == {"sub_issue": "s"}
+    assert stored[1].other_fields == {}
+    rejected = feed.read_rejected(spark, store).collect()
+    assert sorted((row.reason, row.complaint_id) for row in rejected if row.complaint_id) == [
+        ("before the first date", "4"),
+        ("no date", "2"),
+        ("no date", "3"),
+        ("no key", " "),
+    ]
+    assert sorted(row.reason for row in rejected if not row.complaint_id) == ["broken", "no key"]
+    assert any(row.record == lines[6] for row in rejected)
+    assert len(stored) + len(rejected) == len(lines) - 1 + 1
+
+
+def test_slices_keep_records_without_a_key_apart(spark):
+    texts = spark.createDataFrame([(None, "a"), (None, "b"), ("1", "a"), ("1", "b")], "complaint_id string, issue string")
+    rows = texts.selectExpr("*", "timestamp'2020-01-01' date_received")
+    assert increments.newest_copies(rows).count() == 3
+
+
+def test_a_store_that_cannot_be_read_is_no_new_store(spark, tmp_path):
+    (tmp_path / "store").mkdir()
+    (tmp_path / "store" / "part-0.parquet").write_text("no parquet")
+    assert feed.store_exists(spark, str(tmp_path / "store"))
+    assert not feed.store_exists(spark, str(tmp_path / "none"))
+
+
 def test_first_slice_starts_at_the_first_date(spark):
     assert slice_of(spark, [("0", "2011-12-31"), ("1", "2012-01-01")], []) == ["1"]
 
