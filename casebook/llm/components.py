@@ -23,7 +23,6 @@ def components(links: DataFrame) -> DataFrame:
         near = edges.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id"))
         near = near.agg(F.min("label").alias("near"))
         lower = labels.join(near, "id").select("id", F.least("label", "near").alias("label"))
-        lower = write_table(lower, "labels")
         own = lower.select(F.col("id").alias("label"), F.col("label").alias("lowest"))
         labels = write_table(lower.join(own, "label").select("id", F.col("lowest").alias("label")), "labels")
         now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]

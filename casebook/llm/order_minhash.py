@@ -10,10 +10,12 @@ Candidates are compared by aligning their shingles: M shingles of A and B match
 M / (A + B - M) must be ``SIMILARITY`` or more. The alignment stays within the band that such
 texts cannot leave.
 
-Equal texts are one class from the start. Within a sketch's bucket a leader, the text that shares
-most buckets, is compared with all others that are not yet linked to it; then the next leader; after
-``ROUNDS`` leaders all pairs of what is left apart. A pair is left out only if its texts are already
-in one component, were compared before, or differ too much in length, so no class misses a link.
+Equal texts are one class from the start. First, the leader of each sketch's bucket, the text that
+shares most buckets, is compared with the bucket's other texts; most links are found so. Buckets that
+still hold texts of several components are then gathered into groups of texts that share buckets,
+directly or through others, and all texts of a group that are not yet linked are compared, in blocks
+of bounded size. There a bound comes first: texts cannot match in more shingles than they have in
+common, whatever the order. No pair of a bucket is left out but those that a component already holds.
 
 Texts of fewer than five words are one shingle of all their words. Null texts and those without
 words are no one's duplicates. Rows of equal key and text stay or go together. A null key's class
@@ -42,7 +44,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 LENGTH = 5
-ROUNDS = 4
+#: Texts and bytes of a block, about; a task compares two blocks.
+BLOCK_TEXTS = 1000
+BLOCK_BYTES = 6_000_000
 #: Hashes that a worker holds at a time.
 HASHES = 1 << 21
 
@@ -226,11 +230,84 @@ def linked(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
     return joined.mapInArrow(rows, "a long, b long, similarity double")
 
 
+def block_links(table: pa.Table, least: float = SIMILARITY) -> pa.Table:
+    """Links that join components of a block's texts, or of two blocks' texts to each other.
+
+    table: first and second (numbers of the blocks), block, id, label (its component) and text.
+    """
+    ids, label, block = (table.column(name).to_numpy() for name in ("id", "label", "block"))
+    texts = table.column("text").to_pylist()
+    across = table.column("first")[0] != table.column("second")[0]
+    labels, bounds = shingle_labels(texts)
+    size = np.diff(bounds)
+    # bits of the labelled shingles that two texts have
+    _, number, times = np.unique(labels, return_inverse=True, return_counts=True)
+    column = (np.cumsum(times > 1) - 1)[number]
+    shared = (times > 1)[number]
+    bits = np.zeros((len(ids), int((times > 1).sum()) // 64 + 1), np.uint64)
+    owner = np.repeat(np.arange(len(ids)), size)[shared]
+    column = column[shared]
+    np.bitwise_or.at(bits, (owner, column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
+    _, component = np.unique(label, return_inverse=True)
+    cut: dict[int, list] = {}
+
+    def of(k: int) -> list:
+        if k not in cut:
+            cut[k] = shingled(texts[k])
+        return cut[k]
+
+    found: list[tuple[int, int, float]] = []
+    for x in range(len(ids) - 1):
+        other = component[x + 1 :] != component[x]
+        if across:
+            other &= block[x + 1 :] != block[x]
+        other = np.flatnonzero(other) + x + 1
+        needed = least * (size[other] + size[x]) / (1 + least) - 1e-9
+        other, needed = other[(size[other] >= needed) & (size[x] >= needed)], needed[(size[other] >= needed) & (size[x] >= needed)]
+        if not len(other):
+            continue
+        common = np.bitwise_count(bits[other] & bits[x]).sum(axis=1)
+        for y in other[common >= needed][np.argsort(-common[common >= needed], kind="stable")].tolist():
+            if component[x] != component[y] and (value := similarity(of(x), of(y), least)):
+                component[component == component[y]] = component[x]
+                found.append((int(ids[x]), int(ids[y]), value))
+    return pa.Table.from_pylist([dict(zip(("a", "b", "similarity"), row, strict=True)) for row in found], LINKS)
+
+
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+
+
+def grouped_links(members: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Links between the components of texts that share buckets, directly or through others.
+
+    members: key, id and label of the buckets that hold several components.
+    """
+    heads = members.groupBy("key").agg(F.min("id").alias("b"))
+    groups = components(members.join(heads, "key").select(F.col("id").alias("a"), "b"))
+    rows = groups.withColumnRenamed("label", "group").join(members.select("id", "label").distinct(), "id")
+    rows = rows.join(texts, "id")
+    sizes = groups.join(texts.select("id", F.octet_length("text").alias("bytes")), "id")
+    sizes = sizes.groupBy(F.col("label").alias("group")).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    rows = rows.join(sizes.select("group", parts.alias("parts")), "group")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    # every text meets its own block and each other one
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pair = [F.least("block", "with").alias("first"), F.greatest("block", "with").alias("second")]
+    rows = rows.select("group", *pair, "block", "id", "label", "text")
+
+    def compare(table: pa.Table) -> pa.Table:
+        return block_links(table, least)
+
+    return rows.groupBy("group", "first", "second").applyInArrow(compare, "a long, b long, similarity double")
+
+
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Classes of similar texts and the links found.
 
     First, for every row: doc_id, content, class_id (the smallest doc_id of its class) and kept.
-    Second: a, b and similarity of linked texts, by the numbers of this run's classes of equal texts.
+    Second: a, b and similarity of linked texts, by the numbers of this run's classes of equal texts;
+    enough of them to hold each class together.
     """
     rows = write_table(sketched(docs), "sketches")
     equal = rows.filter("n > 0").groupBy("content").agg(
@@ -240,52 +317,25 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     keyed = equal.select("id", "n", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     members = write_table(keyed.join(shared, "key"), "buckets")
-    degree = members.groupBy("id").agg(F.sum("size").alias("degree"))
-    members = write_table(members.select("key", "id", "n").join(degree, "id"), "buckets")
+    degree = write_table(members.groupBy("id").agg(F.sum("size").alias("degree")), "degrees")
     chosen = equal.join(degree, "id", "left_semi").select("id", "content", F.col("doc_id").alias("own_id"))
     texts = docs.select("doc_id", digest(F.col("text")).alias("content"), "text").join(chosen, "content")
     texts = write_table(texts.filter(F.col("doc_id").eqNullSafe(F.col("own_id"))).select("id", "text"), "texts")
-    links, labels, tested = None, None, None
-    for turn in range(ROUNDS + 1):
-        apart = members.join(labels, "id", "left") if labels is not None else members.withColumn("label", F.lit(None).cast("long"))
-        apart = apart.withColumn("label", F.coalesce("label", "id"))
-        live = apart.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
-        members = write_table(apart.join(live.select("key"), "key"), "buckets")
-        if members.isEmpty():
-            break
-        if turn < ROUNDS:
-            sizes = members.groupBy("key", "label").agg(
-                F.count("*").alias("size"), F.max(F.struct("degree", "id")).alias("best")
-            )
-            leaders = sizes.groupBy("key").agg(F.max(F.struct("size", "best", "label")).alias("top"))
-            leaders = leaders.select("key", F.col("top.best.id").alias("leader"), F.col("top.label").alias("led"))
-            leaders = write_table(leaders, "leaders")
-            sized = leaders.join(members.select("key", F.col("id").alias("leader"), F.col("n").alias("m")), ["key", "leader"])
-            pairs = members.join(sized, "key").filter("label <> led")
-            pairs = pairs.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"), "n", "m")
-            members = members.join(leaders.select("key", F.col("leader").alias("id")), ["key", "id"], "left_anti")
-        else:
-            other = members.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("led"))
-            pairs = members.withColumnRenamed("id", "a").join(other, "key").filter("a < b and label <> led")
-            pairs = pairs.select("a", "b", "n", "m")
-        members = members.select("key", "id", "n", "degree")
-        pairs = pairs.filter(F.least("n", "m") >= least * F.greatest("n", "m") - 1e-9).select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = write_table(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        tested = pairs if tested is None else tested.union(pairs)
-        found = write_table(linked(pairs, texts, least), "links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-    if links is None:
-        links = docs.sparkSession.createDataFrame([], "a long, b long, similarity double")
-    found = equal.select("content", "id", "doc_id")
-    if labels is not None:
-        found = found.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    else:
-        found = found.withColumn("label", F.col("id"))
+    leaders = members.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id", "n")).alias("top"))
+    pairs = members.join(leaders.select("key", F.col("top.id").alias("leader"), F.col("top.n").alias("m")), "key")
+    alike = F.least("n", "m") >= least * F.greatest("n", "m") - 1e-9
+    pairs = pairs.filter((F.col("id") != F.col("leader")) & alike)
+    pairs = pairs.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+    links = write_table(linked(write_table(pairs, "pairs"), texts, least), "links")
+    labels = components(links)
+    placed = members.select("key", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    several = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    apart = write_table(placed.join(several.select("key"), "key"), "buckets")
+    more = write_table(grouped_links(apart, texts, least), "links")
+    links = links.union(more)
+    labels = components(links)
+    found = equal.select("content", "id", "doc_id").join(labels, "id", "left")
+    found = found.withColumn("label", F.coalesce("label", "id"))
     # the smallest key; of equal keys the smallest digest
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "content")
     first = found.groupBy("label").agg(F.min(order).alias("first"))

@@ -87,11 +87,13 @@ def test_groups_of_near_copies_are_whole(spark, base):
     assert classes(found) == brute.near_classes(rows)
 
 
-def test_leaders_that_miss_are_followed_by_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(order_minhash, "ROUNDS", 1)
+def test_groups_are_compared_in_blocks(spark, monkeypatch):
+    """Copies that no leader links, in many blocks: none of the links across blocks is lost."""
+    monkeypatch.setattr(order_minhash, "BLOCK_TEXTS", 7)
     chance = random.Random(12)
     words = [f"w{chance.randrange(3000)}" for _ in range(300)]
-    rows = [(k, edited(words, chance, 4)) for k in range(30)]
+    rows = [(k, edited(words, chance, 4)) for k in range(60)]
+    rows += [(100 + k, edited(rows[k][1].split(" "), chance, 1)) for k in range(0, 60, 3)]
     found = order_minhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
     assert classes(found) == brute.near_classes(rows)
 
