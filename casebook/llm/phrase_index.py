@@ -88,29 +88,42 @@ def starts_of(postings: DataFrame, anchors: DataFrame) -> DataFrame:
     )
 
 
-def phrase_candidates(postings: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Places where all of a window's lists agree."""
-    agreed = starts_of(postings, anchors).filter("start >= 0").groupBy("doc_id", "part", "window", "start", "n").agg(
-        F.count_distinct("offset").alias("found")
-    )
-    return agreed.filter("found = n").select("doc_id", "part", "window", "start")
+def matches_of(postings: DataFrame, anchors: DataFrame, slack: int = SLACK) -> DataFrame:
+    """Windows whose lists meet in a document: doc_id, part, window, starts and near.
 
-
-def near_windows(postings: DataFrame, anchors: DataFrame, slack: int = SLACK) -> DataFrame:
-    """Windows of two anchors that a document has at most ``slack`` words out of place."""
-    starts = starts_of(postings, anchors).filter("n > 1").groupBy("doc_id", "part", "window").agg(
+    starts: the places where all of the window's lists agree. near: whether two lists come within
+    ``slack`` words of agreeing.
+    """
+    lists = starts_of(postings, anchors).groupBy("doc_id", "part", "window", "n").agg(
         F.array_sort(F.collect_set(F.struct("start", "offset"))).alias("found")
     )
-    # in order of start, two neighbours of different offsets are the closest such pair
-    close = F.exists(
-        F.zip_with(
-            F.expr("slice(found, 1, size(found) - 1)"),
-            F.expr("slice(found, 2, size(found) - 1)"),
-            lambda a, b: (b["start"] - a["start"] <= slack) & (a["offset"] != b["offset"]),
-        ),
-        lambda pair: pair,
+    # in order of start, a place that n lists name is n entries long
+    pairs = "slice(found, 1, greatest(size(found) - {0}, 0)), slice(found, 1 + {0}, greatest(size(found) - {0}, 0))"
+    agreed = F.expr(
+        f"zip_with({pairs.format('(n - 1)')}, (a, b) -> if(a.start = b.start and a.start >= 0, a.start, null))"
     )
-    return starts.filter((F.size("found") > 1) & close).select("doc_id", "part", "window")
+    # and two neighbours of different offsets are the closest such pair
+    close = F.expr(
+        f"zip_with({pairs.format('1')}, (a, b) -> b.start - a.start <= {slack} and a.offset <> b.offset)"
+    )
+    found = lists.select(
+        "doc_id",
+        "part",
+        "window",
+        F.filter(agreed, lambda start: start.isNotNull()).alias("starts"),
+        F.exists(close, lambda yes: yes).alias("near"),
+    )
+    return write_table(found.filter((F.size("starts") > 0) | F.col("near")), "matches")
+
+
+def phrase_candidates(matches: DataFrame) -> DataFrame:
+    """Places where all of a window's lists agree."""
+    return matches.select("doc_id", "part", "window", F.explode("starts").alias("start"))
+
+
+def near_windows(matches: DataFrame) -> DataFrame:
+    """Windows that a document has, exactly or some words out of place."""
+    return matches.filter("near").select("doc_id", "part", "window")
 
 
 def phrases(docs: DataFrame, windows: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -152,15 +165,15 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Words, words hit, items met and near windows of every document."""
     windows = windows_of(items)
     anchors = anchors_of(docs, windows)
-    postings = postings_of(docs, anchors)
-    found = phrases(docs, windows, phrase_candidates(postings, anchors))
+    matches = matches_of(postings_of(docs, anchors), anchors)
+    found = phrases(docs, windows, phrase_candidates(matches))
     hits = found.groupBy("doc_id", "part").agg(
         covered(F.array_sort(F.collect_set(F.struct("start", "stop")))).alias("n_hit"),
         F.array_sort(
             F.transform(F.array_distinct(F.flatten(F.collect_set("items"))), lambda item: item.cast("string"))
         ).alias("ids"),
     )
-    near = near_windows(postings, anchors).groupBy("doc_id", "part").agg(F.count("*").alias("n_near"))
+    near = near_windows(matches).groupBy("doc_id", "part").agg(F.count("*").alias("n_near"))
     keys = ["own_id", "own_part"]
     matched = hits.join(near.toDF("near_id", "near_part", "n_near"), F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("part") == F.col("near_part")), "full")
     matched = matched.select(
@@ -191,7 +204,7 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns kept, in which no window of an item occurs."""
     windows = windows_of(items)
     anchors = anchors_of(docs, windows)
-    found = phrases(docs, windows, phrase_candidates(postings_of(docs, anchors), anchors))
+    found = phrases(docs, windows, phrase_candidates(matches_of(postings_of(docs, anchors), anchors)))
     found = write_table(found.select("doc_id", "part").distinct().toDF("own_id", "own_part"), "hits")
     same = docs["doc_id"].eqNullSafe(F.col("own_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("own_part"))
     return docs.join(found, same, "left_anti")
