@@ -10,7 +10,8 @@ import numpy as np
 
 from casebook.llm.bpe import encode_texts
 
-REMEMBERED = 200_000
+#: Words that a worker remembers; it forgets all when there are more.
+REMEMBERED = 450_000
 
 
 def byte_bpe_path() -> str:
