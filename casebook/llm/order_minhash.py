@@ -25,8 +25,10 @@ has the smallest known key of its class, else null.
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,8 @@ LENGTH = 5
 #: Texts and bytes of a block, about; a task compares two blocks.
 BLOCK_TEXTS = 1000
 BLOCK_BYTES = 6_000_000
+#: Shingles from which an alignment keeps places as lists instead of bits.
+LONG = 8192
 #: Hashes that a worker holds at a time.
 HASHES = 1 << 21
 
@@ -156,15 +160,42 @@ def shingled(text: str) -> list[tuple[str, ...]]:
     return list(zip(*(words[k:] for k in range(SHINGLE)), strict=False))
 
 
+def bits_of(b: list[int]) -> Callable[[int, int, int], int]:
+    """Where ``b`` has a value, as bits of the ``width`` columns from ``low`` on; the square of ``b`` in memory."""
+    places: dict[int, int] = {}
+    for k, value in enumerate(b):
+        places[value] = places.get(value, 0) | 1 << k
+    return lambda value, low, width: places.get(value, 0) >> low & (1 << width) - 1
+
+
+def lists_of(b: list[int]) -> Callable[[int, int, int], int]:
+    """The same from sorted places, in memory that grows with ``b`` only."""
+    places: dict[int, array] = {}
+    for k, value in enumerate(b):
+        places.setdefault(value, array("q")).append(k)
+
+    def bits(value: int, low: int, width: int) -> int:
+        own = places.get(value)
+        if own is None:
+            return 0
+        first = bisect_left(own, low)
+        last = bisect_left(own, low + width, first)
+        if last - first <= 16:
+            return sum(1 << place - low for place in own[first:last])
+        flags = np.zeros(width, bool)
+        flags[np.frombuffer(own, np.int64)[first:last] - low] = True
+        return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+
+    return bits
+
+
 def banded_matches(a: list[int], b: list[int], band: int) -> int:
     """Most elements of ``a`` and ``b`` that match in order, at places at most ``band`` apart.
 
     Row by row over ``a``; the columns of ``b`` within the band are the bits of one integer, a
     cleared bit for each match won so far. Columns that the band has left are counted and shifted out.
     """
-    places: dict[int, int] = {}
-    for k, value in enumerate(b):
-        places[value] = places.get(value, 0) | 1 << k
+    places = bits_of(b) if len(b) < LONG else lists_of(b)
     low = width = matches = 0
     state = 0
     for k, value in enumerate(a):
@@ -180,7 +211,7 @@ def banded_matches(a: list[int], b: list[int], band: int) -> int:
         if wanted > width:
             state |= (1 << wanted) - (1 << width)
             width = wanted
-        hits = places.get(value, 0) >> low & (1 << width) - 1 & state
+        hits = places(value, low, width) & state
         if hits:
             state = (state + hits | state - hits) & (1 << width) - 1
     return matches + width - state.bit_count()

@@ -1,6 +1,7 @@
 """Near-duplicates, repeated bytes, components and the pipeline."""
 
 import random
+import tracemalloc
 
 import brute
 import numpy as np
@@ -40,6 +41,30 @@ def test_alignment_equals_the_full_table():
         assert order_minhash.similarity(a, b) == pytest.approx(true if true >= 0.8 else 0)
 
 
+def test_alignment_by_lists_equals_bits(monkeypatch):
+    chance = random.Random(8)
+    for kinds in (1, 2, 5, 60, 400):
+        b = [chance.randrange(kinds) for _ in range(400)]
+        a = [x for x in b if chance.random() < 0.9]
+        for band in (3, 60, 500):
+            monkeypatch.setattr(order_minhash, "LONG", 1000)
+            by_bits = order_minhash.banded_matches(a, b, band)
+            monkeypatch.setattr(order_minhash, "LONG", 0)
+            assert order_minhash.banded_matches(a, b, band) == by_bits
+
+
+def test_alignment_of_very_long_texts_takes_little_memory():
+    """Near copies that differ close to both ends, so that nothing equal can be cut off."""
+    a = [f"w{k}" for k in range(60_000)]
+    b = ["x", *a[1:-1], "y"]
+    tracemalloc.start()
+    found = order_minhash.similarity(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == pytest.approx(59_998 / 60_002)
+    assert peak < 60_000_000
+
+
 def test_sketches_depend_on_order():
     words = [f"w{k}" for k in range(200)]
     same, moved = " ".join(words), " ".join(words[100:] + words[:100])
