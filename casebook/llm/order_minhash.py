@@ -3,8 +3,14 @@
 A text is a sequence of five-word shingles, each labelled with how often it occurred before. One
 sketch hashes all labelled shingles, takes the ``LENGTH`` smallest and keeps them in the order of the
 text, so texts share a sketch only if they share those shingles in that order. Texts that share any
-of ``SKETCHES`` sketches are candidates. Two texts with a similarity of 0.8 share a sketch with
-probability 0.8 ** 5, and miss all 32 about three times in a million.
+of ``SKETCHES`` sketches are candidates. If M of U different labelled shingles are in both texts, a
+sketch is shared with probability C(M, 5) / C(U, 5). At a similarity of 0.8 all 32 are missed 16
+times in a million with 25 different shingles, 7 times with 50, 5 times with 100 and 3 times in
+long texts.
+
+Texts of at most ``SHORT`` shingles are not sketched: drawn without replacement, five of few shingles
+say too little. Their candidates are exact. Texts with a similarity of 0.8 must share one of their
+rarest labelled shingles, so short texts, and those long enough to be like one, have these as keys.
 
 Candidates are compared by aligning their shingles: M shingles of A and B match in order, and
 M / (A + B - M) must be ``SIMILARITY`` or more. The alignment stays within the band that such
@@ -46,6 +52,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 LENGTH = 5
+#: Shingles up to which a text's candidates are found by its rarest shingles.
+SHORT = 20
 #: Texts and bytes of a block, about; a task compares two blocks.
 BLOCK_TEXTS = 1000
 BLOCK_BYTES = 6_000_000
@@ -122,8 +130,12 @@ def sketch(labels: np.ndarray) -> np.ndarray:
     return np.concatenate(found).view(np.int64)
 
 
-def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, content (a digest of the text), n (its shingles) and keys (its sketches)."""
+def sketched(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """doc_id, content (a digest of the text), n (its shingles), keys (its sketches) and few.
+
+    Short texts have no sketches. few: all labelled shingles of texts that may be like a short one.
+    """
+    longest = int(SHORT / least + 1e-9)
     ship(docs.sparkSession)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,20 +144,24 @@ def sketched(docs: DataFrame) -> DataFrame:
             for low, high in chunks(list(map(len, texts))):
                 labels, bounds = shingle_labels(texts[low:high])
                 size = np.diff(bounds)
-                keys = [sketch(labels[a:b]) for a, b in zip(bounds, bounds[1:], strict=False) if b > a]
+                keys = [sketch(labels[a:b]) for a, b in zip(bounds, bounds[1:], strict=False) if b - a > SHORT]
                 flat = np.concatenate([np.zeros(0, np.int64), *keys])
-                offsets = np.concatenate([[0], np.cumsum((size > 0) * SKETCHES)]).astype(np.int32)
+                offsets = np.concatenate([[0], np.cumsum((size > SHORT) * SKETCHES)]).astype(np.int32)
+                short = size <= longest
+                few = labels[np.repeat(short, size)].view(np.int64)
+                ends = np.concatenate([[0], np.cumsum(size * short)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low),
                         batch.column(1).slice(low, high - low),
                         pa.array(size.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(few)),
                     ],
-                    names=["doc_id", "content", "n", "keys"],
+                    names=["doc_id", "content", "n", "keys", "few"],
                 )
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, content binary, n long, keys array<long>"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, content binary, n long, keys array<long>, few array<long>"
     return docs.select("doc_id", digest(F.col("text")).alias("content"), "text").mapInArrow(rows, schema)
 
 
@@ -153,6 +169,22 @@ def digest(text: Column) -> Column:
     return F.unhex(F.md5(F.encode(text, "UTF-8")))
 
 
+def rarest(equal: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """id, n and key of the rarest labelled shingles of each text in ``few``; similar texts share one.
+
+    Of n shingles at least ``least`` * n are in a similar text, so two texts that have none of their
+    n - ``least`` * n + 1 first ones in common, in one order for all texts, are not similar.
+    Shingles of a single text come first in the order and make no keys.
+    """
+    few = equal.select("id", "n", F.explode("few").alias("key"))
+    often = few.groupBy("key").agg(F.count("*").alias("often")).filter("often > 1")
+    order = F.array_sort(F.collect_list(F.struct("often", "key")))
+    shared = few.join(often, "key").groupBy("id", "n").agg(order.alias("order"))
+    first = F.col("n") - F.ceil(least * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("order"))
+    taken = F.slice("order", 1, F.greatest(first, F.lit(0)).cast("int"))
+    return shared.select("id", "n", F.explode(F.transform(taken, lambda x: x["key"])).alias("key"))
+
+
 def shingled(text: str) -> list[tuple[str, ...]]:
     words = WORD.findall(text)
     if len(words) < SHINGLE:
@@ -340,12 +372,13 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     Second: a, b and similarity of linked texts, by the numbers of this run's classes of equal texts;
     enough of them to hold each class together.
     """
-    rows = write_table(sketched(docs), "sketches")
+    rows = write_table(sketched(docs, least), "sketches")
     equal = rows.filter("n > 0").groupBy("content").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys")
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("few").alias("few")
     )
     equal = write_table(equal.withColumn("id", F.monotonically_increasing_id()), "equal-texts")
     keyed = equal.select("id", "n", F.explode("keys").alias("key"))
+    keyed = keyed.union(write_table(rarest(equal, least), "rarest"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     members = write_table(keyed.join(shared, "key"), "buckets")
     degree = write_table(members.groupBy("id").agg(F.sum("size").alias("degree")), "degrees")

@@ -123,6 +123,21 @@ def test_groups_are_compared_in_blocks(spark, monkeypatch):
     assert classes(found) == brute.near_classes(rows)
 
 
+def test_short_near_copies_are_all_found(spark):
+    """Pairs of every size from 8 words on, with a word more, and two that differ at both ends."""
+    rows = []
+    for n in range(8, 32):
+        for k in range(6):
+            words = [f"n{n}k{k}w{j}" for j in range(n)]
+            rows += [" ".join(words), " ".join([*words, "more"]), " ".join(["x", *words[1:-1], "y"])]
+    rows += [" ".join([f"t{j}" for j in range(9)] + [f"own{k}"]) for k in range(40)]  # one template
+    rows = list(enumerate(rows))
+    random.Random(13).shuffle(rows)
+    found = classes(order_minhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert found == brute.near_classes(rows)
+    assert found[1] == 0 and len(set(found.values())) < len(rows)
+
+
 def test_awkward_rows_have_classes(awkward, nothing):
     found = order_minhash.deduplicated(awkward).collect()
     assert len(found) == awkward.count()
