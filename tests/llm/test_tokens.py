@@ -208,3 +208,35 @@ def test_history_of_awkward_rows(spark, awkward, nothing):
     assert found.agg(F.sum("n_docs")).first()[0] == known.select("text").distinct().count() - known.filter("text is null").count()
     rollup = token_rollups.TokenRollup(spark, new_folder(spark, "rollup"))
     assert token_rollups.history(nothing, rollup, VOCABULARIES).count() == 0
+
+
+def test_query_counts_null_and_repeated_keys(spark, tmp_path):
+    """Every row counts, copies of a text once, whatever their keys."""
+    rows = [
+        (None, "no key", "en", "s"), (None, "no key", "en", "s"), (None, "no key", "fr", "t"), (None, None, "en", "s"),
+        (1, "first of one", "en", "s"), (1, "second of one, longer", "de", "s"), (1, "second of one, longer", "de", "s"),
+        (2, "first of one", "en", "s"), (3, "alone here", None, None), (4, "", "en", "s"), (None, "sans clé", "fr", "t"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op2_token_counts"](spark, str(tmp_path)).collect()
+    expected: dict = {}
+    # of the texts without a key on two sites either may stay
+    both = [r.n_docs for r in found if (r.source, r.lang) == ("t", "fr")] == [2]
+    left = [rows[2] if both else rows[0], *rows[4:6], rows[8], rows[9], rows[10]]
+    for _, text, lang, source in left:
+        name = "byte_bpe_50k" if lang == "en" else "byte_bpe_multi_50k"
+        total = expected.setdefault((source, lang, name), [0, 0])
+        total[0] += 1
+        total[1] += len(library(VOCABULARIES[name]).encode([text])[0])
+    assert {(r.source, r.lang, r.tokenizer): [r.n_docs, r.n_tokens] for r in found} == expected
+    assert sum(r.n_docs for r in found) == 6
+
+
+def test_rows_alike_count_each_until_one_stays(spark):
+    rollup = token_rollups.TokenRollup(spark, new_folder(spark, "rollup"))
+    docs = spark.createDataFrame([(None, "a b", "en", "s")] * 3, "doc_id long, text string, lang string, source string")
+    token_rollups.history(docs, rollup, VOCABULARIES)
+    signed = sorted((r.n_docs, r.n_tokens) for r in rollup.rows("ledger").collect())
+    size = len(library(byte_bpe_path()).encode(["a b"])[0])
+    assert signed == [(-3, -3 * size), (1, size), (3, 3 * size)]
