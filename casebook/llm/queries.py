@@ -13,6 +13,7 @@ from casebook.llm import (
     order_minhash,
     phrase_index,
     quality_rules,
+    spelling,
     suffix_dedup,
     token_files,
     token_rollups,
@@ -96,6 +97,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
+@registered
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group every word of the documents, some damaged on purpose, with its spelling variants."""
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), spelling.thirty_first_loses_a_letter)
+    return spelling.variants(words)
+
+
 ORACLES["op6_line_dedup"] = line_spread.ORACLE
 ORACLES["op7_benchmark_decontamination"] = phrase_index.ORACLE
 ORACLES["op9_url_filters"] = url_filter.oracle()
+ORACLES["op11_spelling_variants"] = spelling.ORACLE
