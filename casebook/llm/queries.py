@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from casebook.llm import (
     bpe,
+    conversation_trie,
     language_spans,
     line_spread,
     order_minhash,
     phrase_index,
+    quality_classifier,
     quality_rules,
     spelling,
     suffix_dedup,
@@ -104,7 +106,20 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(words)
 
 
+@registered
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score the quality of every document, learned from the labels of those not held out."""
+    return quality_classifier.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie of the rebuilt conversations."""
+    return conversation_trie.prefixes(table(spark, sf_dir, "conversations"))
+
+
 ORACLES["op6_line_dedup"] = line_spread.ORACLE
 ORACLES["op7_benchmark_decontamination"] = phrase_index.ORACLE
 ORACLES["op9_url_filters"] = url_filter.oracle()
 ORACLES["op11_spelling_variants"] = spelling.ORACLE
+ORACLES["op13_conversation_trie"] = conversation_trie.ORACLE
