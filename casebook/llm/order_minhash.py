@@ -8,20 +8,23 @@ sketch is shared with probability C(M, 5) / C(U, 5). At a similarity of 0.8 all
 times in a million with 25 different shingles, 7 times with 50, 5 times with 100 and 3 times in
 long texts.
 
-Texts of at most ``SHORT`` shingles are not sketched: drawn without replacement, five of few shingles
-say too little. Their candidates are exact. Texts with a similarity of 0.8 must share one of their
-rarest labelled shingles, so short texts, and those long enough to be like one, have these as keys.
+Of texts of at most ``SHORT`` shingles the sketches say too little: five of few shingles are drawn
+without replacement. They have more keys, which are exact. Texts with a similarity of 0.8 must share
+one of their rarest labelled shingles, so short texts, and those long enough to be like one, have
+these as keys, too.
 
 Candidates are compared by aligning their shingles: M shingles of A and B match in order, and
 M / (A + B - M) must be ``SIMILARITY`` or more. The alignment stays within the band that such
 texts cannot leave.
 
-Equal texts are one class from the start. First, the leader of each sketch's bucket, the text that
-shares most buckets, is compared with the bucket's other texts; most links are found so. Buckets that
-still hold texts of several components are then gathered into groups of texts that share buckets,
-directly or through others, and all texts of a group that are not yet linked are compared, in blocks
-of bounded size. There a bound comes first: texts cannot match in more shingles than they have in
-common, whatever the order. No pair of a bucket is left out but those that a component already holds.
+Equal texts are one class from the start. Others are compared step by step, so that each step's pairs
+are in proportion to the texts and what is in one component already is not compared again. Each
+bucket of a key has a leader, the text that shares most buckets. First every text meets the greatest
+of its buckets' leaders, one pair for each text. Then it meets the leaders of its buckets that are
+in other components. What buckets still hold apart, the texts of those with several components,
+is filtered by the bound for short texts: all their labelled shingles are counted, and only texts
+that share one of their rarest ones can be alike. In these narrower buckets one text after another
+leads, twice as many in each round, until every pair that is still apart has met.
 
 Texts of fewer than five words are one shingle of all their words. Null texts and those without
 words are no one's duplicates. Rows of equal key and text stay or go together. A null key's class
@@ -39,7 +42,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.llm.components import components
@@ -54,9 +57,6 @@ SKETCHES = 32
 LENGTH = 5
 #: Shingles up to which a text's candidates are found by its rarest shingles.
 SHORT = 20
-#: Texts and bytes of a block, about; a task compares two blocks.
-BLOCK_TEXTS = 1000
-BLOCK_BYTES = 6_000_000
 #: Shingles from which an alignment keeps places as lists instead of bits.
 LONG = 8192
 #: Hashes that a worker holds at a time.
@@ -133,7 +133,7 @@ def sketch(labels: np.ndarray) -> np.ndarray:
 def sketched(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, content (a digest of the text), n (its shingles), keys (its sketches) and few.
 
-    Short texts have no sketches. few: all labelled shingles of texts that may be like a short one.
+    few: all labelled shingles of texts that may be like a short one.
     """
     longest = int(SHORT / least + 1e-9)
     ship(docs.sparkSession)
@@ -144,9 +144,9 @@ def sketched(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
             for low, high in chunks(list(map(len, texts))):
                 labels, bounds = shingle_labels(texts[low:high])
                 size = np.diff(bounds)
-                keys = [sketch(labels[a:b]) for a, b in zip(bounds, bounds[1:], strict=False) if b - a > SHORT]
+                keys = [sketch(labels[a:b]) for a, b in zip(bounds, bounds[1:], strict=False) if b > a]
                 flat = np.concatenate([np.zeros(0, np.int64), *keys])
-                offsets = np.concatenate([[0], np.cumsum((size > SHORT) * SKETCHES)]).astype(np.int32)
+                offsets = np.concatenate([[0], np.cumsum((size > 0) * SKETCHES)]).astype(np.int32)
                 short = size <= longest
                 few = labels[np.repeat(short, size)].view(np.int64)
                 ends = np.concatenate([[0], np.cumsum(size * short)]).astype(np.int32)
@@ -293,76 +293,74 @@ def linked(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
     return joined.mapInArrow(rows, "a long, b long, similarity double")
 
 
-def block_links(table: pa.Table, least: float = SIMILARITY) -> pa.Table:
-    """Links that join components of a block's texts, or of two blocks' texts to each other.
+def alike_in_size(n: str, m: str, least: float) -> Column:
+    return F.least(n, m) >= least * F.greatest(n, m) - 1e-9
+
+
+def ordered_pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """id and label of all texts after more links; labels: id and label of all texts before."""
+    if links.isEmpty():
+        return labels
+    a = labels.select(F.col("id").alias("a"), F.col("label").alias("x"))
+    b = labels.select(F.col("id").alias("b"), F.col("label").alias("y"))
+    joined = links.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    moved = components(joined).select(F.col("id").alias("label"), F.col("label").alias("to"))
+    return write_table(labels.join(moved, "label", "left").select("id", F.coalesce("to", "label").alias("label")), "labels")
+
+
+def still_apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their labels, of keys that hold several components."""
+    placed = members.join(labels, "id")
+    several = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return placed.join(several.select("key"), "key")
 
-    table: first and second (numbers of the blocks), block, id, label (its component) and text.
-    """
-    ids, label, block = (table.column(name).to_numpy() for name in ("id", "label", "block"))
-    texts = table.column("text").to_pylist()
-    across = table.column("first")[0] != table.column("second")[0]
-    labels, bounds = shingle_labels(texts)
-    size = np.diff(bounds)
-    # bits of the labelled shingles that two texts have
-    _, number, times = np.unique(labels, return_inverse=True, return_counts=True)
-    column = (np.cumsum(times > 1) - 1)[number]
-    shared = (times > 1)[number]
-    bits = np.zeros((len(ids), int((times > 1).sum()) // 64 + 1), np.uint64)
-    owner = np.repeat(np.arange(len(ids)), size)[shared]
-    column = column[shared]
-    np.bitwise_or.at(bits, (owner, column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
-    _, component = np.unique(label, return_inverse=True)
-    cut: dict[int, list] = {}
-
-    def of(k: int) -> list:
-        if k not in cut:
-            cut[k] = shingled(texts[k])
-        return cut[k]
-
-    found: list[tuple[int, int, float]] = []
-    for x in range(len(ids) - 1):
-        other = component[x + 1 :] != component[x]
-        if across:
-            other &= block[x + 1 :] != block[x]
-        other = np.flatnonzero(other) + x + 1
-        needed = least * (size[other] + size[x]) / (1 + least) - 1e-9
-        other, needed = other[(size[other] >= needed) & (size[x] >= needed)], needed[(size[other] >= needed) & (size[x] >= needed)]
-        if not len(other):
-            continue
-        common = np.bitwise_count(bits[other] & bits[x]).sum(axis=1)
-        for y in other[common >= needed][np.argsort(-common[common >= needed], kind="stable")].tolist():
-            if component[x] != component[y] and (value := similarity(of(x), of(y), least)):
-                component[component == component[y]] = component[x]
-                found.append((int(ids[x]), int(ids[y]), value))
-    return pa.Table.from_pylist([dict(zip(("a", "b", "similarity"), row, strict=True)) for row in found], LINKS)
 
+def all_shingles(texts: DataFrame) -> DataFrame:
+    """id, n and few (all labelled shingles) of some texts."""
 
-LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(1).to_pylist()
+            for low, high in chunks(list(map(len, own))):
+                labels, bounds = shingle_labels(own[low:high])
+                few = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(labels.view(np.int64)))
+                columns = [batch.column(0).slice(low, high - low), pa.array(np.diff(bounds).astype(np.int64)), few]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "few"])
 
+    return texts.select("id", "text").mapInArrow(rows, "id long, n long, few array<long>")
 
-def grouped_links(members: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Links between the components of texts that share buckets, directly or through others.
 
-    members: key, id and label of the buckets that hold several components.
+def met_in_turns(members: DataFrame, labels: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Links between texts that share a key, and the labels after them.
+
+    members: key, id and n. One text after another leads its key's bucket, in the order of ids: the first,
+    then the next two, the next four. A text meets the leaders before it that are in other components.
     """
-    heads = members.groupBy("key").agg(F.min("id").alias("b"))
-    groups = components(members.join(heads, "key").select(F.col("id").alias("a"), "b"))
-    rows = groups.withColumnRenamed("label", "group").join(members.select("id", "label").distinct(), "id")
-    rows = rows.join(texts, "id")
-    sizes = groups.join(texts.select("id", F.octet_length("text").alias("bytes")), "id")
-    sizes = sizes.groupBy(F.col("label").alias("group")).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
-    parts = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
-    rows = rows.join(sizes.select("group", parts.alias("parts")), "group")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), "parts").cast("int"))
-    # every text meets its own block and each other one
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    pair = [F.least("block", "with").alias("first"), F.greatest("block", "with").alias("second")]
-    rows = rows.select("group", *pair, "block", "id", "label", "text")
-
-    def compare(table: pa.Table) -> pa.Table:
-        return block_links(table, least)
-
-    return rows.groupBy("group", "first", "second").applyInArrow(compare, "a long, b long, similarity double")
+    order = Window.partitionBy("key").orderBy("id")
+    ranked = write_table(members.withColumn("rank", F.row_number().over(order)), "ranked")
+    found, met, first, width = None, None, 0, 1
+    while True:
+        here = write_table(still_apart(ranked, labels), "apart")
+        if here.filter(F.col("rank") > first + 1).isEmpty():
+            return found, labels
+        leads = here.filter((F.col("rank") > first) & (F.col("rank") <= first + width))
+        leads = leads.select("key", F.col("id").alias("lead"), F.col("n").alias("m"), F.col("rank").alias("r"), F.col("label").alias("own"))
+        pairs = here.join(leads, "key").filter((F.col("rank") > F.col("r")) & (F.col("label") != F.col("own")))
+        pairs = pairs.filter(alike_in_size("n", "m", least)).select(*ordered_pair("id", "lead")).distinct()
+        if met is not None:
+            pairs = pairs.join(met, ["a", "b"], "left_anti")
+        pairs = write_table(pairs, "pairs")
+        first, width = first + width, width * 2
+        if pairs.isEmpty():
+            continue
+        links = write_table(linked(pairs, texts, least), "links")
+        labels = relabelled(labels, links)
+        found = links if found is None else found.union(links)
+        met = pairs if met is None else met.union(pairs)
 
 
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -384,20 +382,35 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     degree = write_table(members.groupBy("id").agg(F.sum("size").alias("degree")), "degrees")
     chosen = equal.join(degree, "id", "left_semi").select("id", "content", F.col("doc_id").alias("own_id"))
     texts = docs.select("doc_id", digest(F.col("text")).alias("content"), "text").join(chosen, "content")
-    texts = write_table(texts.filter(F.col("doc_id").eqNullSafe(F.col("own_id"))).select("id", "text"), "texts")
+    texts = texts.filter(F.col("doc_id").eqNullSafe(F.col("own_id")))
+    if not rows.groupBy("doc_id", "content").count().filter("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["id"])
+    texts = write_table(texts.select("id", "text"), "texts")
+    labels = degree.select("id", F.col("id").alias("label"))
+    # one pair for each text: with the greatest of its buckets' leaders
     leaders = members.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id", "n")).alias("top"))
-    pairs = members.join(leaders.select("key", F.col("top.id").alias("leader"), F.col("top.n").alias("m")), "key")
-    alike = F.least("n", "m") >= least * F.greatest("n", "m") - 1e-9
-    pairs = pairs.filter((F.col("id") != F.col("leader")) & alike)
-    pairs = pairs.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-    links = write_table(linked(write_table(pairs, "pairs"), texts, least), "links")
-    labels = components(links)
-    placed = members.select("key", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    several = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    apart = write_table(placed.join(several.select("key"), "key"), "buckets")
-    more = write_table(grouped_links(apart, texts, least), "links")
-    links = links.union(more)
-    labels = components(links)
+    candidates = members.join(leaders, "key").filter(F.col("id") != F.col("top.id"))
+    candidates = candidates.filter(alike_in_size("n", "top.n", least)).select("id", "top").distinct()
+    candidates = write_table(candidates, "candidates")
+    best = candidates.groupBy("id").agg(F.max("top").alias("top")).select(*ordered_pair("id", "top.id")).distinct()
+    best = write_table(best, "pairs")
+    links = write_table(linked(best, texts, least), "links")
+    labels = relabelled(labels, links)
+    # then with the leaders that are in other components
+    others = candidates.select("id", F.col("top.id").alias("lead")).join(labels, "id")
+    others = others.join(labels.select(F.col("id").alias("lead"), F.col("label").alias("own")), "lead")
+    others = others.filter("label <> own").select(*ordered_pair("id", "lead")).distinct()
+    others = write_table(others.join(best, ["a", "b"], "left_anti"), "pairs")
+    if not others.isEmpty():
+        more = write_table(linked(others, texts, least), "links")
+        labels = relabelled(labels, more)
+        links = links.union(more)
+    # texts of buckets that are still apart, by their rarest shingles
+    apart = write_table(still_apart(members, labels).select("id").distinct(), "apart")
+    if not apart.isEmpty():
+        few = write_table(all_shingles(texts.join(apart, "id", "left_semi")), "shingles")
+        more, labels = met_in_turns(rarest(few, least), labels, texts, least)
+        links = links if more is None else links.union(more)
     found = equal.select("content", "id", "doc_id").join(labels, "id", "left")
     found = found.withColumn("label", F.coalesce("label", "id"))
     # the smallest key; of equal keys the smallest digest

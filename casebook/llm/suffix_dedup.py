@@ -12,6 +12,8 @@ sent at all; the others cannot hold a repeated window.
 In a block, suffixes of all contexts are sorted in two stages: only those smaller than their
 successors are sorted directly, the others follow by a scan over the buckets of first bytes. Equal
 windows are then neighbours with a common prefix of SIZE bytes, and all but the first are repeats.
+Where the contexts of one hash would fill more than a block, as at the edge of a passage that very
+many documents have, each of its windows is sent alone, by a hash of all its bytes.
 
 Documents with equal texts are compared once, through the first of them; the others go whole. A
 context that a task meets twice leaves it once. Null texts are empty. Null keys come last. Rows of
@@ -21,11 +23,13 @@ gets its result. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +41,11 @@ SIZE = 100
 GRAM = 24
 #: Bytes of text whose windows are hashed at a time; a longer text makes a step of its own.
 STEP = 2_000_000
-#: Bytes of contexts in a block, about; contexts of one hash always share a block.
-BLOCK = 3_000_000
+#: Bytes of contexts in a block, about, and of one hash from which its windows are dealt one by one.
+BLOCK = 2_000_000
+#: Neighbours compared at a time, and contexts that a task hands over at once.
+PIECE = 1 << 17
+ROWS = 20_000
 LAST_KEY = (1 << 63) - 1
 
 
@@ -101,6 +108,15 @@ def choices(data: np.ndarray, begins: np.ndarray, size: int = SIZE) -> tuple[np.
     return least[first], first - begins[own], last - begins[own], own
 
 
+def rises(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """1 where the next different byte is larger, -1 where it is smaller or the context ends before."""
+    step = np.zeros(len(data), np.int8)
+    step[:-1] = np.sign(data[1:].astype(np.int16) - data[:-1])
+    step[ends - 1] = -1
+    where = np.where(step != 0, np.arange(len(data), dtype=np.int32), np.int32(len(data)))
+    return step[np.minimum.accumulate(where[::-1])[::-1]]
+
+
 def sort_suffixes(data: np.ndarray, context: np.ndarray, place: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Suffixes in order of their first SIZE bytes; a context's end is smaller than any byte.
 
@@ -110,26 +126,24 @@ def sort_suffixes(data: np.ndarray, context: np.ndarray, place: np.ndarray, ends
     """
     n = len(place)
     first = data[place]
-    # smaller than the successor: the next different byte is larger; at the context's end it is not
-    step = np.zeros(len(data), np.int8)
-    step[:-1] = np.sign(data[1:].astype(np.int16) - data[:-1])
-    step[ends - 1] = -1
-    where = np.where(step != 0, np.arange(len(data)), len(data))
-    smaller = step[np.minimum.accumulate(where[::-1])[::-1][place]] > 0
+    smaller = (rises(data, ends) > 0)[place]
     chained = np.zeros(n, bool)  # the successor is a suffix here, too
     chained[:-1] = (context[1:] == context[:-1]) & (place[1:] == place[:-1] + 1)
-    direct = np.flatnonzero(smaller | ~chained)
-    padded = np.concatenate([data, np.zeros(SIZE, np.uint8)])
-    keys = padded[place[direct][:, None] + np.arange(SIZE)]
-    room = ends[context[direct]] - place[direct]
-    short = np.flatnonzero(room < SIZE)
-    keys[short] *= np.arange(SIZE) < room[short][:, None]
-    direct = direct[np.argsort(np.ascontiguousarray(keys).view(f"S{SIZE}").reshape(-1), kind="stable")]
+    direct = np.flatnonzero(smaller | ~chained).astype(np.int32)
+    direct = direct[np.argsort(first[direct], kind="stable")]
+    edges = np.searchsorted(first[direct], np.arange(257))
+    strings = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(SIZE, np.uint8)]), SIZE)
+    for low, high in itertools.pairwise(edges.tolist()):  # one bucket's keys at a time
+        own = direct[low:high]
+        keys = strings[place[own]]
+        room = ends[context[own]] - place[own]
+        short = np.flatnonzero(room < SIZE)
+        keys[short] *= np.arange(SIZE) < room[short][:, None]
+        direct[low:high] = own[np.argsort(keys.view(f"S{SIZE}").reshape(-1), kind="stable")]
     # larger ones follow from their successors, bucket by bucket of the first byte
-    follows = np.full(n, -1)  # the suffix one byte longer, if it is to be induced
+    follows = np.full(n, -1, np.int32)  # the suffix one byte longer, if it is to be induced
     induced = np.flatnonzero(chained & ~smaller)
     follows[induced + 1] = induced
-    edges = np.searchsorted(first[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     order = []
 
@@ -160,21 +174,21 @@ def sort_suffixes(data: np.ndarray, context: np.ndarray, place: np.ndarray, ends
 
 def common_prefixes(data: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Bytes, up to SIZE, that each suffix has in common with the one before it; 0 for the first."""
-    found = np.zeros(len(place), np.int64)
+    found = np.zeros(len(place), np.uint8)
     padded = np.concatenate([data, np.zeros(8, np.uint8)]).tobytes()
     words = np.ndarray(len(data), "<u8", padded, strides=(1,))
-    alike = np.arange(1, len(place))
-    for depth in range(0, SIZE, 8):
-        a, b = place[alike] + depth, place[alike - 1] + depth
-        differ = words[a] ^ words[b]
-        if SIZE - depth < 8:
-            differ &= np.uint64((1 << 8 * (SIZE - depth)) - 1)
-        same = differ == 0
-        stopped = differ[~same]
-        lowest = stopped & (~stopped + np.uint64(1))
-        found[alike[~same]] = depth + (np.log2(lowest.astype(np.float64)) // 8).astype(np.int64)
-        alike = alike[same]
-    found[alike] = SIZE
+    for low in range(1, len(place), PIECE):
+        alike = np.arange(low, min(low + PIECE, len(place)))
+        for depth in range(0, SIZE, 8):
+            differ = words[place[alike] + depth] ^ words[place[alike - 1] + depth]
+            if SIZE - depth < 8:
+                differ &= np.uint64((1 << 8 * (SIZE - depth)) - 1)
+            same = differ == 0
+            stopped = differ[~same]
+            lowest = stopped & (~stopped + np.uint64(1))
+            found[alike[~same]] = depth + (np.log2(lowest.astype(np.float64)) // 8).astype(np.uint8)
+            alike = alike[same]
+        found[alike] = SIZE
     return found
 
 
@@ -184,25 +198,28 @@ def repeats(contexts: list[bytes], rank: np.ndarray, start: np.ndarray, size: in
     rank: order of each context's document; start: the context's place in the document.
     """
     data = np.frombuffer(b"".join(contexts), np.uint8)
-    ends = np.cumsum([len(context) for context in contexts])
-    begins = ends - np.fromiter(map(len, contexts), np.int64, len(contexts))
+    length = np.fromiter(map(len, contexts), np.int32, len(contexts))
+    ends = np.cumsum(length, dtype=np.int32)
+    begins = ends - length
     # all windows of a context, then on to a suffix smaller than its successor
     last = ends - size
-    step = np.zeros(len(data), np.int8)
-    step[:-1] = np.sign(data[1:].astype(np.int16) - data[:-1])
-    step[ends - 1] = -1
-    where = np.where(step != 0, np.arange(len(data)), len(data))
-    rising = step[np.minimum.accumulate(where[::-1])[::-1]] > 0
-    risen = np.where(rising, np.arange(len(data)), len(data))
+    risen = np.where(rises(data, ends) > 0, np.arange(len(data), dtype=np.int32), np.int32(len(data)))
     stop = np.minimum(np.minimum.accumulate(risen[::-1])[::-1][last], ends - 1)
+    del risen
     count = stop - begins + 1
-    context = np.repeat(np.arange(len(contexts)), count)
-    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + begins[context]
+    context = np.repeat(np.arange(len(contexts), dtype=np.int32), count)
+    place = np.arange(count.sum(), dtype=np.int32)
+    place -= np.repeat((np.cumsum(count) - count - begins).astype(np.int32), count)
     order = sort_suffixes(data, context, place, ends)
     order = order[place[order] <= last[context[order]]]
-    sorted_place = place[order]
+    sorted_place, own = place[order], context[order]
+    del place, context, order
     prefix = common_prefixes(data, sorted_place)
-    own = context[order]
+    # windows next to an equal one; no others matter
+    same = prefix >= size
+    same[:-1] |= same[1:]
+    sorted_place, own, prefix = sorted_place[same], own[same], prefix[same]
+    order = np.arange(len(own))
     position = rank[own].astype(np.int64), start[own] + sorted_place - begins[own]
     group = np.cumsum(prefix < size)
     by_time = np.lexsort((position[1], position[0], group))
@@ -222,12 +239,11 @@ def spans_of(context: np.ndarray, place: np.ndarray, size: int = SIZE) -> tuple[
     return context[first], place[first], place[last] + size if len(place) else place
 
 
-def bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
-    """A written table whose later joins on ``keys`` do not move its rows."""
+def bucketed(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
+    """A table in the run's folder whose later joins on ``keys`` do not move its rows."""
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"{name}_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, *keys).option("path", new_folder(spark, name)).saveAsTable(table)
+    df.write.bucketBy(buckets, *keys).option("path", new_folder(spark, "texts")).saveAsTable(table)
     return spark.table(table)
 
 
@@ -275,46 +291,69 @@ def repeated_choices(texts: DataFrame) -> DataFrame:
     return sent.filter("times > 1 or apart <> -1").select("doc", "part", "hash", "windows")
 
 
-def contexts_of(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+def crowded_hashes(chosen: DataFrame) -> DataFrame:
+    """The hashes whose contexts would fill more than a block."""
+    size = F.expr("windows & 127") + SIZE
+    return chosen.groupBy("hash").agg(F.sum(size).alias("bytes")).filter(F.col("bytes") > BLOCK).select("hash")
+
+
+def contexts_of(texts: DataFrame, chosen: DataFrame, crowded: DataFrame) -> DataFrame:
     """The contexts to compare: hash, doc, part, start and context.
 
     A context that the task has met goes as a span already decided: ``context`` is null, and
     ``start`` and ``stop`` are the bytes it covers. Which of two is first follows from doc and part.
+    Contexts of a crowded hash are taken apart: each window is a context of its own, by the hash of
+    all its bytes, so that they meet in many blocks.
     """
-    marks = chosen.groupBy("doc", "part").agg(F.collect_list(F.struct("hash", "windows")).alias("marks"))
+    flagged = chosen.join(crowded.withColumn("crowded", F.lit(True)), "hash", "left")
+    mark = F.struct("hash", "windows", F.coalesce("crowded", F.lit(False)).alias("crowded"))
+    marks = flagged.groupBy("doc", "part").agg(F.collect_list(mark).alias("marks"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[tuple[int, bytes]] = set()
+        out: list[list] = [[], [], [], [], [], []]
+        size = 0
+
+        def add(value: int, doc: int, part: int, start: int, context: bytes) -> None:
+            nonlocal size
+            known = (value, context) in met
+            if not known:
+                met.add((value, context))
+                size += len(context)
+            row = (value, doc, part, start, start + len(context), None if known else context)
+            for column, x in zip(out, row, strict=True):
+                column.append(x)
+
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(3)]
+            met.clear()  # of what a batch holds, its order tells which was first
+            size = 0
+            docs, parts = (batch.column(k).to_pylist() for k in range(2))
             marked = batch.column(3)
             offsets = marked.offsets.to_numpy()
             value = marked.values.field("hash").to_numpy()
             windows = marked.values.field("windows").to_numpy()
-            base = int(offsets[0])
-            first, stop = windows >> 7, (windows >> 7) + (windows & 127) + SIZE
-            order = sorted(range(batch.num_rows), key=lambda row: (columns[0][row], columns[1][row]))
-            met: set[tuple[int, bytes]] = set()
-            out: list[list] = [[], [], [], [], [], []]
-            size = 0
-            for row in order:
-                data = columns[2][row].encode()
+            many = marked.values.field("crowded").to_numpy(zero_copy_only=False)
+            first = windows >> 7
+            for row in sorted(range(batch.num_rows), key=lambda row: (docs[row], parts[row])):
+                data = batch.column(2)[row].as_py().encode()
                 own = range(int(offsets[row]), int(offsets[row + 1]))
                 for k in sorted(own, key=lambda k: first[k]):
-                    context = data[first[k] : stop[k]]
-                    known = (int(value[k]), context) in met
-                    if not known:
-                        met.add((int(value[k]), context))
-                        size += len(context)
-                    for column, x in zip(
-                        out,
-                        (int(value[k]), columns[0][row], columns[1][row], int(first[k]), int(stop[k]), None if known else context),
-                        strict=True,
-                    ):
-                        column.append(x)
-                if size > BLOCK:
-                    yield _context_batch(out)
-                    out, size, met = [[], [], [], [], [], []], 0, set()
-            yield _context_batch(out)
+                    begin, after = int(first[k]), int(first[k] + (windows[k] & 127)) + 1
+                    if many[k]:
+                        for start in range(begin, after):
+                            window = data[start : start + SIZE]
+                            digest = xxhash.xxh3_64_intdigest(window) - (1 << 63)
+                            add(digest, docs[row], parts[row], start, window)
+                    else:
+                        add(int(value[k]), docs[row], parts[row], begin, data[begin : after - 1 + SIZE])
+                    if size > BLOCK or len(out[0]) > ROWS:
+                        yield _context_batch(out)
+                        for column in out:
+                            column.clear()
+                    if size > BLOCK:
+                        met.clear()
+                        size = 0
+        yield _context_batch(out)
 
     return texts.join(marks, ["doc", "part"]).select("doc", "part", "text", "marks").mapInArrow(rows, CONTEXTS)
 
@@ -439,10 +478,14 @@ def removed(docs: DataFrame) -> DataFrame:
     texts = texts.join(own, ["doc", "part"], "left_semi")
     if not own.groupBy("doc", "part").count().filter("count > 1").isEmpty():
         texts = texts.dropDuplicates(["doc", "part"])
-    texts = bucketed(texts, "texts", ["doc", "part"])
-    spans = write_table(decided(contexts_of(texts, repeated_choices(texts))), "spans")
+    table = f"texts_{uuid.uuid4().hex}"
+    texts = bucketed(texts, table, ["doc", "part"])
+    chosen = write_table(repeated_choices(texts), "choices")
+    crowded = write_table(crowded_hashes(chosen), "crowded")
+    spans = write_table(decided(contexts_of(texts, chosen, crowded)), "spans")
     changed = cut(texts, spans).select("doc", "part", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha"))
     changed = write_table(changed, "changed")
+    docs.sparkSession.sql(f"drop table {table}")  # its files go with the run's others
     copy = ~F.col("is_first") & (F.col("n_bytes") >= SIZE)
     return rows.join(changed, ["doc", "part"], "left").select(
         "doc_id",

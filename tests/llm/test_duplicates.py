@@ -112,9 +112,8 @@ def test_groups_of_near_copies_are_whole(spark, base):
     assert classes(found) == brute.near_classes(rows)
 
 
-def test_groups_are_compared_in_blocks(spark, monkeypatch):
-    """Copies that no leader links, in many blocks: none of the links across blocks is lost."""
-    monkeypatch.setattr(order_minhash, "BLOCK_TEXTS", 7)
+def test_texts_that_no_leader_links_meet_in_turns(spark):
+    """None of the links between copies that are not like their buckets' leaders is lost."""
     chance = random.Random(12)
     words = [f"w{chance.randrange(3000)}" for _ in range(300)]
     rows = [(k, edited(words, chance, 4)) for k in range(60)]
@@ -138,6 +137,38 @@ def test_short_near_copies_are_all_found(spark):
     assert found[1] == 0 and len(set(found.values())) < len(rows)
 
 
+def test_many_rows_of_a_null_key(spark):
+    """Rows of one null key and one text are one text, however many."""
+    words = [f"w{k}" for k in range(60)]
+    near = " ".join([*words[:-1], "other"])
+    rows = [(None, " ".join(words))] * 5000 + [(None, near)] * 5000 + [(7, near), (9, "quite another text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found, links = order_minhash.near_classes(docs)
+    assert links.count() == 1
+    assert found.groupBy("class_id").count().orderBy("class_id").collect() == [(7, 10_001), (9, 1)]
+    assert found.filter("kept and class_id = 7").count() == 1
+
+
+def test_pairs_stay_in_proportion_to_texts(spark, monkeypatch):
+    """Copies of one text with edits of their own: links and compared pairs grow with the texts."""
+    compared = {}
+    plain = order_minhash.linked
+
+    def counting(pairs, texts, least):
+        compared[n] = compared.get(n, 0) + pairs.count()
+        return plain(pairs, texts, least)
+
+    monkeypatch.setattr(order_minhash, "linked", counting)
+    chance = random.Random(14)
+    words = [f"w{chance.randrange(3000)}" for _ in range(200)]
+    for n in (100, 400):
+        rows = [(k, edited(words, chance, 3)) for k in range(n)]
+        found, links = order_minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert found.select("class_id").distinct().count() == 1
+        assert links.count() < 2 * n
+    assert compared[400] < 6 * compared[100] and compared[400] < 8 * 400
+
+
 def test_awkward_rows_have_classes(awkward, nothing):
     found = order_minhash.deduplicated(awkward).collect()
     assert len(found) == awkward.count()

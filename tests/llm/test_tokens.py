@@ -201,6 +201,41 @@ def test_an_attempt_without_commit_counts_nothing(spark):
     assert rollup.totals().first().n_tokens == 1
 
 
+def test_a_mark_that_was_never_finished_does_not_count(spark, tmp_path):
+    """A driver that dies while it writes the mark leaves folders, and perhaps a file that is no commit yet."""
+    rollup = token_rollups.TokenRollup(spark, str(tmp_path))
+    first = changes(spark, [("insert", 0, 1, "s", "en", "v1", 10)])
+    for folder in ("commits/b1/_temporary/0", "commits/b1/rollup-data-x/_temporary/0/_temporary/attempt_0/"):
+        (tmp_path / folder).mkdir(parents=True)
+    assert rollup.totals().count() == 0
+    assert rollup.commit("b1", first) and not rollup.commit("b1", first)
+    assert rollup.totals().first().n_tokens == 10
+
+
+def test_two_writers_of_one_batch_count_once(spark, tmp_path, monkeypatch):
+    """Both pass the check before either has written its mark; the data of one of them hold, for all readers."""
+    one, other = (token_rollups.TokenRollup(spark, str(tmp_path)) for _ in range(2))
+    first = changes(spark, [("insert", 0, 1, "s", "en", "v1", 10), ("insert", 0, 2, "s", "en", "v1", 5)])
+    seen = []
+    plain = other.committed
+    monkeypatch.setattr(other, "committed", lambda: plain() if seen else seen.append(one.commit("b", first)) or {})
+    results = [other.commit("b", first), one.committed()["b"]]
+    assert seen == [True] and len(one.committed()) == 1
+    assert results[0] == results[1].endswith(max(one.committed().values()).rsplit("/", 1)[-1]) or not results[0]
+    assert one.totals().first().n_tokens == other.totals().first().n_tokens == 15
+    assert one.commit("c", changes(spark, [("delete", 0, 1, None, None, None, None)]))
+    assert other.totals().first().n_tokens == 5
+
+
+def test_history_moves_no_texts(spark, tmp_path):
+    """Texts are read once, by the pass that counts; shuffles carry short rows."""
+    docs = spark.createDataFrame([(k, "text " * k, "en", "s") for k in range(5)], "doc_id long, text string, lang string, source string")
+    docs.write.parquet(str(tmp_path / "documents"))
+    base = token_rollups.entered(spark.read.parquet(str(tmp_path / "documents")), VOCABULARIES)
+    plan = base._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in base.columns and "text#" not in plan
+
+
 def test_history_of_awkward_rows(spark, awkward, nothing):
     known = awkward.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
     rollup = token_rollups.TokenRollup(spark, new_folder(spark, "rollup"))
