@@ -332,6 +332,51 @@ numbered as (select complaint_id, cast(complaint_id as bigint) % 50 as n from ca
 select 'no date' as reason, 'u' || complaint_id as complaint_id, cast(1 as bigint) as row_count from numbered where n = 0
 union all select 'no key', null, cast(count(*) as bigint) from numbered where n = 1 having count(*) > 0
 union all select 'broken', null, cast(count(*) as bigint) from numbered where n = 2 having count(*) > 0""",
+    "moved_records": f"""with {CASES}
+select complaint_id, cast(1 as bigint) as copies, {day("date_received")} as date_received from cases""",
+    "drifted_types": f"""with {CASES},
+numbered as (select *, cast(complaint_id as bigint) % 3 as part from cases)
+select case part when 0 then 'a' when 1 then 'b' else 'c' end as input, complaint_id, {day("date_received")} as date_received,
+       case when part <> 0 then state end as state, issue
+from numbered""",
+    "drift_report": f"""with {CASES},
+sizes as (
+  select case cast(complaint_id as bigint) % 3 when 0 then 'a' when 1 then 'b' else 'c' end as input, count(*) as n
+  from cases group by 1),
+kinds(input, column_name, file_type, common_type, action, file_diverted) as (values
+  ('a', 'complaint_id', 'int', 'string', 'widened', false), ('b', 'complaint_id', 'bigint', 'string', 'widened', false),
+  ('c', 'complaint_id', 'string', 'string', 'kept', false), ('c', 'complaint_id', 'string', 'string', 'kept', true),
+  ('a', 'date_received', 'date', 'timestamp', 'widened', false),
+  ('b', 'date_received', 'timestamp', 'timestamp', 'kept', false),
+  ('c', 'date_received', 'timestamp', 'timestamp', 'kept', false),
+  ('c', 'date_received', 'timestamp', 'timestamp', 'kept', true),
+  ('a', 'state', null, 'string', 'absent', false), ('b', 'state', 'string', 'string', 'kept', false),
+  ('c', 'state', 'string', 'string', 'kept', false), ('c', 'state', 'string', 'string', 'kept', true),
+  ('a', 'issue', 'string', 'string', 'kept', false), ('b', 'issue', 'string', 'string', 'kept', false),
+  ('c', 'issue', 'string', 'string', 'kept', false), ('c', 'issue', 'array<string>', 'string', 'diverted', true))
+select k.*, cast(n as bigint) as row_count from kinds k join sizes using (input)""",
+    "overlapping_windows": f"""with {CASES},
+starts as (select distinct date_trunc('week', date_received)::timestamp as s from cases),
+windows as (select s, s + to_days((7 * (5 + weekofyear(s) % 5))::int) as e from starts)
+select {day("s")} as window_start, {day("e")} as window_end, count(date_received) as row_count,
+       cast(count(*) filter (consumer_disputed = 'Yes') as bigint) as disputed
+from windows left join cases on date_received >= s and date_received < e group by s, e""",
+    "open_cases": f"""with {CASES}
+select c.complaint_id, {day("c.date_received")} as date_received, count(o.complaint_id) as open_cases
+from cases c left join (select * from cases where cast(complaint_id as bigint) % 20 = 0) o
+  on c.date_received between o.date_received and o.date_sent_to_company
+  and c.date_received < o.date_sent_to_company
+group by c.complaint_id, c.date_received""",
+    "model_as_of": f"""with {CASES},
+placed as (
+  select complaint_id, date_received, cast(complaint_id as bigint) as number,
+         case when cast(complaint_id as bigint) % 3 = 0 then 'ALL' else state end as region
+  from cases),
+models as (
+  select region, date_received as accepted_at, max('models/' || complaint_id) as model
+  from placed where number % 97 = 0 and number % 2 = 1 group by region, date_received)
+select c.complaint_id, c.region, {day("c.date_received")} as date_received, {day("m.accepted_at")} as accepted_at, m.model
+from placed c asof left join models m on c.region = m.region and c.date_received >= m.accepted_at""",
     "land_to_store": f"""with {CASES}
 select complaint_id, cast(2 as bigint) as copies, {day("date_received")} as date_received, issue, consumer_disputed
 from cases""",

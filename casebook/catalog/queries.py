@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.functions.vectors import slots, stored
-from casebook.operators import frequency, increments, metrics, promotion, quality, sampling, text
+from casebook.operators import asof, frequency, increments, intervals, metrics, promotion, quality, sampling, text
 from casebook.plans.features import fit_features
 from casebook.plans.lifecycle import TrainingRun, run_training, train, validate
 from casebook.plans.scoring import SOURCE, file_groups, score, score_inputs
@@ -39,6 +39,7 @@ from casebook.schema import (
 from casebook.sources.cases import CASE_COLUMNS, cases, table
 from casebook.sources.feed import OTHER, land_to_store, read_envelope, read_rejected, read_store, write_envelope
 from casebook.sources.feed import load_increment as increment
+from casebook.sources.footers import FileSet
 from casebook.streaming.scoring import score_stream
 from casebook.workspace import new_folder, write_table
 
@@ -133,6 +134,104 @@ def rejected_feed(spark: SparkSession, folder: str) -> DataFrame:
     return rejected.groupBy("reason", KEY).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@registered
+def moved_records(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed that repeats every fifth case with a later year of receipt, beside cases that are new: loaded once each."""
+    store = new_folder(spark, "store")
+    records = write_table(cases(spark, folder, [KEY, "date_received", "issue"]), "records")
+    number = F.col(KEY).cast("long")
+    first, second = new_folder(spark, "feed"), new_folder(spark, "feed")
+    write_envelope(records.where(number % 7 != 0), first)
+    increment(spark, first, store, first_date="1995-01-01")
+    moved = F.col("date_received") + F.make_ym_interval(F.lit(1))
+    later = records.where((number % 5 == 0) | (number % 7 == 0))
+    write_envelope(later.withColumn("date_received", F.when(number % 7 != 0, moved).otherwise(F.col("date_received"))), second)
+    for _ in range(2):
+        increment(spark, second, store, first_date="1995-01-01")
+    stored = read_store(spark, store).groupBy(KEY)
+    return shown(stored.agg(F.count(F.lit(1)).alias("copies"), F.max("date_received").alias("date_received")))
+
+
+def _drifted_files(spark: SparkSession, folder: str) -> str:
+    """All cases by thirds, in files whose columns differ: the key as int, long and text, dates as such or times.
+
+    The first third lacks the state, the last one has the issue split into words beside the other files' text.
+    """
+    base = new_folder(spark, "drifted")
+    records = write_table(cases(spark, folder, [KEY, "date_received", "state", "issue"]), "records")
+    part = F.col(KEY).cast("long") % 3
+    whole = {"date_received": F.to_date("date_received"), KEY: F.col(KEY).cast("int")}
+    records.where(part == 0).drop("state").withColumns(whole).coalesce(2).write.parquet(f"{base}/a")
+    records.where(part == 1).withColumn(KEY, F.col(KEY).cast("long")).coalesce(2).write.parquet(f"{base}/b")
+    records.where(part == 2).coalesce(2).write.parquet(f"{base}/c")
+    words = records.where(part == 2).withColumn("issue", F.split("issue", " "))
+    words.coalesce(1).write.mode("append").parquet(f"{base}/c")
+    return base
+
+
+@registered
+def drifted_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of int, long and text keys and of dates and times, read as one table; those that fit no text left out."""
+    base = _drifted_files(spark, folder)
+    table = FileSet(spark, [f"{base}/{name}" for name in "abc"]).table()
+    return shown(table.select(F.substring_index(SOURCE, "/", -1).alias("input"), KEY, "date_received", "state", "issue"))
+
+
+@registered
+def drift_report(spark: SparkSession, folder: str) -> DataFrame:
+    """What the same files hold by column, and what was done about it."""
+    base = _drifted_files(spark, folder)
+    report = FileSet(spark, [f"{base}/{name}" for name in "abc"]).report()
+    name = F.substring_index("input", "/", -1).alias("input")
+    held = report.groupBy(name, "column_name", "file_type", "common_type", "action", "file_diverted")
+    return held.agg(F.sum("n_rows").alias("row_count"))
+
+
+@registered
+def overlapping_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Cases, and disputed ones, in windows of five to nine weeks that begin in every week with a case."""
+    records = write_table(cases(spark, folder, ["date_received", TARGET]), "records")
+    starts = records.select(F.date_trunc("week", "date_received").alias("window_start")).distinct()
+    weeks = 5 + F.weekofyear("window_start") % 5
+    windows = starts.withColumn("window_end", F.col("window_start") + F.make_dt_interval(weeks * 7))
+    disputed = {"disputed": (F.col(TARGET) == "Yes").cast("long")}
+    return shown(intervals.window_counts(records, windows, "date_received", sums=disputed))
+
+
+@registered
+def open_cases(spark: SparkSession, folder: str) -> DataFrame:
+    """For every case how many of every twentieth case were open, between receipt and sending, when it came."""
+    records = write_table(cases(spark, folder, [KEY, "date_received", "date_sent_to_company"]), "records")
+    spans = records.where(F.col(KEY).cast("long") % 20 == 0).select(
+        F.col(KEY).alias("open_id"),
+        F.col("date_received").alias("window_start"),
+        F.col("date_sent_to_company").alias("window_end"),
+    )
+    met = intervals.in_windows(records.select(KEY, "date_received"), spans, "date_received")
+    counted = met.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+    both = records.select(KEY, "date_received").join(counted, KEY, "left")
+    return shown(both.select(KEY, "date_received", F.coalesce("n", F.lit(0)).alias("open_cases")))
+
+
+@registered
+def model_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Every case with the model that was accepted last for its region before it came.
+
+    A third of the cases are of the region ``ALL``. Every 97th case stands for an evaluation: of odd ones
+    the model is accepted.
+    """
+    number = F.col(KEY).cast("long")
+    region = F.when(number % 3 == 0, "ALL").otherwise(F.col("state"))
+    records = write_table(cases(spark, folder, [KEY, "date_received", "state"]).withColumn("region", region), "records")
+    models = records.where((number % 97 == 0) & (number % 2 == 1)).select(
+        "region", F.col("date_received").alias("accepted_at"), F.concat(F.lit("models/"), KEY).alias("model")
+    )
+    rows = records.select(KEY, "region", "date_received")
+    return shown(asof.as_of(rows, models, "region", "date_received", "accepted_at", rows_per_range=20_000).withColumn(
+        "accepted_at", F.date_format("accepted_at", "yyyy-MM-dd HH:mm:ss")
+    ))
+
+
 @registered
 def incremental_slice(spark: SparkSession, folder: str) -> DataFrame:
     """The store holds the closed cases received before 1999; the feed holds every case."""

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casebook.operators.key_filters import YEAR, KeyFilters
 from casebook.schema import FIRST_DATE, KEY, RECEIVED
 from casebook.workspace import write_table
 
@@ -58,20 +59,23 @@ def newest_copies(records: DataFrame, key: str = KEY, received: str = RECEIVED)
 
 def unseen_records(
     records: DataFrame,
-    read_years: Callable[[int, int], DataFrame],
+    read_years: Callable[[list[int | None]], DataFrame],
+    filters: KeyFilters,
     key: str = KEY,
     received: str = RECEIVED,
 ) -> DataFrame:
-    """Records whose key the store lacks, whenever they were received, each key once.
+    """Records whose key the store lacks, whenever they or the stored ones were received, each key once.
 
-    ``read_years`` gives the store's records received from one year to another. Only the years that
-    the records touch are read; a record whose year of receipt has changed counts as a new one.
+    The filters tell which years may hold which keys. ``read_years`` gives the store's records of some
+    years (None: without a date); only those years are read, and of them only the keys that may be there
+    are compared. A record whose year of receipt has changed since is found in the year it was stored under.
     """
     new = write_table(newest_copies(records, key, received), "slice")
-    years = new.agg(F.min(F.year(received)), F.max(F.year(received))).first()
-    if years[0] is None:
+    maybe = write_table(filters.possible_years(new, key), "maybe-stored")
+    years = [row[YEAR] for row in maybe.select(YEAR).distinct().collect()]  # at most one for each year of the store
+    if not years:
         return new
-    replayed = read_years(*years).select(key).join(new.select(key), key, "left_semi").distinct()
+    replayed = read_years(years).select(key).join(maybe.select(key).distinct(), key, "left_semi").distinct()
     return new.join(replayed, key, "left_anti")
 
 

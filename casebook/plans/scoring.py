@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from casebook.schema import DATE_COLUMNS, KEY, PREDICTED_LABEL, SCORING_COLUMNS
+from casebook.sources.footers import FILE, footers, read_files, schema_classes, with_places
+from casebook.workspace import write_table
 
 SOURCE = "source"
-# Footers read at a time; each is a short job of its own.
-READERS = 16
 _TEXTS, _DATES = {"string"}, {"string", "date", "timestamp", "timestamp_ntz"}
 
 
@@ -42,39 +39,29 @@ class FileGroup:
     """Files of one schema, by the input they were found under, and what the contract says of them."""
 
     schema: StructType
-    files: dict[str, list[str]]
+    files: DataFrame
     problems: list[str]
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All rows, with the input they came from."""
-        parts = [
-            spark.read.schema(self.schema).parquet(*files).withColumn(SOURCE, F.lit(name))
-            for name, files in self.files.items()
-        ]
-        return reduce(DataFrame.unionByName, parts)
-
-
-def files_under(spark: SparkSession, path: str) -> list[str]:
-    """The data files of a folder, or the file itself. Lists names; reads no content."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return sorted(row.path for row in found.select("path").collect())
+        return read_files(spark, self.schema, self.files, SOURCE)
 
 
 def file_groups(
     spark: SparkSession, inputs: Iterable[str], required: Sequence[str] = SCORING_COLUMNS
 ) -> list[FileGroup]:
-    """The inputs' files by schema. Every file's own footer decides; names and types are compared."""
-    by_input = {name: files_under(spark, name) for name in inputs}
-    files = [file for found in by_input.values() for file in found]
-    with ThreadPoolExecutor(READERS) as pool:
-        schemas = dict(zip(files, pool.map(lambda file: spark.read.parquet(file).schema, files), strict=True))
-    groups: dict[str, dict[str, list[str]]] = defaultdict(lambda: defaultdict(list))
-    for name, found in by_input.items():
-        for file in found:
-            groups[schemas[file].json()][name].append(file)
+    """The inputs' files by schema. Every file's own footer decides; names and types are compared.
+
+    All footers are one job. The driver sees the different schemas; file names stay in a written table
+    but for those of inputs that hold several schemas, which the readers are given.
+    """
+    found = write_table(with_places(footers(spark, inputs)), "footers")
+    broken = found.where("schema IS NULL").select(FILE).first()
+    if broken:
+        raise ValueError(f"no Parquet file: {broken[0]}")
     return [
-        FileGroup(schema, dict(groups[text]), contract_problems(schema, required))
-        for text, schema in sorted({schemas[file].json(): schemas[file] for file in files}.items())
+        FileGroup(schema, found.where(F.col("schema") == text), contract_problems(schema, required))
+        for text, schema, _ in schema_classes(found)
     ]
 
 

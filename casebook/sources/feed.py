@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.operators.increments import unseen_records
+from casebook.operators.key_filters import KeyFilters
 from casebook.schema import FIRST_DATE, KEY, RECEIVED, RECORD_SCHEMA
+from casebook.workspace import write_table
 
 PAYLOAD = "_source"
 BROKEN = "_broken"
@@ -79,8 +81,12 @@ def append_to_store(records: DataFrame, path: str, rebalance: bool = False) -> N
 
     Feed files hold one download window each, so a task meets a year or two and needs no shuffle.
     For records that were shuffled before, ``rebalance`` gathers them by year into files of even
-    size: AQE splits a year that holds a third of the rows among tasks and merges small ones.
+    size: AQE splits a year that holds a third of the rows among tasks and merges small ones. Where the
+    store has key filters the keys are entered first, so that a failure in between leaves none out.
     """
+    filters = key_filters(records.sparkSession, path)
+    if filters.exists():
+        filters.add(records)
     yearly = records.withColumn(STORE_YEAR, F.year(RECEIVED))
     if rebalance:
         yearly = yearly.hint("rebalance", STORE_YEAR)
@@ -88,18 +94,38 @@ def append_to_store(records: DataFrame, path: str, rebalance: bool = False) -> N
 
 
 def read_store(
-    spark: SparkSession, path: str, from_year: int | None = None, to_year: int | None = None
+    spark: SparkSession,
+    path: str,
+    from_year: int | None = None,
+    to_year: int | None = None,
+    years: list[int | None] | None = None,
 ) -> DataFrame:
-    """The store's records; the years bound the partitions that are read."""
+    """The store's records; the years bound the partitions that are read (None among ``years``: those without a date)."""
     schema = T.StructType([*STORE_SCHEMA, T.StructField(STORE_YEAR, T.IntegerType())])
     stored = spark.read.schema(schema).parquet(path)
     if from_year is not None:
         stored = stored.where(F.col(STORE_YEAR) >= from_year)
     if to_year is not None:
         stored = stored.where(F.col(STORE_YEAR) <= to_year)
+    if years is not None:
+        wanted = F.col(STORE_YEAR).isin([year for year in years if year is not None])
+        stored = stored.where(wanted | F.col(STORE_YEAR).isNull() if None in years else wanted)
     return stored.drop(STORE_YEAR)
 
 
+def key_filters(spark: SparkSession, store_path: str) -> KeyFilters:
+    return KeyFilters(spark, f"{store_path.rstrip('/')}-keys")
+
+
+def indexed_filters(spark: SparkSession, store_path: str) -> KeyFilters:
+    """The store's key filters; a store that was landed without them is indexed first, a new one from its first rows on."""
+    filters = key_filters(spark, store_path)
+    if not filters.exists():
+        known = read_store(spark, store_path) if store_exists(spark, store_path) else spark.createDataFrame([], STORE_SCHEMA)
+        filters.add(known)
+    return filters
+
+
 def store_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema(STORE_SCHEMA).parquet(path)
@@ -119,7 +145,8 @@ def load_increment(
 ) -> DataFrame:
     """Append the feed's records that the store lacks, each once; returns what was appended.
 
-    A record that arrives late is loaded like any other. What cannot be loaded goes to the rejected
+    A record that arrives late is loaded like any other, and one that the store has under another year
+    of receipt is a replay; see ``key_filters``. What cannot be loaded goes to the rejected
     table with its reason; loading a feed again replaces what it had rejected. Records received
     from ``to_date`` on wait for a later run.
     """
@@ -136,10 +163,14 @@ def load_increment(
     if to_date is not None:
         usable = usable.where(F.col(RECEIVED) < F.lit(to_date).cast("timestamp"))
 
-    def read_years(low: int, high: int) -> DataFrame:
-        return read_store(spark, store_path, low, high) if store_exists(spark, store_path) else usable.limit(0)
+    filters = indexed_filters(spark, store_path)
+
+    def read_years(years: list[int | None]) -> DataFrame:
+        # a first append that failed has left its keys in the filters and no store
+        return read_store(spark, store_path, years=years) if store_exists(spark, store_path) else usable.limit(0)
 
-    new = unseen_records(usable, read_years)
+    new = unseen_records(usable, read_years, filters)
+    new = write_table(new, "unseen")
     append_to_store(new, store_path, rebalance=True)
     return new
 

@@ -1,0 +1,193 @@
+"""Key filters beside a store, footers read by tasks, and file sets whose types drift."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from casebook.operators import key_filters
+from casebook.operators.key_filters import KeyFilters
+from casebook.plans import scoring
+from casebook.sources import feed, footers
+
+
+def keyed(spark, keys, year, prefix="k"):
+    rows = spark.range(keys.start, keys.stop).select(F.concat(F.lit(prefix), "id").alias("complaint_id"))
+    return rows.withColumn("date_received", F.make_timestamp(F.lit(year), *[F.lit(x) for x in (1, 1, 0, 0, 0)]))
+
+
+def test_filters_know_every_key_and_few_others(spark, tmp_path):
+    filters = KeyFilters(spark, str(tmp_path / "keys"))
+    filters.add(keyed(spark, range(0, 5000), 2019))
+    filters.add(keyed(spark, range(5000, 9000), 2019))
+    filters.add(keyed(spark, range(9000, 10000), 2020))
+    asked = keyed(spark, range(0, 60_000), 2021).select("complaint_id")
+    hits = filters.possible_years(asked).groupBy("filter_year").agg(
+        F.count_if(F.substring("complaint_id", 2, 9).cast("long") < 9000).alias("low"), F.count(F.lit(1)).alias("n")
+    )
+    found = {row.filter_year: (row.low, row.n) for row in hits.collect()}
+    assert found[2019][0] == 9000 and found[2019][1] <= 9005
+    assert 1000 <= found[2020][1] <= 1005
+
+
+def test_full_filters_go_on_in_a_larger_generation(spark, tmp_path, monkeypatch):
+    """Each generation is four times the last, and the keys of all are found."""
+    monkeypatch.setattr(key_filters, "BITMAPS", 1)
+    filters = KeyFilters(spark, str(tmp_path / "keys"))
+    capacity = key_filters.BITS // key_filters.BITS_PER_KEY
+    monkeypatch.setattr(KeyFilters, "generations", lambda self, plain=KeyFilters.generations: plain(self, capacity))
+    for low in range(0, 8000, 1000):
+        filters.add(keyed(spark, range(low, low + 1000), 2019))
+    sizes = filters.rows().groupBy("generation").agg(F.sum("n_keys").alias("n"), F.count_distinct("bitmap").alias("bitmaps"))
+    assert sorted(map(tuple, sizes.collect())) == [(0, 2000, 1), (1, 6000, 4)]
+    assert filters.possible_years(keyed(spark, range(0, 8000), 2000).select("complaint_id")).count() == 8000
+    others = filters.possible_years(keyed(spark, range(8000, 20_000), 2000).select("complaint_id")).count()
+    assert others < 100
+
+
+def test_null_keys_and_dates(spark, tmp_path):
+    rows = spark.createDataFrame([(None, dt.datetime(2020, 1, 1)), ("a", None)], "complaint_id string, date_received timestamp")
+    filters = KeyFilters(spark, str(tmp_path / "keys"))
+    assert filters.possible_years(rows.select("complaint_id")).count() == 0
+    filters.add(rows)
+    assert filters.possible_years(rows.select("complaint_id")).collect() == [("a", None)]
+
+
+def elements(spark, path, rows):
+    feed.write_envelope(spark.createDataFrame(rows, "complaint_id string, date_received string, issue string"), path)
+
+
+def test_a_record_that_moved_is_loaded_once_and_other_years_are_not_read(spark, tmp_path, monkeypatch):
+    store = str(tmp_path / "store")
+    elements(spark, str(tmp_path / "one"), [(f"{y}-{k}", f"{y}-05-01", "x") for y in range(2015, 2021) for k in range(50)])
+    feed.load_increment(spark, str(tmp_path / "one"), store)
+    elements(spark, str(tmp_path / "two"), [("2016-7", "2019-05-01", "moved"), ("new", "2016-05-01", "y")])
+    read = []
+    plain = feed.read_store
+    monkeypatch.setattr(feed, "read_store", lambda spark, path, **options: read.append(options) or plain(spark, path, **options))
+    loaded = feed.load_increment(spark, str(tmp_path / "two"), store)
+    assert [row.complaint_id for row in loaded.collect()] == ["new"]
+    assert read == [{"years": [2016]}]
+    assert feed.load_increment(spark, str(tmp_path / "two"), store).isEmpty()
+
+
+def test_a_store_landed_without_filters_is_indexed(spark, tmp_path):
+    store = str(tmp_path / "store")
+    elements(spark, str(tmp_path / "one"), [("1", "2015-05-01", "x"), ("2", "2016-05-01", "x")])
+    feed.land_to_store(spark, str(tmp_path / "one"), store)
+    assert feed.load_increment(spark, str(tmp_path / "one"), store).isEmpty()
+    # and what is landed later is known
+    elements(spark, str(tmp_path / "two"), [("3", "2017-05-01", "x")])
+    feed.land_to_store(spark, str(tmp_path / "two"), store)
+    elements(spark, str(tmp_path / "three"), [("3", "2019-05-01", "x"), ("4", "2019-05-01", "x")])
+    assert [row.complaint_id for row in feed.load_increment(spark, str(tmp_path / "three"), store).collect()] == ["4"]
+
+
+def test_an_append_that_failed_leaves_no_key_out(spark, tmp_path, monkeypatch):
+    """Keys are entered before rows are appended: a failure in between is loaded again by the next run."""
+    store = str(tmp_path / "store")
+    elements(spark, str(tmp_path / "one"), [("1", "2015-05-01", "x")])
+    with monkeypatch.context() as patch:
+        patch.setattr(feed, "STORE_YEAR", "no such/column")
+        with pytest.raises(Exception):
+            feed.load_increment(spark, str(tmp_path / "one"), store)
+    assert [row.complaint_id for row in feed.load_increment(spark, str(tmp_path / "one"), store).collect()] == ["1"]
+
+
+# Footers
+
+
+def jobs_of(spark, work):
+    spark.sparkContext.setJobGroup("counted", "jobs of one call")
+    try:
+        result = work()
+        return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_footers_of_many_files_are_few_jobs(spark, tmp_path):
+    rows = spark.range(600).selectExpr("id", "cast(id as string) name").repartition(300)
+    rows.write.parquet(str(tmp_path / "many"))
+    rows.limit(5).drop("name").coalesce(1).write.mode("append").parquet(str(tmp_path / "many"))
+    rows.limit(7).coalesce(1).write.parquet(str(tmp_path / "deep/x=1/y=é +%20z"))
+    inputs = [str(tmp_path / name) for name in ("many", "deep")]
+    groups, jobs = jobs_of(spark, lambda: scoring.file_groups(spark, inputs, ["name"]))
+    assert jobs < 12
+    assert [(group.schema.names, group.problems) for group in groups] == [(["id", "name"], []), (["id"], ["name"])]
+    counts = groups[0].read(spark).groupBy("source").count().collect()
+    assert {row.source: row["count"] for row in counts} == {inputs[0]: 600, inputs[1]: 7}
+    assert groups[1].read(spark).count() == 5
+    sizes = footers.footers(spark, inputs).agg(F.sum("n_rows"), F.count(F.lit(1))).first()
+    assert tuple(sizes)[0] == 612
+
+
+def test_content_stands_in_where_tasks_reach_no_file(spark, tmp_path, monkeypatch):
+    """The footer in a file's content is that of the file."""
+    spark.range(9).withColumn("t", F.current_timestamp()).coalesce(1).write.parquet(str(tmp_path / "in"))
+    listed = spark.read.format("binaryFile").load(str(tmp_path / "in")).select("path", "content")
+    place = footers.full_path(spark, str(tmp_path / "in"))
+    found = listed.mapInArrow(footers._reader_of({place: "in"}), footers.FOOTERS).collect()
+    assert found == footers.footers(spark, [str(tmp_path / "in")]).replace(str(tmp_path / "in"), "in").collect()
+
+
+def test_a_file_that_is_no_parquet_is_reported(spark, tmp_path):
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "in"))
+    (tmp_path / "in" / "notes.txt").write_text("no parquet")
+    (tmp_path / "in" / "empty.parquet").write_bytes(b"")
+    files = footers.FileSet(spark, [str(tmp_path / "in")])
+    assert files.table().count() == 3
+    assert {row.action: row["count"] for row in files.report().groupBy("action").count().collect()} == {"kept": 1, "no parquet": 1}
+    with pytest.raises(ValueError, match="no Parquet file"):
+        scoring.file_groups(spark, [str(tmp_path / "in")])
+
+
+INT, LONG, DOUBLE, TEXT = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType()
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "both"),
+    [
+        (INT, LONG, LONG),
+        (INT, DOUBLE, DOUBLE),
+        (LONG, DOUBLE, TEXT),
+        (T.FloatType(), LONG, TEXT),
+        (T.ShortType(), T.FloatType(), DOUBLE),
+        (T.DateType(), T.TimestampType(), T.TimestampType()),
+        (T.DateType(), INT, TEXT),
+        (T.BooleanType(), TEXT, TEXT),
+        (T.DecimalType(10, 2), LONG, T.DecimalType(21, 2)),
+        (T.DecimalType(38, 30), LONG, TEXT),
+        (T.DecimalType(10, 2), T.DecimalType(12, 6), T.DecimalType(14, 6)),
+        (T.ArrayType(TEXT), TEXT, None),
+        (T.BinaryType(), TEXT, None),
+        (T.ArrayType(TEXT), T.ArrayType(TEXT), T.ArrayType(TEXT)),
+        (T.NullType(), INT, INT),
+    ],
+)
+def test_least_common_types(a, b, both):
+    assert footers.least_common(a, b) == footers.least_common(b, a) == both
+
+
+def test_widening_keeps_every_value(spark, tmp_path):
+    rows = spark.sql("select 2147483647 k, date'2020-02-29' d, 1.5D x, true b, 'only here' extra")
+    rows.write.parquet(str(tmp_path / "a"))
+    spark.sql("select 9007199254740993L k, timestamp'2020-02-29 10:11:12.123456' d, 3 x, 'maybe' b").write.parquet(str(tmp_path / "b"))
+    spark.sql("select named_struct('n', 1) k, null d, 1 x, 'z' b").withColumn("d", F.lit(None).cast("date")).write.parquet(str(tmp_path / "c"))
+    files = footers.FileSet(spark, [str(tmp_path / name) for name in "abc"])
+    table = files.table().orderBy("k")
+    assert dict(table.dtypes) == {"k": "bigint", "d": "timestamp", "x": "double", "b": "string", "extra": "string", "source": "string"}
+    assert [tuple(row)[:5] for row in table.select("k", "d", "x", "b", "extra").collect()] == [
+        (2147483647, dt.datetime(2020, 2, 29), 1.5, "true", "only here"),
+        (9007199254740993, dt.datetime(2020, 2, 29, 10, 11, 12, 123456), 3.0, "maybe", None),
+    ]
+    actions = {(row.input[-1], row.column_name): row.action for row in files.report().collect()}
+    assert actions["c", "k"] == "diverted" and actions["b", "x"] == "widened" and actions["b", "extra"] == "absent"
+    files.diverted_rows(str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).select("k.n").collect() == [(1,)]
+
+
+def test_no_inputs(spark):
+    files = footers.FileSet(spark, [])
+    assert files.table().count() == 0 and files.report().count() == 0
