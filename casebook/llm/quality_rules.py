@@ -5,7 +5,7 @@ two hidden classes, fitted by expectation-maximisation, learns how often each ru
 good and on bad documents, and gives each combination of votes a probability of being good.
 
 Measures are taken in one pass over whole texts. The model only sees how often each combination of
-votes occurs, at most 3 to the power of the number of rules, so fitting does not grow with the data.
+votes occurs; only so many occur as rules agree in different ways, at most 3 to the power of their number.
 
 Null and empty texts have no words: all measures are 0 and the base rule drops them. Repeated rows
 are judged alike, each for itself. An empty table gives an empty result. A null key stays null.
@@ -43,7 +43,12 @@ MEASURES = (
     "n_letters",
     "n_capitals",
     "n_marks",
+    "n_capital_words",
+    "n_marked_words",
+    "n_long_words",
 )
+#: Code points from which a word is long.
+LONG_WORD = 20
 
 
 @dataclass(frozen=True)
@@ -70,8 +75,11 @@ RULES = (
     Rule("lines", "n_dup_lines / greatest(n_lines, 1)", 0.0, 0.5),
     Rule("variety", "1 - n_distinct / pow(greatest(n_words, 1), 0.8)", 0.0, 0.6),
     Rule("capitals", "n_capitals / greatest(n_letters, 1)", 0.2, 0.5),
+    Rule("capital_words", "n_capital_words / greatest(n_words, 1)", 0.2, 0.5),
     Rule("marks", "n_marks / greatest(n_words, 1)", 0.3, 0.8),
+    Rule("marked_words", "n_marked_words / greatest(n_words, 1)", 0.1, 0.5),
     Rule("long_words", "word_chars / greatest(n_words, 1)", 9.0, 14.0),
+    Rule("long_word_share", "n_long_words / greatest(n_words, 1)", 0.1, 0.3),
 )
 
 
@@ -127,8 +135,13 @@ def measured(texts: list[str]) -> dict[str, np.ndarray]:
     n = len(texts)
     kind = kinds()[points]
     symbol = np.isin(points, [ord(c) for c in SYMBOLS])
-    before = np.concatenate([[0], np.cumsum(symbol)])
-    marked = before[end] > before[start]
+    def per_word(flags: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(flags)])
+        return total[end] - total[start]
+
+    marked = per_word(symbol) > 0
+    capitals, marks = per_word(kind == 1), per_word(kind == 3)
+    shouted = (capitals > 1) & (2 * capitals > end - start)
     lines = [line_counts(value) for value in texts]
     pairs = np.unique(text * (int(word.max(initial=0)) + 1) + word)
     return {
@@ -143,6 +156,9 @@ def measured(texts: list[str]) -> dict[str, np.ndarray]:
         "n_letters": per_text((kind == 1) | (kind == 2), begins),
         "n_capitals": per_text(kind == 1, begins),
         "n_marks": per_text(kind == 3, begins),
+        "n_capital_words": np.bincount(text[shouted], minlength=n),
+        "n_marked_words": np.bincount(text[marks > 1], minlength=n),
+        "n_long_words": np.bincount(text[end - start >= LONG_WORD], minlength=n),
     }
 
 
@@ -199,7 +215,7 @@ def scored(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     spark = docs.sparkSession
     names = [rule.name for rule in rules]
     votes = write_table(measures(docs), "measures").select("*", *(rule.vote() for rule in rules))
-    # at most 3 ** len(rules) rows
+    # one row for each combination that occurs, at most 3 ** len(rules); Catalyst knows its size
     seen = votes.groupBy(*names).count().orderBy(*names).collect()
     table = np.array([[row[name] for name in names] for row in seen], int).reshape(len(seen), len(names))
     quality = posteriors(table, np.array([row["count"] for row in seen], float))
@@ -207,7 +223,7 @@ def scored(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     fitted = spark.createDataFrame(
         [(*map(int, row), float(q)) for row, q in zip(table, quality, strict=True)], schema
     )
-    return votes.join(F.broadcast(fitted), names, "left")
+    return votes.join(fitted, names, "left")
 
 
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
