@@ -256,11 +256,10 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int, folder: str) ->
         )
 
     key = F.col("doc_id").cast("long")
-    ordered = (
-        docs.select(key.alias("doc_id"), "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
-    )
+    # rows of a null or repeated key are dealt over ranges by a digest of their texts
+    order = ["doc_id", "tie"]
+    ordered = docs.select(key.alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
+    ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order, "text").select("doc_id", "text")
     shards = ordered.mapInArrow(shard, "shard long, path string, n_docs long, n_tokens long")
     shards = write_table(shards, "shards")
     # one row for each shard: few enough for one task
