@@ -101,7 +101,12 @@ def gram_ratios(train: DataFrame, wanted: DataFrame) -> DataFrame:
     labels = F.explode(F.array(F.lit("allow"), F.lit("block"))).alias("label")
     asked = wanted.select("gram", labels).select("gram", "label", orders)
     asked = asked.withColumn("part", part).withColumn("context", context)
-    rows = asked.join(counts, ["label", "order", "part"], "left").join(contexts, ["label", "order", "context"], "left")
+    rows = asked.join(counts, ["label", "order", "part"], "left")
+    # the shortest contexts, of no or one character, are few and common: a small table, which every task can hold
+    contexts = write_table(contexts, "url-contexts")
+    on = ["label", "order", "context"]
+    few = rows.filter("order <= 1").join(contexts.filter("order <= 1"), on, "left")
+    rows = few.unionByName(rows.filter("order > 1").join(contexts.filter("order > 1"), on, "left"))
     seen = {
         f"{column}_{order}": F.max(F.when(F.col("order") == order, F.col(column)))
         for order in range(ORDER + 1)
