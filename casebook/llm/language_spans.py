@@ -35,6 +35,8 @@ SWITCH = 12.0
 #: A language uses a script if at least this share of its letters is of that script.
 USED = 0.005
 SMOOTHING = 0.5
+#: Languages that a model holds at most; each has BUCKETS numbers in every worker.
+LANGUAGES = 200
 UNKNOWN = "und"
 
 #: Scripts by Unicode property; letters of others are counted together.
@@ -137,8 +139,15 @@ def held_out(docs: DataFrame) -> Column:
 
 
 def fit(docs: DataFrame) -> Model:
-    """Learn from the text and language of all given rows."""
+    """Learn from the text and language of all given rows.
+
+    Of more than ``LANGUAGES`` labels those with the most rows are learned, of equally frequent ones the first
+    by name; rows of the others are not learned from.
+    """
     ship(docs.sparkSession)
+    labels = docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()
+    if len(labels) > LANGUAGES:
+        docs = docs.filter(F.col("lang").isin([row.lang for row in labels[:LANGUAGES]]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs: dict[str, int] = {}
