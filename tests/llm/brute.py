@@ -124,21 +124,126 @@ def contamination(rows, items) -> list[tuple[int, int, int, str]]:
     return found
 
 
-def without_boilerplate(rows, sites: int = 6, variety: float = 0.5) -> list[str | None]:
+def without_boilerplate(rows, sites: int = 6) -> list[str | None]:
     """Texts of (source, text) rows."""
     blanks = " \t\r\x0b\x0c"
-    counts: Counter = Counter()
     on: dict[str, set] = {}
-    around: dict[str, set] = {}
     for source, text in rows:
-        lines = [line.strip(blanks) for line in (text or "").split("\n")]
-        lines = [line for line in lines if line]
-        for k, line in enumerate(lines):
-            counts[line] += 1
-            on.setdefault(line, set()).add(source)
-            around.setdefault(line, set()).add((lines[k - 1] if k else None, lines[k + 1] if k + 1 < len(lines) else None))
-    gone = {line for line, n in counts.items() if len(on[line]) >= sites and len(around[line]) >= variety * n}
+        for line in (text or "").split("\n"):
+            on.setdefault(line.strip(blanks), set()).add(source)
+    gone = {line for line, found in on.items() if line and len(found) >= sites}
     return [
         text if text is None else "\n".join(line for line in text.split("\n") if line.strip(blanks) not in gone)
         for _, text in rows
     ]
+
+
+def shortened(rows) -> list[str | None]:
+    """Texts of (source, text) rows as the pipeline keeps them; None for those that go or have no text."""
+    blanks = " \t\r\x0b\x0c"
+    kept = []
+    for (_, text), short in zip(rows, without_boilerplate(rows), strict=True):
+        lines, left = (sum(bool(line.strip(blanks)) for line in (x or "").split("\n")) for x in (text, short))
+        if lines > 1 and 3 * (lines - left) >= 2 * lines:
+            short = text
+        kept.append(None if lines > left and short != text and not short.strip(blanks + "\n") else short)
+    return kept
+
+
+def languages(train: list[tuple[str, str]], texts: list[str], switch: float, smoothing: float, used: float) -> list[str]:
+    """Language of each text by trigrams of training (lang, text) rows and a plain Viterbi over its words."""
+    import math
+
+    import numpy as np
+    import regex
+
+    from casebook.llm import language_spans as own
+
+    word = regex.compile(r"\p{L}+")
+    low = own.lower_table()
+    mask = (1 << 64) - 1
+
+    def bucket(a: int, b: int, c: int) -> int:
+        mixed = b * 0x9E3779B97F4A7C15 & mask
+        mixed ^= a * 0xC2B2AE3D27D4EB4F & mask
+        mixed ^= c * 0x165667B19E3779F9 & mask
+        return (mixed * 0xFF51AFD7ED558CCD & mask) >> 48
+
+    def trigrams(w: str) -> list[int]:
+        points = [0, *(int(low[ord(c)]) for c in w), 0]
+        return [bucket(*points[k : k + 3]) for k in range(len(w))]
+
+    script = own.script_table()
+    counts: dict[str, Counter] = {}
+    scripts: dict[str, Counter] = {}
+    for lang, text in train:
+        for w in word.findall(text):
+            counts.setdefault(lang, Counter()).update(trigrams(w))
+            scripts.setdefault(lang, Counter())[int(script[ord(w[0])])] += len(w)
+    langs = sorted(counts)
+    seen = max(1, len(set().union(*counts.values())))
+    total = {k: counts[k].total() for k in langs}
+    letters = {k: scripts[k].total() for k in langs}
+    common = max(langs, key=lambda k: (letters[k], -langs.index(k)))
+
+    def scores(w: str) -> list[float] | None:
+        kind = int(script[ord(w[0])])
+        allowed = [scripts[k][kind] >= used * max(scripts[k].total(), 1) and scripts[k][kind] > 0 for k in langs]
+        if not any(allowed):
+            return None
+        value = [
+            sum(float(np.float32(math.log((counts[k][b] + smoothing) / (total[k] + smoothing * seen)))) for b in trigrams(w))
+            if ok
+            else -1e6
+            for k, ok in zip(langs, allowed, strict=True)
+        ]
+        return [max(v - max(value), -1e3) for v in value]
+
+    found = []
+    for text in texts:
+        words = word.findall(text or "")
+        best, steps, known = [0.0] * len(langs), [], []
+        for w in words:
+            row = scores(w)
+            known.append(row is not None)
+            top = max(range(len(langs)), key=lambda k: (best[k], -k))
+            steps.append([k if best[k] >= best[top] - switch else top for k in range(len(langs))])
+            best = [max(b, best[top] - switch) + r for b, r in zip(best, row or [0.0] * len(langs), strict=True)]
+        state = max(range(len(langs)), key=lambda k: (best[k], -k))
+        weight = [0] * len(langs)
+        for w, come, sure in zip(reversed(words), reversed(steps), reversed(known), strict=True):
+            weight[state] += len(w) * sure
+            state = come[state]
+        if not words:
+            found.append("und")
+        else:
+            found.append(langs[max(range(len(langs)), key=lambda k: (weight[k], -k))] if any(weight) else common)
+    return found
+
+
+def posteriors(votes: list[tuple[int, ...]], rounds: int = 200) -> dict[tuple[int, ...], float]:
+    """Probability of good of each row of votes, by expectation-maximisation over single rows."""
+    import math
+
+    good = [0.1 if -1 in row else 0.95 for row in votes]
+    prior = {True: {1: 8.0, 0: 1.9, -1: 0.1}, False: {1: 3.0, 0: 2.0, -1: 5.0}}
+    for _ in range(rounds):
+        logs = {}
+        for side in (True, False):
+            weight = [g if side else 1 - g for g in good]
+            rates = []
+            for rule in range(len(votes[0])):
+                seen = dict(prior[side])
+                for row, w in zip(votes, weight, strict=True):
+                    seen[row[rule]] += w
+                rates.append({vote: n / sum(seen.values()) for vote, n in seen.items()})
+            logs[side] = (math.log(sum(weight) + 1), rates)
+        new = []
+        for row in votes:
+            a, b = (base + sum(math.log(rate[vote]) for rate, vote in zip(rates, row, strict=True)) for base, rates in logs.values())
+            new.append(1 / (1 + math.exp(min(max(b - a, -700), 700))))
+        done = max(abs(x - y) for x, y in zip(new, good, strict=True)) < 1e-9
+        good = new
+        if done:
+            break
+    return dict(zip(votes, good, strict=True))

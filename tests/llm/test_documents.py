@@ -41,6 +41,46 @@ def test_measures_equal_brute_force(spark, rows, awkward):
             assert {name: row[name] for name in brute.measures("")} == brute.measures(row.text)
 
 
+def test_verdicts_equal_brute_force(spark):
+    """Votes from the measures by plain rules, and the model fitted row by row."""
+    rules = quality_rules.RULES
+    rows = quality_rules.scored(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+
+    def vote(rule, row):
+        names = {name: row[name] for name in quality_rules.MEASURES}
+        value = eval(rule.value, {"greatest": max, "pow": pow}, names)  # the same text is SQL and Python
+        return -1 if value > rule.bad else 1 if value <= rule.good else 0
+
+    votes = [tuple(vote(rule, row) for rule in rules) for row in rows]
+    assert votes == [tuple(row[rule.name] for rule in rules) for row in rows]
+    expected = brute.posteriors(votes)
+    assert all(abs(row.quality - expected[own]) < 1e-6 for row, own in zip(rows, votes, strict=True))
+    judged = {row.doc_id: row for row in QUERIES["op1_quality_rules"](spark, SF).collect()}
+    assert all(judged[row.doc_id].kept == (not judged[row.doc_id].base_failed and expected[own] >= 0.5) for row, own in zip(rows, votes, strict=True))
+
+
+def test_planted_defects_are_dropped(spark):
+    """All capitals, marks after every word, and very long words, among clean documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(800).select("doc_id", "text")
+    spoilt = docs.filter("doc_id % 23 = 0 and length(text) > 600")
+    parts = {
+        "capitals": F.upper("text"),
+        "marks": F.regexp_replace("text", r"(\S) ", "$1!!! "),
+        "long words": F.regexp_replace("text", r"(\S+) (\S+) (\S+) (\S+) (\S+) ", "$1$2$3$4$5 "),
+    }
+    clean = quality_rules.judged(docs).filter("kept").select("doc_id")
+    spoilt = write_table(spoilt.join(clean, "doc_id"), "spoilt")
+    planted = docs.withColumn("kind", F.lit("given"))
+    for kind, text in parts.items():
+        planted = planted.union(spoilt.select((F.col("doc_id") + 10**6 * (1 + list(parts).index(kind))).alias("doc_id"), text, F.lit(kind)))
+    planted = write_table(planted, "planted")
+    judged = quality_rules.judged(planted).join(planted.select("doc_id", "kind"), "doc_id")
+    rates = dict(judged.filter("not base_failed").groupBy("kind").agg(F.avg(F.col("kept").cast("int"))).collect())
+    before = quality_rules.judged(docs).filter("not base_failed").agg(F.avg(F.col("kept").cast("int"))).first()[0]
+    assert rates["capitals"] <= 0.05 and rates["marks"] <= 0.05 and rates["long words"] <= 0.05
+    assert rates["given"] >= before - 0.005
+
+
 def test_rules_find_junk_without_labels(spark):
     folder = "/root/testdata/sf0.1"
     judged = quality_rules.judged(spark.read.parquet(f"{folder}/documents.parquet")).drop("quality")
@@ -104,6 +144,24 @@ def test_held_out_documents_are_identified(spark):
     assert total > 100 and right / total > 0.97
 
 
+def test_query_equals_a_plain_model(spark, documents):
+    rows = documents.select("doc_id", "text", "lang", language_spans.training_rows(documents).alias("learned")).collect()
+    train = [(row.lang, row.text) for row in rows if row.learned]
+    expected = brute.languages(train, [row.text for row in rows], language_spans.SWITCH, language_spans.SMOOTHING, language_spans.USED)
+    found = {row.doc_id: row.lang_pred for row in QUERIES["op5_language_id"](spark, SF).collect()}
+    same = [found[row.doc_id] == lang for row, lang in zip(rows, expected, strict=True)]
+    assert sum(same) >= len(same) - 1  # rounding may decide a tie
+
+
+def test_only_so_many_languages_are_learned(spark, monkeypatch):
+    """Junk labels, each of a few rows, take no place of the frequent ones."""
+    monkeypatch.setattr(language_spans, "LANGUAGES", 2)
+    rows = [(k, "the cat and the dog", "en") for k in range(9)] + [(20 + k, "der hund und die katze", "de") for k in range(5)]
+    rows += [(100 + k, "zzz qqq", f"junk{k}") for k in range(50)]
+    model = language_spans.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == ["de", "en"]
+
+
 def test_labels_are_no_inputs_of_a_prediction(spark, documents):
     model = language_spans.fit(documents.filter(language_spans.training_rows(documents)))
     plain = language_spans.predict(documents, model).drop("spans")
@@ -166,7 +224,29 @@ def test_lines_equal_brute_force(lined):
     expected = brute.without_boilerplate([(row.source, row.text) for row in given])
     assert [rows[row.doc_id].text for row in given] == expected
     assert "five" in rows[0].text and "eight" not in rows[0].text and "six" not in rows[0].text
-    assert rows[100].text.count("copied") == 3 and rows[200].n_removed == 1 and rows[201].text is None
+    assert rows[100].text == "" and rows[200].n_removed == 1 and rows[201].text is None
+
+
+def test_lines_go_by_distinct_sites_alone(spark):
+    """A footer of three lines, a page of one line, and a bar that one hot source repeats between the same neighbours."""
+    footer = "imprint\nprivacy\nall rights reserved"
+    rows = [(k, f"own {k}\nmore {k}\nstill more {k}\nyet more {k}\n{footer}", f"s{k}") for k in range(40)]
+    rows += [(100 + k, "page not found", f"s{k}") for k in range(40)]
+    rows += [(200 + k, f"a {k}\nhome | news\nb {k}\nc {k}", f"s{k}") for k in range(40)]
+    rows += [(300 + k, "x\nhome | news\ny", "hot") for k in range(60)]
+    docs = write_table(spark.createDataFrame(rows, "doc_id long, text string, source string"), "sites")
+    found = {row.doc_id: row for row in line_spread.without_boilerplate(docs).collect()}
+    assert [found[k].text for k in (7, 107, 207, 307)] == ["own 7\nmore 7\nstill more 7\nyet more 7", "", "a 7\nb 7\nc 7", "x\ny"]
+    assert [row.text for key, row in sorted(found.items())] == brute.without_boilerplate([row[:0:-1] for row in rows])
+    kept = {row.doc_id: row.text for row in line_spread.shortened(docs).collect()}
+    assert not any(100 <= key < 200 for key in kept) and len(kept) == 140
+
+
+def test_copies_of_documents_stay_for_near_dedup(lined):
+    given = lined.orderBy("doc_id").collect()
+    kept = {row.doc_id: row.text for row in line_spread.shortened(lined).collect()}
+    assert [kept.get(row.doc_id) for row in given] == brute.shortened([(row.source, row.text) for row in given])
+    assert kept[100].count("copied") == 3
 
 
 def test_emptied_documents_go(lined):

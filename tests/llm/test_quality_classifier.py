@@ -105,6 +105,14 @@ def test_only_rows_not_held_out_are_learned_from(spark):
     assert rows == {k: k % 2 for k in range(50) if zlib.crc32(str(k).encode()) % 5}
 
 
+def test_a_sample_of_labelled_keys_is_learned_from(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+    assert 700 < nbsvm.labelled(docs, labels, 1000).count() < 1300
+    everything = docs.filter(~nbsvm.held_out(docs)).count()
+    assert nbsvm.labelled(docs, labels, everything).count() == everything
+
+
 def test_awkward_rows(spark, awkward, nothing):
     labels = spark.createDataFrame([(1, 0, 0), (5, 1, 0), (5, 0, 0), (7, 0, 0), (8, None, 0), (9, 0, 0)], "doc_id long, quality int, toxic int")
     found = nbsvm.classified(awkward, labels)
