@@ -105,7 +105,7 @@ def contract(required: list[str]) -> str:
 # Elapsed days, and modes of the category columns.
 
 DAYS = """
-days as (
+days as materialized (
   select *, abs(epoch(date_trunc('second', date_received)) - epoch(date_trunc('second', date_sent_to_company)))
             / 86400.0 as diff_in_days
   from cases)"""
@@ -207,14 +207,14 @@ final5 as (select term, {times("h", 3266489909)} as h from final4),
 final6 as (select term, {shifted("h", 16)} as h from final5),
 signed as (
   select term, cast(h as bigint) - case when h >= 2147483648 then 4294967296 else 0 end as h from final6),
-buckets as (select term, ((h % {count}) + {count}) % {count} as bucket from signed)"""
+buckets as materialized (select term, ((h % {count}) + {count}) % {count} as bucket from signed)"""
 
 
 def hashed(source: str, key: str, column: str) -> str:
     return f"""{words(source, key, column)},
 terms as (select {key}, unnest(w) as term from words),
 {buckets()},
-hashed as (
+hashed as materialized (
   select {key}, bucket, cast(count(*) as bigint) as tf from terms join buckets using (term) group by {key}, bucket)"""
 
 
@@ -223,9 +223,9 @@ SHARE = "cast('0x' || substr(md5(complaint_id), 1, 8) as bigint) % 100"
 # The feature vector of every case, fitted on the training split. Slots: categories, days, text.
 FEATURES = f"""{CASES},
 {DAYS},
-training as (select * from days where {SHARE} < 70),
+training as materialized (select * from days where {SHARE} < 70),
 {modes(CATEGORIES, "training")},
-filled as (
+filled as materialized (
   select complaint_id, {SHARE} < 70 as fitted, issue,
          coalesce(diff_in_days, (select avg(diff_in_days) from training)) as im_diff_in_days,
          {", ".join(f"coalesce({c}, (select v from modes where column_name = '{c}')) as {c}" for c in CATEGORIES)}
@@ -239,14 +239,14 @@ width as (select sum(size) as width from category_sizes),
 text_weights as (
   select bucket, ln(((select count(*) from fitted) + 1.0) / (count(*) + 1.0)) as idf
   from hashed join fitted using (complaint_id) group by bucket),
-slots as (
+slots as materialized (
   select complaint_id, first_slot + idx as slot, 1.0::double as value
   from indexed join offsets using (column_name) where idx < indexed.size
   union all select complaint_id, width, im_diff_in_days from filled, width
   union all select complaint_id, width + 1 + bucket,
                    tf * coalesce(idf, ln((select count(*) from fitted) + 1.0))
             from hashed left join text_weights using (bucket), width),
-deviations as (
+deviations as materialized (
   select slot, sqrt((sum(value * value) - sum(value) * sum(value) / any_value(m)) / (any_value(m) - 1)) as deviation
   from slots join fitted using (complaint_id), (select cast(count(*) as double) as m from fitted)
   group by slot)"""
