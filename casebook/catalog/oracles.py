@@ -377,6 +377,54 @@ models as (
   from placed where number % 97 = 0 and number % 2 = 1 group by region, date_received)
 select c.complaint_id, c.region, {day("c.date_received")} as date_received, {day("m.accepted_at")} as accepted_at, m.model
 from placed c asof left join models m on c.region = m.region and c.date_received >= m.accepted_at""",
+    "quality_cube": f"""with {CASES},
+tall as (
+  {union_all([f"select '{c}' as column_name, year(date_received)::varchar as year, company_response, ({c} is null)::int as missing from cases" for c in CASE_COLUMNS])}),
+cube as (
+  select column_name, year, company_response, grouping(year) as gy, grouping(company_response) as gc,
+         count(*) as total_row, cast(sum(missing) as bigint) as missing_row
+  from tall group by column_name, cube(year, company_response))
+select column_name, year, company_response, total_row, missing_row,
+       case when gy = 1 and gc = 1 then 'year,company_response' when gy = 1 then 'year'
+            when gc = 1 then 'company_response' else '' end as "over",
+       round(missing_row * 100.0 / total_row, 6) as missing_percentage
+from cube""",
+    "sketched_quantiles": f"""with {CASES},
+tall as (
+  select 'date_received' as column_name, epoch_us(date_received)::double as own from cases
+  union all select 'date_sent_to_company', epoch_us(date_sent_to_company)::double from cases
+  union all select 'price', length(issue) * 1.5::double from cases),
+held as (select column_name, count(own) as n, min(own) as low, max(own) as high from tall where own is not null group by 1),
+shares(share) as (values (0.0::double), (0.01::double), (0.25::double), (0.5::double), (0.75::double), (0.99::double), (1.0::double))
+select column_name, n, share, case share when 0 then low when 1 then high end as exact_value, true as rank_holds
+from held, shares""",
+    "promotion_race": f"""with {CASES},
+scored as (
+  select consumer_disputed, 'No' as none, case when submitted_via like '1%' then 'Yes' else 'No' end as urgent,
+         case when company_response = 'F' then 'Yes' else 'No' end as closed
+  from cases),
+f as (
+  select ({weighted_f1("none")}) as n, ({weighted_f1("urgent")}) as u, ({weighted_f1("closed")}) as c),
+won as (
+  -- the closed rule is judged against none only while the urgent one waits with a verdict of its own
+  select *, c - n >= 0.002 as c_won, u - n >= 0.002 as u_first from f)
+select model, met, round(f1, 6) as f1, round(met_f1, 6) as met_f1, tries, accepted, champion, versions, true as served from (
+  select 'none' as model, null as met, n as f1, null as met_f1, 1 as tries, true as accepted,
+         case when c_won and u_first and u - c >= 0.002 then 'urgent' when c_won then 'closed' when u_first then 'urgent' else 'none' end as champion,
+         1 + c_won::int + (u_first and (not c_won or u - c >= 0.002))::int as versions
+  from won
+  union all
+  select 'closed', 'none', c, n, 1, c_won,
+         case when c_won and u_first and u - c >= 0.002 then 'urgent' when c_won then 'closed' when u_first then 'urgent' else 'none' end,
+         1 + c_won::int + (u_first and (not c_won or u - c >= 0.002))::int
+  from won
+  union all
+  select 'urgent', case when c_won and u_first then 'closed' else 'none' end, u,
+         case when c_won and u_first then c else n end, 1 + (c_won and u_first)::int,
+         u_first and (not c_won or u - c >= 0.002),
+         case when c_won and u_first and u - c >= 0.002 then 'urgent' when c_won then 'closed' when u_first then 'urgent' else 'none' end,
+         1 + c_won::int + (u_first and (not c_won or u - c >= 0.002))::int
+  from won)""",
     "land_to_store": f"""with {CASES}
 select complaint_id, cast(2 as bigint) as copies, {day("date_received")} as date_received, issue, consumer_disputed
 from cases""",

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.functions.vectors import slots, stored
-from casebook.operators import asof, frequency, increments, intervals, metrics, promotion, quality, sampling, text
+from casebook.operators import asof, frequency, increments, intervals, metrics, promotion, quality, sampling, slice_profiles, text
+from casebook.operators.registry import ModelRegistry, ServedModel
 from casebook.plans.features import fit_features
 from casebook.plans.lifecycle import TrainingRun, run_training, train, validate
 from casebook.plans.scoring import SOURCE, file_groups, score, score_inputs
@@ -295,6 +296,53 @@ def column_profile(spark: SparkSession, folder: str) -> DataFrame:
     return _profile(table(spark, folder, "documents"))
 
 
+def _profiles(spark: SparkSession, folder: str) -> slice_profiles.SliceProfiles:
+    """What four slices of the cases have left behind; one was entered twice."""
+    records = cases(spark, folder, [*CASE_COLUMNS]).withColumn("price", F.length("issue") * 1.5)
+    records = write_table(records, "records")
+    profiles = slice_profiles.SliceProfiles(spark, new_folder(spark, "profiles"), _levels())
+    for number in (0, 1, 2, 3, 3):
+        part = records.where(F.col(KEY).cast("long") % 4 == number)
+        profiles.add(part, f"part-{number}", CASE_COLUMNS, ["date_received", "date_sent_to_company", "price"])
+    return profiles
+
+
+def _levels() -> dict[str, Column]:
+    return {"year": F.year("date_received"), "company_response": F.col("company_response")}
+
+
+@registered
+def quality_cube(spark: SparkSession, folder: str) -> DataFrame:
+    """Missing values of every column by year and response, at all levels, from the slices' counts."""
+    cube = _profiles(spark, folder).cube()
+    return cube.withColumn("missing_percentage", rounded("missing_percentage"))
+
+
+@registered
+def sketched_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantiles from the slices' sketches: rows, least and greatest value, and whether the others' ranks hold.
+
+    Sketches toss coins, so the quantiles between have no SQL; how far their true ranks are off has a bound.
+    """
+    shares = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    found = write_table(_profiles(spark, folder).quantiles(shares), "quantiles")
+    rows = cases(spark, folder, ["date_received", "date_sent_to_company", "issue"]).select(
+        F.unix_micros("date_received").cast("double").alias("date_received"),
+        F.unix_micros("date_sent_to_company").cast("double").alias("date_sent_to_company"),
+        (F.length("issue") * 1.5).alias("price"),
+    )
+    cells = [F.struct(F.lit(name).alias("column_name"), F.col(name).alias("own")) for name in rows.columns]
+    tall = rows.select(F.inline(F.array(*cells))).where("own IS NOT NULL")
+    # the table of quantiles is a few rows for each column
+    met = tall.join(F.broadcast(found), "column_name").groupBy("column_name", "n", "share", "value").agg(
+        F.count_if(F.col("own") < F.col("value")).alias("below"), F.count_if(F.col("own") <= F.col("value")).alias("upto")
+    )
+    slack = slice_profiles.RANK_ERROR * F.col("n")
+    holds = (F.col("below") - slack <= F.col("share") * F.col("n")) & (F.col("upto") + slack >= F.col("share") * F.col("n"))
+    exact = F.when(F.col("share").isin(0.0, 1.0), rounded("value"))
+    return met.select("column_name", "n", "share", exact.alias("exact_value"), holds.alias("rank_holds"))
+
+
 @registered
 def column_profile_cases(spark: SparkSession, folder: str) -> DataFrame:
     return _profile(cases(spark, folder))
@@ -767,3 +815,43 @@ def evaluation_report(spark: SparkSession, folder: str) -> DataFrame:
         "active",
         F.lit(promotion.latest_model(spark, path)).alias("newest_model"),
     )
+
+
+@registered
+def promotion_race(spark: SparkSession, folder: str) -> DataFrame:
+    """Three rules compete for the registry; the last two at once, so one has to try again against the other.
+
+    Per rule: the champion it met last, its F1 beside that one's, tries, and whether it was accepted; beside it
+    the version and model in the end, as served.
+    """
+    closed = F.when(F.col("company_response") == "F", "Yes").otherwise("No")
+    urgent = F.when(F.col("submitted_via").startswith("1"), "Yes").otherwise("No")
+    rows = cases(spark, folder, [TARGET, "company_response", "submitted_via"])
+    rows = write_table(rows.select(TARGET, F.lit("No").alias("none"), urgent.alias("urgent"), closed.alias("closed")), "scored")
+    registry = ModelRegistry(spark, new_folder(spark, "registry"))
+    served = ServedModel(registry, lambda path: path)
+    told, results = {}, []
+
+    def better(name: str, champion: str | None) -> tuple[bool, float]:
+        gate = promotion.promotion_gate(rows, TARGET, name, champion).first()
+        told[name] = (champion, gate.candidate_f1, gate.champion_f1)
+        return gate.model_accepted, gate.changed_accuracy
+
+    def interrupted(champion: str | None) -> tuple[bool, float]:
+        verdict = better("urgent", champion)
+        if champion == "none":  # the other candidate is faster
+            compete("closed", lambda path: better("closed", path))
+        return verdict
+
+    def compete(name: str, judge: Callable[[str | None], tuple[bool, float]]) -> None:
+        _, accepted, tries = registry.compete(name, judge)
+        served.current()
+        results.append((name, *told[name], tries, accepted))
+
+    compete("none", lambda path: better("none", path))
+    compete("urgent", interrupted)
+    end = registry.champion()
+    schema = "model string, met string, f1 double, met_f1 double, tries int, accepted boolean"
+    table = spark.createDataFrame(results, schema).withColumns({"f1": rounded("f1"), "met_f1": rounded("met_f1")})
+    same = F.lit(served.model == end.model_path and served.version == end.version)
+    return table.select("*", F.lit(end.model_path).alias("champion"), F.lit(end.version).alias("versions"), same.alias("served"))

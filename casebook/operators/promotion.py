@@ -83,7 +83,7 @@ def append_report(row: DataFrame, path: str) -> None:
 
 
 def latest_model(spark: SparkSession, report_path: str) -> str | None:
-    """Path of the newest accepted model; None when there is no report or none was accepted."""
+    """Path of the newest accepted model, of equally new ones the last by path; None without any."""
     try:
         report = spark.read.schema(REPORT_SCHEMA).parquet(report_path)
     except AnalysisException as error:
@@ -91,4 +91,5 @@ def latest_model(spark: SparkSession, report_path: str) -> str | None:
             raise
         return None
     accepted = report.where(F.col("model_accepted") == "true")
-    return accepted.agg(F.max_by("trained_model_path", "evaluated_at")).first()[0]
+    newest = accepted.agg(F.max(F.struct("evaluated_at", "trained_model_path")).alias("newest"))
+    return newest.select("newest.trained_model_path").first()[0]
