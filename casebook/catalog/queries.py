@@ -592,11 +592,26 @@ def label_index(spark: SparkSession, folder: str) -> DataFrame:
     return fit_label_index(rows).transform(rows).withColumn(LABEL_INDEX, F.col(LABEL_INDEX).cast("long"))
 
 
+_runs: dict[tuple[str, str], tuple[TrainingRun, DataFrame]] = {}
+
+
 def _trained(spark: SparkSession, folder: str) -> tuple[TrainingRun, PipelineModel, DataFrame]:
-    """A finished training run over all cases: its paths, its model as saved, and its records."""
+    """A finished training run over all cases: its paths, its model as saved, and its records.
+
+    An application trains once for each folder; the queries that score load what that run has saved.
+    """
+    own = (spark.sparkContext.applicationId, folder)
+    if own in _runs:
+        run, records = _runs[own]
+        try:
+            return run, PipelineModel.load(run.model), records
+        except Exception as error:  # the run's folder has been cleared since
+            if "does not exist" not in str(error).lower() and "not_exist" not in str(error).lower():
+                raise
     run = TrainingRun(new_folder(spark, "training"))
     records = write_table(cases(spark, folder), "records")
     train(validate(records, run), run).write().overwrite().save(run.model)
+    _runs[own] = (run, records)
     return run, PipelineModel.load(run.model), records
 
 
@@ -650,7 +665,8 @@ def _scored_inputs(spark: SparkSession, folder: str, model: PipelineModel, base:
 @registered
 def score_batch(spark: SparkSession, folder: str) -> DataFrame:
     """Every case scored by a model that was trained on the training split, saved and loaded again."""
-    run, model, records = _trained(spark, folder)
+    _, model, records = _trained(spark, folder)
+    run = TrainingRun(new_folder(spark, "scoring"))
     good = run.path("input")
     records.select(*FEATURE_COLUMNS).write.parquet(good)
     outputs = [run.path(name) for name in ("predictions", "archive", "failed")]
@@ -661,7 +677,8 @@ def score_batch(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def scored_archive(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions and archive of all valid files, read back: nothing of one input replaces another's."""
-    run, model, _ = _trained(spark, folder)
+    _, model, _ = _trained(spark, folder)
+    run = TrainingRun(new_folder(spark, "scoring"))
     _scored_inputs(spark, folder, model, run.path("in"))
     predicted = spark.read.parquet(f"{run.path('in')}/predictions").select(SOURCE, KEY, PREDICTED_LABEL)
     archived = spark.read.parquet(f"{run.path('in')}/archive").select(SOURCE, KEY, *SCORING_COLUMNS)
@@ -674,7 +691,8 @@ def scored_archive(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def diverted_input(spark: SparkSession, folder: str) -> DataFrame:
     """The files that break the contract, read back from where they were diverted."""
-    run, model, _ = _trained(spark, folder)
+    _, model, _ = _trained(spark, folder)
+    run = TrainingRun(new_folder(spark, "scoring"))
     _scored_inputs(spark, folder, model, run.path("in"))
     diverted = spark.read.parquet(f"{run.path('in')}/failed")
     source = F.substring_index(SOURCE, "/in/", -1).alias("input")
@@ -684,7 +702,8 @@ def diverted_input(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def _score_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Every case scored as its file arrives, with whether batch scoring says the same; a bad file is diverted."""
-    run, model, records = _trained(spark, folder)
+    _, model, records = _trained(spark, folder)
+    run = TrainingRun(new_folder(spark, "scoring"))
     records = records.select(*FEATURE_COLUMNS)
     arrivals = run.path("arrivals")
     records.write.parquet(arrivals)

@@ -12,7 +12,7 @@ from casebook.operators.promotion import append_report, latest_model, promotion_
 from casebook.operators.quality import accepted_rows, quarantine_columns, rejected_columns, require_columns
 from casebook.operators.sampling import split_frames, train_test_split
 from casebook.plans.features import fit_features, join_models
-from casebook.plans.training import TRAINING_PARTS, dealt, fit_forest, fit_label_index, training_metrics
+from casebook.plans.training import dealt, fit_forest, fit_label_index, training_metrics, training_parts
 from casebook.schema import (
     KEY,
     PREDICTED_LABEL,
@@ -48,22 +48,25 @@ def validate(records: DataFrame, run: TrainingRun) -> DataFrame:
 
 
 def train(
-    accepted: DataFrame, run: TrainingRun, seed: int = 42, parts: int = TRAINING_PARTS
+    accepted: DataFrame, run: TrainingRun, seed: int = 42, parts: int | None = None
 ) -> PipelineModel:
     """Fit on the training split, write vectors and metrics, return the model that takes raw records.
 
-    ``seed`` and ``parts`` decide the forest and are recorded in the run's folder.
+    ``seed`` and ``parts`` decide the forest and are recorded in the run's folder. Parts follow from the
+    number of training rows unless told otherwise.
     """
     spark = accepted.sparkSession
     labelled = accepted.where(F.col(TARGET).isNotNull())
     tagged = train_test_split(labelled)
-    settings = spark.createDataFrame([(seed, parts)], "seed long, parts int")
-    settings.coalesce(1).write.mode("overwrite").parquet(run.path("settings"))
     features = fit_features(tagged.where("split = 'train'"))
     vectors = features.transform(tagged).select(KEY, SCALED, TARGET, "split")
     vectors.write.partitionBy("split").parquet(run.path("vectors"))
     vectors = spark.read.parquet(run.path("vectors"))
-    training = dealt(vectors.where("split = 'train'"), KEY, parts)
+    training = vectors.where("split = 'train'")
+    parts = parts or training_parts(training.count())
+    settings = spark.createDataFrame([(seed, parts)], "seed long, parts int")
+    settings.coalesce(1).write.mode("overwrite").parquet(run.path("settings"))
+    training = dealt(training, KEY, parts)
     labels = fit_label_index(training)
     labels.write().overwrite().save(run.path("label_index"))
     forest = fit_forest(training, labels, seed)

@@ -10,16 +10,26 @@ from pyspark.sql import functions as F
 
 from casebook.operators.metrics import weighted_metrics
 from casebook.schema import KEY, LABEL_INDEX, PREDICTED_LABEL, PREDICTION, SCALED, TARGET
+from casebook.workspace import checkpointed
 
 
-# Parts that training rows are dealt into. A forest samples each part by its number, so the same
-# data, seed and number of parts give the same trees on any cluster. Raise it with the data.
+# Parts that training rows are dealt into, at least, and rows of a part. A forest samples each part by
+# its number, so the same data, seed and number of parts give the same trees on any cluster.
 TRAINING_PARTS = 32
+ROWS_PER_PART = 250_000
+
+
+def training_parts(n_rows: int) -> int:
+    """Parts for so many training rows."""
+    return max(TRAINING_PARTS, -(-n_rows // ROWS_PER_PART))
 
 
 def dealt(rows: DataFrame, key: str = KEY, parts: int = TRAINING_PARTS) -> DataFrame:
-    """Rows in a layout that only their keys decide: dealt by a hash of the key, sorted in each part."""
-    return rows.repartition(parts, key).sortWithinPartitions(key)
+    """Rows in a layout that only their keys decide: dealt by a hash of the key, sorted in each part.
+
+    Computed once, whatever passes a fit makes over them.
+    """
+    return checkpointed(rows.repartition(parts, key).sortWithinPartitions(key))
 
 
 def fit_label_index(train: DataFrame, label: str = TARGET, output: str = LABEL_INDEX) -> StringIndexerModel:

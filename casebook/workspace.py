@@ -47,6 +47,14 @@ def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once, with its partitions and their order as they are, in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def clear(spark: SparkSession) -> None:
     """Delete all tables that this application has written; results that read them must be stored by then."""
     path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
