@@ -425,6 +425,8 @@ select model, met, round(f1, 6) as f1, round(met_f1, 6) as met_f1, tries, accept
          case when c_won and u_first and u - c >= 0.002 then 'urgent' when c_won then 'closed' when u_first then 'urgent' else 'none' end,
          1 + c_won::int + (u_first and (not c_won or u - c >= 0.002))::int
   from won)""",
+    "scored_once": f"""with {CASES}
+select complaint_id, cast(1 as bigint) as copies, true as same_as_batch from cases""",
     "land_to_store": f"""with {CASES}
 select complaint_id, cast(2 as bigint) as copies, {day("date_received")} as date_received, issue, consumer_disputed
 from cases""",

@@ -41,6 +41,7 @@ from casebook.sources.cases import CASE_COLUMNS, cases, table
 from casebook.sources.feed import OTHER, land_to_store, read_envelope, read_rejected, read_store, write_envelope
 from casebook.sources.feed import load_increment as increment
 from casebook.sources.footers import FileSet
+from casebook.streaming.records import score_records
 from casebook.streaming.scoring import score_stream
 from casebook.workspace import new_folder, write_table
 
@@ -724,6 +725,25 @@ def _score_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@registered
+def scored_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that arrive in three waves, with repeats of earlier ones, scored by a stream that is started anew for each."""
+    _, model, records = _trained(spark, folder)
+    run = TrainingRun(new_folder(spark, "scoring"))
+    records = records.select(*FEATURE_COLUMNS)
+    number = F.col(KEY).cast("long")
+    waves = [number % 2 == 0, (number % 2 == 1) | (number % 4 == 0), number % 3 == 0]
+    paths = [run.path(name) for name in ("arrivals", "predictions", "progress")]
+    for wave in waves:
+        records.where(wave).write.mode("append").parquet(paths[0])
+        score_records(model, spark, paths[0], records.schema, *paths[1:]).awaitTermination()
+    scored = spark.read.parquet(paths[1]).select(KEY, F.col(PREDICTED_LABEL).alias("label"))
+    counted = scored.groupBy(KEY).agg(F.count(F.lit(1)).alias("copies"), F.max("label").alias("label"))
+    batch = score(model, records).select(KEY, PREDICTED_LABEL)
+    same = F.col("label").eqNullSafe(F.col(PREDICTED_LABEL)).alias("same_as_batch")
+    return counted.join(batch, KEY, "full").select(KEY, "copies", same)
+
+
 @registered
 def training_run(spark: SparkSession, folder: str) -> DataFrame:
     """Two whole runs and their report, and all cases scored with the newest accepted model, loaded anew.
