@@ -427,6 +427,9 @@ select model, met, round(f1, 6) as f1, round(met_f1, 6) as met_f1, tries, accept
   from won)""",
     "scored_once": f"""with {CASES}
 select complaint_id, cast(1 as bigint) as copies, true as same_as_batch from cases""",
+    "encoded_categories": f"""with {CASES},
+{indexed(["submitted_via", "consumer_consent_provided", "issue"], "cases", "complaint_id")}
+select complaint_id, column_name, cast(idx as integer) as slot, 1.0::double as value from indexed where idx < indexed.size""",
     "land_to_store": f"""with {CASES}
 select complaint_id, cast(2 as bigint) as copies, {day("date_received")} as date_received, issue, consumer_disputed
 from cases""",

@@ -18,7 +18,7 @@ from casebook.operators.registry import ModelRegistry, ServedModel
 from casebook.plans.features import fit_features
 from casebook.plans.lifecycle import TrainingRun, run_training, train, validate
 from casebook.plans.scoring import SOURCE, file_groups, score, score_inputs
-from casebook.plans.stages import ElapsedDays, FrequencyEncoder, ModeImputer
+from casebook.plans.stages import CategoryEncoder, ElapsedDays, FrequencyEncoder, ModeImputer
 from casebook.plans.training import fit_label_index
 from casebook.schema import (
     ASSEMBLED,
@@ -458,6 +458,16 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     return tall.select("o_orderkey", "column_name", F.inline_outer("pairs")).where("value <> 0")
 
 
+@registered
+def encoded_categories(spark: SparkSession, folder: str) -> DataFrame:
+    """One-hot vectors from an index that is a table: few categories, some NULL, and as many as there are texts."""
+    columns = ["submitted_via", "consumer_consent_provided", "issue"]
+    rows = write_table(cases(spark, folder, [KEY, *columns]), "records")
+    encoded = CategoryEncoder(inputCols=columns, outputCols=prefixed("tf_", columns)).fit(rows).transform(rows)
+    cells = [F.struct(F.lit(name).alias("column_name"), stored("tf_" + name).alias("pairs")) for name in columns]
+    return encoded.select(KEY, F.inline(F.array(*cells))).select(KEY, "column_name", F.inline("pairs"))
+
+
 @registered
 def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
     measures = ["l_quantity", "l_extendedprice", "l_discount"]

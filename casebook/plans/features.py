@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from casebook.functions.columns import elapsed_days
 from casebook.operators.frequency import frequency_table
-from casebook.plans.stages import ElapsedDays, ModeImputer, ModeImputerModel
+from casebook.plans.stages import CategoryEncoderModel, ElapsedDays, ModeImputer, ModeImputerModel
 from casebook.schema import (
     ASSEMBLED,
     CATEGORY_COLUMNS,
@@ -36,9 +36,8 @@ from casebook.schema import (
 )
 from casebook.workspace import write_table
 
-# Categories are indexed by a list kept with the model, so there must be few enough to list; the
-# largest number that ``fit_features`` takes unless told otherwise.
-MAX_CATEGORIES = 100_000
+# Categories that are indexed by a list kept with the model; the index of columns with more is a table.
+LISTED_CATEGORIES = 100_000
 
 _TEXT = "filled_text"
 
@@ -69,9 +68,10 @@ def feature_stages(strict: bool = False) -> list:
 
 
 def fitted_categories(df: DataFrame, strict: bool, most: int) -> list[Transformer]:
-    """Mode imputer and indexers of the category columns, from one count of all their values.
+    """Mode imputer, indexers and one-hot encoders of the category columns, from one count of all their values.
 
-    Raises, naming the columns no stage can be fitted on. Categories are counted exactly.
+    Columns of up to ``most`` categories are indexed by a list, the others by a table; vectors are alike.
+    Raises, naming the columns no stage can be fitted on, and with ``strict``, which needs a list.
     """
     known = F.when(elapsed_days(*DATE_COLUMNS).isNotNull(), "")
     counts = frequency_table(df.withColumn(ELAPSED, known), [*CATEGORY_COLUMNS, ELAPSED])
@@ -82,36 +82,51 @@ def fitted_categories(df: DataFrame, strict: bool, most: int) -> list[Transforme
     if empty:
         raise ValueError(f"cannot fit features: no values in {empty}")
     wide = [name for name in CATEGORY_COLUMNS if held[name] > most]
-    if wide:
+    if wide and strict:
         raise ValueError(f"cannot one-hot encode {wide}: more than {most} categories")
-    found: dict[str, dict[str | None, int]] = {name: {} for name in CATEGORY_COLUMNS}
-    for row in counts.where(F.col("column_name") != ELAPSED).collect():  # at most ``most`` for each column
+    narrow = [name for name in CATEGORY_COLUMNS if name not in wide]
+    found: dict[str, dict[str | None, int]] = {name: {} for name in narrow}
+    for row in counts.where(F.col("column_name").isin(narrow)).collect():  # at most ``most`` for each column
         found[row.column_name][row.value] = row.frequency
+    best = F.struct(-F.col("frequency"), "value")
+    many = counts.where(F.col("column_name").isin(wide) & F.col("value").isNotNull()).groupBy("column_name")
+    mode_of = {row.column_name: row.mode for row in many.agg(F.min_by("value", best).alias("mode")).collect()}
     modes, labels = [], []
     for name in CATEGORY_COLUMNS:
+        if name in wide:
+            modes.append(mode_of[name])
+            continue
         missing = found[name].pop(None, 0)
         mode = min(found[name], key=lambda value: (-found[name][value], value))
         found[name][mode] += missing
         modes.append(mode)
         labels.append(sorted(found[name], key=lambda value: (-found[name][value], value)))
-    imputed, indexed = prefixed(IMPUTED, CATEGORY_COLUMNS), prefixed(INDEXED, CATEGORY_COLUMNS)
+    imputed = prefixed(IMPUTED, CATEGORY_COLUMNS)
     imputer = ModeImputerModel(fillValues=modes).setInputCols(CATEGORY_COLUMNS).setOutputCols(imputed)
     invalid = "error" if strict else "keep"
     # one model for each column: a shared one would fill up the shorter lists of labels
     indexers = [
         StringIndexerModel.from_labels(own, name, output, invalid)
-        for own, name, output in zip(labels, imputed, indexed, strict=True)
+        for own, name, output in zip(labels, prefixed(IMPUTED, narrow), prefixed(INDEXED, narrow), strict=True)
     ]
-    return [imputer, *indexers]
+    encoders: list = []
+    if narrow:
+        encoders.append(OneHotEncoder(inputCols=prefixed(INDEXED, narrow), outputCols=prefixed(ENCODED, narrow)))
+    if wide:
+        # the mode has most rows without those of NULL, too, so imputing changes no place in the order
+        listed = write_table(counts.where(F.col("column_name").isin(wide)), "wide-categories", ("column_name",))
+        model = CategoryEncoderModel.from_counts(listed, names={name: IMPUTED + name for name in wide})
+        encoders.append(model.setInputCols(prefixed(IMPUTED, wide)).setOutputCols(prefixed(ENCODED, wide)))
+    return [imputer, *indexers, *encoders]
 
 
-def fit_features(train: DataFrame, strict: bool = False, max_categories: int = MAX_CATEGORIES) -> PipelineModel:
+def fit_features(train: DataFrame, strict: bool = False, max_categories: int = LISTED_CATEGORIES) -> PipelineModel:
     """Fit on training records only. Give a written table: counting, mean, IDF and scaler each make
-    a column-pruned pass of their own."""
-    imputer, *indexers = fitted_categories(train, strict, max_categories)
+    a column-pruned pass of their own. ``max_categories``: of a column whose index is kept as a list."""
+    imputer, *others = fitted_categories(train, strict, max_categories)
     stages: list = []
     for stage in feature_stages(strict):
-        fitted = {ModeImputer: [imputer], StringIndexer: indexers}
+        fitted = {ModeImputer: [imputer], StringIndexer: others, OneHotEncoder: []}
         stages += fitted.get(type(stage), [stage])
     return Pipeline(stages=stages).fit(train)
 

@@ -14,16 +14,20 @@ from pyspark.ml.util import (
     DefaultParamsWritable,
     DefaultParamsWriter,
 )
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from casebook.functions.columns import as_timestamp, elapsed_days
 from casebook.operators.frequency import (
     ROWS_PER_TASK,
+    attach_counts,
     encode_frequencies,
     fitted_modes,
     frequency_table,
     hot_by_column,
     impute_modes,
+    ranked_values,
 )
 from casebook.workspace import write_table
 
@@ -166,3 +170,105 @@ class FrequencyEncoderModel(Model, _Columns, _Unseen):
     @classmethod
     def read(cls) -> _TableReader:
         return _TableReader(cls)
+
+
+class CategoryEncoder(Estimator, _Columns):
+    """One-hot vectors of columns with any number of categories.
+
+    The index of the categories, by falling frequency, is a distributed table and no list in the model.
+    A value that is NULL or was not there at fitting gets the zero vector.
+    """
+
+    rowsPerTask = Param(
+        Params._dummy(),
+        "rowsPerTask",
+        "rows of one value that a task of the lookup may get",
+        typeConverter=TypeConverters.toInt,
+    )
+
+    @keyword_only
+    def __init__(
+        self,
+        *,
+        inputCols: list[str] | None = None,
+        outputCols: list[str] | None = None,
+        rowsPerTask: int = ROWS_PER_TASK,
+    ):
+        super().__init__()
+        self._setDefault(rowsPerTask=ROWS_PER_TASK)
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> CategoryEncoderModel:
+        counts = write_table(frequency_table(dataset, self.getInputCols()), "frequencies", ("column_name",))
+        return self._copyValues(CategoryEncoderModel.from_counts(counts, self.getOrDefault(self.rowsPerTask)))
+
+
+class _IndexWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.index.write.partitionBy("column_name").parquet(f"{path}/index")
+
+
+class _IndexReader(DefaultParamsReader):
+    def load(self, path: str) -> CategoryEncoderModel:
+        model = super().load(path)
+        schema = "value string, category_index long, size long, column_name string"
+        model.index = self.sparkSession.read.schema(schema).parquet(f"{path}/index")
+        return model
+
+
+class CategoryEncoderModel(Model, _Columns):
+    """The categories stay a distributed table: ``index(column_name, value, category_index, size)``."""
+
+    sizes = Param(
+        Params._dummy(), "sizes", "number of categories per column, as JSON", typeConverter=TypeConverters.toString
+    )
+    hotValues = Param(
+        Params._dummy(), "hotValues", "very frequent values per column and their join keys, as JSON", typeConverter=TypeConverters.toString
+    )
+
+    index: DataFrame
+
+    @keyword_only
+    def __init__(self, *, sizes: str | None = None, hotValues: str | None = None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    @classmethod
+    def from_counts(
+        cls, counts: DataFrame, rows_per_task: int = ROWS_PER_TASK, names: dict[str, str] | None = None
+    ) -> CategoryEncoderModel:
+        """From a written ``frequency_table``; names: under which input column each counted one is looked up."""
+        index = write_table(ranked_values(counts), "category-index", ("column_name",))
+        sizes = {row.column_name: row.n for row in index.groupBy("column_name").agg(F.max("size").alias("n")).collect()}
+        hot = hot_by_column(counts, rows_per_task)
+        if names:
+            index = index.replace(names, subset=["column_name"])
+            sizes, hot = ({names[name]: value for name, value in found.items()} for found in (sizes, hot))
+        model = cls(sizes=json.dumps(sizes), hotValues=json.dumps(hot))
+        model.index = index
+        return model
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        sizes, hot = (json.loads(self.getOrDefault(param)) for param in (self.sizes, self.hotValues))
+        for name, output in self._outputs().items():
+            size, place = sizes.get(name, 0), f"_{output}_index"
+            # places count from 1 in the lookup, so that 0 is for values without one
+            known = self.index.where(F.col("column_name") == name)
+            known = known.select("value", (F.col("category_index") + 1).alias("frequency"))
+            dataset = attach_counts(dataset, known, name, place, "zero", hot.get(name))
+            index = F.when(F.col(place) == 0, size).otherwise(F.col(place) - 1).cast("double")
+            nominal = {"ml_attr": {"type": "nominal", "num_vals": size + 1}}
+            dataset = dataset.withColumn(place, index).withMetadata(place, nominal)
+            # the number of categories is known from the column, so this fit reads no data
+            encoder = OneHotEncoder(inputCols=[place], outputCols=[output]).fit(dataset)
+            # slots need no names: a name for each of very many would fill the plan
+            dataset = encoder.transform(dataset).withMetadata(output, {"ml_attr": {"num_attrs": size}}).drop(place)
+        return dataset
+
+    def write(self) -> _IndexWriter:
+        return _IndexWriter(self)
+
+    @classmethod
+    def read(cls) -> _IndexReader:
+        return _IndexReader(cls)

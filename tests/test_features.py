@@ -6,10 +6,11 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from casebook.functions.vectors import stored
 from casebook.operators import frequency, text
 from casebook.plans.features import feature_stages, fit_features, fitted_categories
-from casebook.plans.stages import ElapsedDays, FrequencyEncoder, ModeImputer
-from casebook.schema import SCALED
+from casebook.plans.stages import CategoryEncoder, ElapsedDays, FrequencyEncoder, ModeImputer
+from casebook.schema import KEY, SCALED
 from casebook.sources.cases import cases
 from casebook.workspace import write_table
 
@@ -175,13 +176,39 @@ def test_unseen_category_and_null_are_scored(spark, records):
 
 
 def test_categories_are_counted_exactly(spark, records):
-    assert fit_features(records, max_categories=5)
+    assert fit_features(records, strict=True, max_categories=5)
     with pytest.raises(ValueError, match="submitted_via"):
-        fit_features(records, max_categories=4)
+        fit_features(records, strict=True, max_categories=4)
+
+
+def test_vectors_are_alike_whether_categories_are_listed_or_not(spark, records, tmp_path):
+    listed, tabled = (fit_features(records, max_categories=most) for most in (100, 1))
+    tabled.write().save(str(tmp_path / "model"))
+    odd = records.limit(2).withColumns({"company_response": F.lit("never seen"), "submitted_via": F.lit(None).cast("string")})
+    rows = records.withColumn("copy", F.lit(0)).unionByName(odd.withColumn("copy", F.lit(1)))
+    expected = {(row[KEY], row.copy): row.v for row in listed.transform(rows).select(KEY, "copy", vector_to_array(SCALED).alias("v")).collect()}
+    for model in (tabled, PipelineModel.load(str(tmp_path / "model"))):
+        found = model.transform(rows).select(KEY, "copy", vector_to_array(SCALED).alias("v")).collect()
+        assert len(found) == len(expected)
+        for row in found:
+            assert row.v == pytest.approx(expected[row[KEY], row.copy])
+
+
+def test_a_million_categories(spark):
+    """More than a list should hold: fitted and encoded, the frequent ones first."""
+    n = 1_000_000
+    rows = spark.range(n).select(F.concat(F.lit("c"), "id").alias("c")).union(spark.range(5).select(F.lit("often")))
+    model = CategoryEncoder(inputCols=["c"], outputCols=["v"], rowsPerTask=3).fit(rows)
+    asked = spark.createDataFrame([("often",), ("c0",), ("none",), (None,)], "c string")
+    found = {row.c: row.v for row in model.transform(asked).collect()}
+    assert {row.size for row in found.values()} == {n + 1}
+    assert found["often"].indices.tolist() == [0] and found["c0"].indices.tolist() == [1]
+    assert not len(found["none"].indices) and not len(found[None].indices)
+    assert model.transform(rows).select(F.size(stored("v")).alias("n")).agg(F.sum("n")).first()[0] == n + 5
 
 
 def test_categories_are_indexed_as_the_indexer_would(spark, records):
-    imputer, *indexers = fitted_categories(records, strict=False, most=100)
+    imputer, *indexers, _ = fitted_categories(records, strict=False, most=100)
     filled = ModeImputer(inputCols=imputer.getInputCols(), outputCols=imputer.getOutputCols()).fit(records).transform(records)
     for indexer in indexers:
         assert indexer.labels == StringIndexer(inputCol=indexer.getInputCol(), outputCol="i").fit(filled).labels
