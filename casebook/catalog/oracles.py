@@ -430,6 +430,12 @@ select complaint_id, cast(1 as bigint) as copies, true as same_as_batch from cas
     "encoded_categories": f"""with {CASES},
 {indexed(["submitted_via", "consumer_consent_provided", "issue"], "cases", "complaint_id")}
 select complaint_id, column_name, cast(idx as integer) as slot, 1.0::double as value from indexed where idx < indexed.size""",
+    "searched_forest": f"""with {CASES},
+folds as (
+  select cast(('0x' || substr(md5('fold ' || complaint_id), 1, 8))::bigint % 2 as integer) as fold, count(*) as n
+  from cases where {SHARE} < 70 group by 1)
+select depth, fold, n as row_count, true as f1_in_range, true as best_is_chosen
+from folds, (values (2), (5)) d(depth)""",
     "land_to_store": f"""with {CASES}
 select complaint_id, cast(2 as bigint) as copies, {day("date_received")} as date_received, issue, consumer_disputed
 from cases""",

@@ -651,6 +651,25 @@ def train_forest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@registered
+def searched_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of two forests on two folds, and whether the run was trained with the better one.
+
+    The scores have no SQL; the rows of the folds have.
+    """
+    run = TrainingRun(new_folder(spark, "search"))
+    records = write_table(cases(spark, folder), "records")
+    grid = [{"maxDepth": depth, "numTrees": 4} for depth in (2, 5)]
+    train(validate(records, run), run, grid=grid, folds=2)
+    scores = write_table(spark.read.parquet(run.path("search")), "scores")
+    means = scores.groupBy("params").agg(F.avg("f1").alias("mean"), F.max("chosen").alias("taken"))
+    best = means.agg(F.max("mean").alias("best"), F.max(F.when(F.col("taken"), F.col("mean"))).alias("own"))
+    right = best.select((F.col("own") == F.col("best")).alias("best_is_chosen"))
+    depth = F.get_json_object("params", "$.maxDepth").cast("int").alias("depth")
+    shown_scores = scores.select(depth, "fold", "row_count", F.col("f1").between(0.5, 1.0).alias("f1_in_range"))
+    return shown_scores.withColumn("best_is_chosen", right.scalar())
+
+
 def _known(scored: DataFrame) -> DataFrame:
     """Scored rows with, for the prediction, whether it is a label; the forest's choice has no SQL."""
     known = F.col(PREDICTED_LABEL).isin("Yes", "No").alias("known_label")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -12,6 +15,7 @@ from casebook.operators.promotion import append_report, latest_model, promotion_
 from casebook.operators.quality import accepted_rows, quarantine_columns, rejected_columns, require_columns
 from casebook.operators.sampling import split_frames, train_test_split
 from casebook.plans.features import fit_features, join_models
+from casebook.plans.search import search_forest
 from casebook.plans.training import dealt, fit_forest, fit_label_index, training_metrics, training_parts
 from casebook.schema import (
     KEY,
@@ -48,12 +52,18 @@ def validate(records: DataFrame, run: TrainingRun) -> DataFrame:
 
 
 def train(
-    accepted: DataFrame, run: TrainingRun, seed: int = 42, parts: int | None = None
+    accepted: DataFrame,
+    run: TrainingRun,
+    seed: int = 42,
+    parts: int | None = None,
+    grid: Sequence[dict[str, Any]] = (),
+    folds: int = 3,
 ) -> PipelineModel:
     """Fit on the training split, write vectors and metrics, return the model that takes raw records.
 
     ``seed`` and ``parts`` decide the forest and are recorded in the run's folder. Parts follow from the
-    number of training rows unless told otherwise.
+    number of training rows unless told otherwise. With a ``grid`` of parameters the forest is fitted with
+    those that cross-validation finds best; all scores are in the run's folder.
     """
     spark = accepted.sparkSession
     labelled = accepted.where(F.col(TARGET).isNotNull())
@@ -69,7 +79,13 @@ def train(
     training = dealt(training, KEY, parts)
     labels = fit_label_index(training)
     labels.write().overwrite().save(run.path("label_index"))
-    forest = fit_forest(training, labels, seed)
+    params: dict[str, Any] = {}
+    if grid:
+        params, scores = search_forest(training, labels, grid, folds, seed)
+        found = [(json.dumps(one.params, sort_keys=True), one.fold, one.row_count, one.f1, one.params == params) for one in scores]
+        found = spark.createDataFrame(found, "params string, fold int, row_count long, f1 double, chosen boolean")
+        found.coalesce(1).write.mode("overwrite").parquet(run.path("search"))
+    forest = fit_forest(training, labels, seed, **params)
     scored = forest.transform(vectors)
     training_metrics(scored).write.parquet(run.path("metrics"))
     return join_models(features, forest)

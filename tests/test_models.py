@@ -216,3 +216,29 @@ def test_layout_does_not_change_the_forest(spark, trained, tmp_path):
 
 def test_run_paths():
     assert TrainingRun("x").model == "x/model"
+
+
+def test_the_search_is_the_same_on_any_layout_and_finds_what_helps(spark):
+    """A forest of depth 1 cannot tell an exclusive or; the search takes the deeper one, however rows are laid out."""
+    import random
+
+    from pyspark.ml.feature import VectorAssembler
+
+    from casebook.plans import search, training
+    from casebook.schema import SCALED, TARGET
+
+    rng = random.Random(1)
+    values = [(str(k), rng.random(), rng.random()) for k in range(400)]
+    rows = spark.createDataFrame(values, "complaint_id string, x double, y double")
+    rows = rows.withColumn(TARGET, F.when((F.col("x") > 0.5) != (F.col("y") > 0.5), "Yes").otherwise("No"))
+    rows = VectorAssembler(inputCols=["x", "y"], outputCol=SCALED).transform(rows)
+    grid = [{"maxDepth": 1, "numTrees": 3}, {"maxDepth": 6, "numTrees": 3}]
+    found = []
+    for layout in (rows.repartition(2), rows.repartition(7).orderBy("x")):
+        dealt = training.dealt(layout, parts=4)
+        found.append(search.search_forest(dealt, training.fit_label_index(dealt), grid, folds=2))
+    assert found[0] == found[1]
+    chosen, scores = found[0]
+    assert chosen == grid[1] and len(scores) == 4
+    assert sum(score.row_count for score in scores) == 2 * 400
+    assert min(score.f1 for score in scores if score.params == grid[1]) > 0.85
