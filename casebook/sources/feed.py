@@ -170,8 +170,7 @@ def load_increment(
         return read_store(spark, store_path, years=years) if store_exists(spark, store_path) else usable.limit(0)
 
     new = unseen_records(usable, read_years, filters)
-    new = write_table(new, "unseen")
-    append_to_store(new, store_path, rebalance=True)
+    append_to_store(write_table(new, "unseen"), store_path, rebalance=True)
     return new
 
 
