@@ -14,7 +14,7 @@ def components(links: DataFrame) -> DataFrame:
     Each round takes the smallest label among neighbours, then the label's own label; written
     tables cut the lineage. The rounds grow with the logarithm of the longest path, usually.
     """
-    both = links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct()
+    both = links.select("a", "b").union(links.select("b", "a")).filter("a <> b")
     edges = write_table(both, "edges")
     labels = edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("a"), F.min("b")).alias("label"))
     labels = write_table(labels, "labels")

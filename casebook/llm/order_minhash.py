@@ -23,8 +23,10 @@ bucket of a key has a leader, the text that shares most buckets. First every tex
 of its buckets' leaders, one pair for each text. Then it meets the leaders of its buckets that are
 in other components. What buckets still hold apart, the texts of those with several components,
 is filtered by the bound for short texts: all their labelled shingles are counted, and only texts
-that share one of their rarest ones can be alike. In these narrower buckets one text after another
-leads, twice as many in each round, until every pair that is still apart has met.
+that share one of their rarest ones can be alike. So texts that have a passage in common, however
+many, drop out. Components that still share such a key are gathered into groups, and the texts of a
+group are compared in blocks of bounded size; there another bound comes first: texts cannot match in
+more shingles than they have in common, whatever the order.
 
 Texts of fewer than five words are one shingle of all their words. Null texts and those without
 words are no one's duplicates. Rows of equal key and text stay or go together. A null key's class
@@ -42,7 +44,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm.components import components
@@ -57,6 +59,9 @@ SKETCHES = 32
 LENGTH = 5
 #: Shingles up to which a text's candidates are found by its rarest shingles.
 SHORT = 20
+#: Texts and bytes of a block, about; a task compares two blocks.
+BLOCK_TEXTS = 1000
+BLOCK_BYTES = 1_500_000
 #: Shingles from which an alignment keeps places as lists instead of bits.
 LONG = 8192
 #: Hashes that a worker holds at a time.
@@ -301,6 +306,12 @@ def ordered_pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def labelled_by(ids: DataFrame, links: DataFrame) -> DataFrame:
+    """id and label of all texts by their first links."""
+    found = ids.join(components(links), "id", "left")
+    return write_table(found.select("id", F.coalesce("label", "id").alias("label")), "labels")
+
+
 def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     """id and label of all texts after more links; labels: id and label of all texts before."""
     if links.isEmpty():
@@ -334,33 +345,78 @@ def all_shingles(texts: DataFrame) -> DataFrame:
     return texts.select("id", "text").mapInArrow(rows, "id long, n long, few array<long>")
 
 
-def met_in_turns(members: DataFrame, labels: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """Links between texts that share a key, and the labels after them.
+def block_links(table: pa.Table, least: float = SIMILARITY) -> pa.Table:
+    """Links that join components of a block's texts, or of two blocks' texts to each other.
 
-    members: key, id and n. One text after another leads its key's bucket, in the order of ids: the first,
-    then the next two, the next four. A text meets the leaders before it that are in other components.
+    table: first and second (numbers of the blocks), block, id, label (its component) and text.
     """
-    order = Window.partitionBy("key").orderBy("id")
-    ranked = write_table(members.withColumn("rank", F.row_number().over(order)), "ranked")
-    found, met, first, width = None, None, 0, 1
-    while True:
-        here = write_table(still_apart(ranked, labels), "apart")
-        if here.filter(F.col("rank") > first + 1).isEmpty():
-            return found, labels
-        leads = here.filter((F.col("rank") > first) & (F.col("rank") <= first + width))
-        leads = leads.select("key", F.col("id").alias("lead"), F.col("n").alias("m"), F.col("rank").alias("r"), F.col("label").alias("own"))
-        pairs = here.join(leads, "key").filter((F.col("rank") > F.col("r")) & (F.col("label") != F.col("own")))
-        pairs = pairs.filter(alike_in_size("n", "m", least)).select(*ordered_pair("id", "lead")).distinct()
-        if met is not None:
-            pairs = pairs.join(met, ["a", "b"], "left_anti")
-        pairs = write_table(pairs, "pairs")
-        first, width = first + width, width * 2
-        if pairs.isEmpty():
+    ids, label, block = (table.column(name).to_numpy() for name in ("id", "label", "block"))
+    texts = table.column("text").to_pylist()
+    across = table.column("first")[0] != table.column("second")[0]
+    labels, bounds = shingle_labels(texts)
+    size = np.diff(bounds)
+    # bits of the labelled shingles that two texts have
+    _, number, times = np.unique(labels, return_inverse=True, return_counts=True)
+    column = (np.cumsum(times > 1) - 1)[number]
+    shared = (times > 1)[number]
+    bits = np.zeros((len(ids), int((times > 1).sum()) // 64 + 1), np.uint64)
+    owner = np.repeat(np.arange(len(ids)), size)[shared]
+    column = column[shared]
+    np.bitwise_or.at(bits, (owner, column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
+    _, component = np.unique(label, return_inverse=True)
+    cut: dict[int, list] = {}
+
+    def of(k: int) -> list:
+        if k not in cut:
+            cut[k] = shingled(texts[k])
+        return cut[k]
+
+    found: list[tuple[int, int, float]] = []
+    for x in range(len(ids) - 1):
+        other = component[x + 1 :] != component[x]
+        if across:
+            other &= block[x + 1 :] != block[x]
+        other = np.flatnonzero(other) + x + 1
+        needed = least * (size[other] + size[x]) / (1 + least) - 1e-9
+        other, needed = other[(size[other] >= needed) & (size[x] >= needed)], needed[(size[other] >= needed) & (size[x] >= needed)]
+        if not len(other):
             continue
-        links = write_table(linked(pairs, texts, least), "links")
-        labels = relabelled(labels, links)
-        found = links if found is None else found.union(links)
-        met = pairs if met is None else met.union(pairs)
+        common = np.bitwise_count(bits[other] & bits[x]).sum(axis=1)
+        for y in other[common >= needed][np.argsort(-common[common >= needed], kind="stable")].tolist():
+            if component[x] != component[y] and (value := similarity(of(x), of(y), least)):
+                component[component == component[y]] = component[x]
+                found.append((int(ids[x]), int(ids[y]), value))
+    return pa.Table.from_pylist([dict(zip(("a", "b", "similarity"), row, strict=True)) for row in found], LINKS)
+
+
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+
+
+def grouped_links(members: DataFrame, labels: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Links between texts that share a key and are in different components.
+
+    members: key and id. Components that share keys, directly or through others, make a group; the
+    texts of a group that have such a key are compared in blocks of bounded size.
+    """
+    here = write_table(still_apart(members.select("key", "id"), labels), "apart")
+    heads = here.groupBy("key").agg(F.min("label").alias("b"))
+    edges = here.join(heads, "key").select(F.col("label").alias("a"), "b").distinct()
+    groups = components(edges).select(F.col("id").alias("label"), F.col("label").alias("group"))
+    rows = here.select("id", "label").distinct().join(groups, "label").join(texts, "id")
+    rows = write_table(rows.select("group", "id", "label", "text"), "grouped")
+    sizes = rows.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    rows = rows.join(sizes.select("group", parts.alias("parts")), "group")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    # every text meets its own block and each other one
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pair = [F.least("block", "with").alias("first"), F.greatest("block", "with").alias("second")]
+    rows = rows.select("group", *pair, "block", "id", "label", "text")
+
+    def compare(table: pa.Table) -> pa.Table:
+        return block_links(table, least)
+
+    return rows.groupBy("group", "first", "second").applyInArrow(compare, "a long, b long, similarity double")
 
 
 def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -386,7 +442,6 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     if not rows.groupBy("doc_id", "content").count().filter("count > 1").isEmpty():
         texts = texts.dropDuplicates(["id"])
     texts = write_table(texts.select("id", "text"), "texts")
-    labels = degree.select("id", F.col("id").alias("label"))
     # one pair for each text: with the greatest of its buckets' leaders
     leaders = members.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id", "n")).alias("top"))
     candidates = members.join(leaders, "key").filter(F.col("id") != F.col("top.id"))
@@ -395,7 +450,7 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     best = candidates.groupBy("id").agg(F.max("top").alias("top")).select(*ordered_pair("id", "top.id")).distinct()
     best = write_table(best, "pairs")
     links = write_table(linked(best, texts, least), "links")
-    labels = relabelled(labels, links)
+    labels = labelled_by(degree.select("id"), links)
     # then with the leaders that are in other components
     others = candidates.select("id", F.col("top.id").alias("lead")).join(labels, "id")
     others = others.join(labels.select(F.col("id").alias("lead"), F.col("label").alias("own")), "lead")
@@ -409,8 +464,9 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     apart = write_table(still_apart(members, labels).select("id").distinct(), "apart")
     if not apart.isEmpty():
         few = write_table(all_shingles(texts.join(apart, "id", "left_semi")), "shingles")
-        more, labels = met_in_turns(rarest(few, least), labels, texts, least)
-        links = links if more is None else links.union(more)
+        more = write_table(grouped_links(write_table(rarest(few, least), "rarest"), labels, texts, least), "links")
+        labels = relabelled(labels, more)
+        links = links.union(more)
     found = equal.select("content", "id", "doc_id").join(labels, "id", "left")
     found = found.withColumn("label", F.coalesce("label", "id"))
     # the smallest key; of equal keys the smallest digest

@@ -112,8 +112,9 @@ def test_groups_of_near_copies_are_whole(spark, base):
     assert classes(found) == brute.near_classes(rows)
 
 
-def test_texts_that_no_leader_links_meet_in_turns(spark):
-    """None of the links between copies that are not like their buckets' leaders is lost."""
+def test_groups_are_compared_in_blocks(spark, monkeypatch):
+    """Copies that no leader links, in many blocks: none of the links across blocks is lost."""
+    monkeypatch.setattr(order_minhash, "BLOCK_TEXTS", 7)
     chance = random.Random(12)
     words = [f"w{chance.randrange(3000)}" for _ in range(300)]
     rows = [(k, edited(words, chance, 4)) for k in range(60)]
@@ -258,6 +259,39 @@ def test_awkward_rows_lose_what_is_repeated(spark, awkward, nothing):
     assert suffix_dedup.removed(nothing).count() == 0
 
 
+def test_a_hash_of_many_blocks(spark, monkeypatch):
+    """A passage that all documents have behind beginnings of their own: its hashes' windows are dealt one by one."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 5_000)
+    chance = random.Random(21)
+    passage = "".join(chance.choice("abcdefgh ") for _ in range(260))
+    tails = ["".join(chance.choice("xyz ") for _ in range(120)) for _ in range(30)]
+    rows = [(k, f"{chance.randrange(10**60)} {passage}{chance.choice(tails)}{k}") for k in range(400)]
+    docs = write_table(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), "passages")
+    found = suffix_dedup.removed(docs)
+    expected = brute.repeated_bytes(rows)
+    assert {row.doc_id: (row.n_bytes, row.n_removed, row.n_spans, row.kept_sha256) for row in found.collect()} == expected
+    keyed = docs.selectExpr("doc_id doc", "xxhash64(text) part", "text")
+    crowded = suffix_dedup.crowded_hashes(suffix_dedup.repeated_choices(keyed))
+    assert crowded.count() > 1
+    assert not [table.name for table in spark.catalog.listTables() if table.name.startswith("texts_")]
+
+
+def test_a_block_takes_bounded_memory():
+    """A block's arrays, at the most, for each byte of its contexts; contexts that share most of their bytes."""
+    chance = np.random.default_rng(22)
+    base = chance.integers(97, 117, 4000, np.uint8).tobytes()
+    contexts = []
+    for _ in range(suffix_dedup.BLOCK // 176):
+        at = int(chance.integers(0, len(base) - 176))
+        contexts.append(base[at : at + 88] + chance.integers(97, 117, 88, np.uint8).tobytes())
+    rank, start = np.arange(len(contexts)), np.zeros(len(contexts), np.int64)
+    tracemalloc.start()
+    suffix_dedup.repeats(contexts, rank, start)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150_000_000
+
+
 # Pipeline
 
 
