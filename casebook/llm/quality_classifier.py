@@ -1,15 +1,15 @@
 """A quality classifier: Naive Bayes support vectors.
 
 A text is the set of its n-grams: words, pairs of words, and triples of code points, hashed into
-``BUCKETS`` buckets. Over all labelled training rows each bucket gets the log of the ratio of its
+``BUCKETS`` buckets. Over the training rows each bucket gets the log of the ratio of its
 shares in good and in bad texts. Indicators scaled by these ratios, divided by their length, are what
 a linear model with hinge loss is fitted to by dual coordinate descent; its weights are drawn towards
 their mean magnitude. Margins become probabilities by a logistic curve, fitted to the margins of rows
 that were left out of a fit.
 
-Log-count ratios are counted over all labelled rows. The descent itself runs in one task over a sample:
-at most about ``ROWS`` training rows, picked by a digest of their keys, and at most ``ENTRIES``
-n-grams of them. This is the only part that does not see everything.
+The model is fitted to a sample of the labelled rows: about ``ROWS`` keys, picked by a digest, so that
+no text moves but theirs. Ratios are counted over all of the sample; the descent runs in one task, which
+sees at most ``ENTRIES`` n-grams of it. Every document is scored.
 
 A null or empty text has no n-grams and gets the score of the bias alone. Without training rows of
 both classes every score is the share of good ones among those there are, 0.5 without any. A key that
@@ -36,7 +36,7 @@ from casebook.workspace import write_table
 BUCKETS = 1 << 18
 #: Imagined texts of each class that have a bucket.
 SMOOTHING = 1.0
-#: Training rows, about, and n-grams of theirs, that the descent sees at most.
+#: Keys of training rows, about, and n-grams of theirs that the descent sees at most.
 ROWS = 10_000
 ENTRIES = 20_000_000
 #: Weight of the loss, passes over the rows, share of a weight that is its own, folds of the curve.
@@ -106,12 +106,17 @@ class Model:
         return 1 / (1 + np.exp(np.clip(-self.slope * margin - self.shift, -700, 700)))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and good (0 or 1) of the rows to learn from: labelled and not held out."""
+def labelled(docs: DataFrame, labels: DataFrame, limit: int = ROWS) -> DataFrame:
+    """doc_id, text and good (0 or 1) of the rows to learn from: labelled, not held out, and picked by a digest of the key.
+
+    Of up to ``limit`` labelled keys all are picked, else about so many: a list that every task can hold.
+    """
     known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id")
     known = known.agg(F.max((F.col("quality") > 0).cast("int")).alias("good"))
-    rows = docs.filter(~held_out(docs)).select("doc_id", "text")
-    return rows.join(known, "doc_id")
+    known = write_table(known.filter(~held_out(known)), "known-labels")
+    share = min(1.0, limit / max(known.count(), 1))
+    picked = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0)
+    return docs.select("doc_id", "text").join(F.broadcast(known.filter(picked)), "doc_id")
 
 
 def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -219,13 +224,6 @@ def fitted(x: list[np.ndarray], good: np.ndarray, ratio: np.ndarray) -> tuple[np
     return drawn(descent(x, values, y)), *curve(left_out, good)
 
 
-def sampled_rows(rows: DataFrame, n: float, limit: int = ROWS) -> DataFrame:
-    """The training rows that a digest of the key picks, about ``limit`` of ``n``."""
-    share = min(1.0, limit / max(n, 1))
-    picked = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
-    return rows.filter(picked)
-
-
 def fit(rows: DataFrame) -> Model:
     """Learn from doc_id, text and good (0 or 1) of training rows."""
     spark = rows.sparkSession
@@ -266,7 +264,7 @@ def fit(rows: DataFrame) -> Model:
         value = np.concatenate([weight[place[:-2]], [slope, shift]])
         yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(value)], names=["place", "value"])
 
-    sample = sampled_rows(rows, texts.sum()).select(F.xxhash64("doc_id").alias("place"), "text", "good")
+    sample = rows.select(F.xxhash64("doc_id").alias("place"), "text", "good")
     sets = write_table(sample.mapInArrow(cut, "place long, good int, buckets array<int>"), "sample")
     ordered = sets.repartition(1).sortWithinPartitions("place", "good", F.size("buckets"), F.xxhash64("buckets"))
     found = ordered.mapInArrow(learn, "place long, value double").toPandas()  # at most BUCKETS + 3 rows
