@@ -69,14 +69,23 @@ def unseen_records(
     The filters tell which years may hold which keys. ``read_years`` gives the store's records of some
     years (None: without a date); only those years are read, and of them only the keys that may be there
     are compared. A record whose year of receipt has changed since is found in the year it was stored under.
+    Give ``records`` as a written table. Keys are counted and compared alone; whole records move only where
+    their key is new, and copies are compared only where the records hold several of a new key.
     """
-    new = write_table(newest_copies(records, key, received), "slice")
-    maybe = write_table(filters.possible_years(new, key), "maybe-stored")
+    counted = records.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counted = write_table(counted, "keys")
+    maybe = write_table(filters.possible_years(counted, key), "maybe-stored")
     years = [row[YEAR] for row in maybe.select(YEAR).distinct().collect()]  # at most one for each year of the store
-    if not years:
-        return new
-    replayed = read_years(years).select(key).join(maybe.select(key).distinct(), key, "left_semi").distinct()
-    return new.join(replayed, key, "left_anti")
+    if years:
+        replayed = read_years(years).select(key).join(maybe.select(key).distinct(), key, "left_semi").distinct()
+        counted = write_table(counted.join(replayed, key, "left_anti"), "unseen-keys")
+    repeated = counted.where("_n > 1").select(key)
+    if years:
+        alone = records.join(counted.where("_n = 1").select(key), key, "left_semi")
+        alone = alone.unionByName(records.where(F.col(key).isNull()))
+    else:
+        alone = records.join(repeated, key, "left_anti")
+    return alone.unionByName(newest_copies(records.join(repeated, key, "left_semi"), key, received))
 
 
 def window_unit(from_date: date, to_date: date) -> str | None:

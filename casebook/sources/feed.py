@@ -18,6 +18,7 @@ PAYLOAD = "_source"
 BROKEN = "_broken"
 STORE_YEAR = "received_year"
 OTHER = "other_fields"
+_REASON, _RECORD = "_reason", "_record"
 
 # Feeds carry everything as text, so a bad date becomes NULL, and undeclared fields are kept by name.
 _ENVELOPE = T.StructType(
@@ -150,16 +151,19 @@ def load_increment(
     table with its reason; loading a feed again replaces what it had rejected. Records received
     from ``to_date`` on wait for a later run.
     """
-    elements = read_elements(spark, feed_path).withColumn("reason", rejection(first_date))
+    elements = read_elements(spark, feed_path).withColumn(_REASON, rejection(first_date))
     elements = elements.where(F.col(PAYLOAD).isNotNull() | F.col(BROKEN).isNotNull())
-    rejected = elements.where("reason IS NOT NULL").select(
-        "reason",
-        F.coalesce(BROKEN, F.to_json(PAYLOAD)).alias("record"),
-        F.when(F.col(BROKEN).isNull(), F.col(PAYLOAD)[KEY]).alias(KEY),
+    record = F.when(F.col(_REASON).isNotNull(), F.coalesce(BROKEN, F.to_json(PAYLOAD))).alias(_RECORD)
+    # texts are parsed once, for both tables
+    parsed = write_table(elements.select(_REASON, record, *records_of(elements)), "parsed")
+    rejected = parsed.where(F.col(_REASON).isNotNull()).select(
+        F.col(_REASON).alias("reason"),
+        F.col(_RECORD).alias("record"),
+        F.when(F.col(_REASON) != "broken", F.col(KEY)).alias(KEY),
     )
     feed = hashlib.sha256(feed_path.rstrip("/").encode()).hexdigest()
     rejected.write.mode("overwrite").parquet(f"{rejected_path(store_path)}/feed={feed}")
-    usable = elements.where("reason IS NULL").select(*records_of(elements))
+    usable = parsed.where(F.col(_REASON).isNull()).drop(_REASON, _RECORD)
     if to_date is not None:
         usable = usable.where(F.col(RECEIVED) < F.lit(to_date).cast("timestamp"))
 
@@ -170,7 +174,7 @@ def load_increment(
         return read_store(spark, store_path, years=years) if store_exists(spark, store_path) else usable.limit(0)
 
     new = unseen_records(usable, read_years, filters)
-    append_to_store(write_table(new, "unseen"), store_path, rebalance=True)
+    append_to_store(new, store_path, rebalance=True)
     return new
 
 

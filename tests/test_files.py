@@ -46,6 +46,19 @@ def test_full_filters_go_on_in_a_larger_generation(spark, tmp_path, monkeypatch)
     assert others < 100
 
 
+def test_one_large_append_gets_a_filter_of_its_size(spark, tmp_path, monkeypatch):
+    """More keys at once than a generation takes would fill its bits, and then any key may be anywhere."""
+    monkeypatch.setattr(key_filters, "BITMAPS", 1)
+    monkeypatch.setattr(key_filters, "CAPACITY", key_filters.BITS // key_filters.BITS_PER_KEY)
+    filters = KeyFilters(spark, str(tmp_path / "keys"))
+    for low, high in ((0, 20_000), (20_000, 21_000), (21_000, 23_000)):
+        filters.add(keyed(spark, range(low, high), 2019))
+    sizes = filters.rows().groupBy("generation").agg(F.sum("n_keys").alias("n"))
+    assert all(row.n <= key_filters.CAPACITY * 4**row.generation for row in sizes.collect())
+    assert filters.possible_years(keyed(spark, range(0, 23_000), 2000).select("complaint_id")).count() == 23_000
+    assert filters.possible_years(keyed(spark, range(23_000, 60_000), 2000).select("complaint_id")).count() < 10
+
+
 def test_null_keys_and_dates(spark, tmp_path):
     rows = spark.createDataFrame([(None, dt.datetime(2020, 1, 1)), ("a", None)], "complaint_id string, date_received timestamp")
     filters = KeyFilters(spark, str(tmp_path / "keys"))

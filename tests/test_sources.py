@@ -139,6 +139,26 @@ def test_slices_keep_records_without_a_key_apart(spark):
     assert increments.newest_copies(rows).count() == 3
 
 
+def test_a_load_keeps_the_newest_copy_of_new_keys_and_parses_once(spark, tmp_path, monkeypatch):
+    """Copies of new keys are compared, keys of the store are dropped, and the feed's text is read by one job."""
+    folder, store = tmp_path / "feed", str(tmp_path / "store")
+    folder.mkdir()
+    (folder / "a.json").write_text(element(complaint_id="1", date_received="2019-01-01", issue="old"))
+    feed.load_increment(spark, str(folder), store)
+    lines = [(1, "2021-01-01", "moved"), (2, "2020-01-01", "a"), (2, "2020-03-01", "c"), (2, "2020-03-01", "b"), (3, "2020-01-01", "d")]
+    (folder / "b.json").write_text("\n".join(element(complaint_id=str(k), date_received=d, issue=i) for k, d, i in lines))
+    read, plain = [], feed.read_elements
+    monkeypatch.setattr(feed, "read_elements", lambda *args: read.append(plain(*args)) or read[-1])
+    written = []
+    monkeypatch.setattr(feed, "write_table", lambda df, name, plain=feed.write_table: written.append(name) or plain(df, name))
+    new = feed.load_increment(spark, str(folder), store)
+    assert sorted((r.complaint_id, r.issue) for r in new.collect()) == [("2", "c"), ("3", "d")]
+    assert "FileScan json" not in new._jdf.queryExecution().executedPlan().toString()
+    assert (len(read), written) == (1, ["parsed"])
+    stored = feed.read_store(spark, store).collect()
+    assert sorted((r.complaint_id, r.issue) for r in stored) == [("1", "old"), ("2", "c"), ("3", "d")]
+
+
 def test_a_store_that_cannot_be_read_is_no_new_store(spark, tmp_path):
     (tmp_path / "store").mkdir()
     (tmp_path / "store" / "part-0.parquet").write_text("no parquet")
