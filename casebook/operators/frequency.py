@@ -98,7 +98,8 @@ def attach_counts(
         F.col("value").alias("_value"),
         F.col("frequency").alias("_frequency"),
     ).where(F.col("_value").isNotNull())
-    keyed = df.withColumn("_key", value_text(F.col(key), dict(df.dtypes)[key]))
+    kind = dict(df.dtypes)[key]
+    keyed = df.withColumn("_key", value_text(F.col(key), kind))
     matches: Column = F.col("_key") == F.col("_value")
     if hot:
 
@@ -114,7 +115,8 @@ def attach_counts(
         keyed = keyed.withColumn("_pick", pick)
         matches = matches & (F.col("_pick") == F.col("_copy"))
     joined = keyed.join(table, matches, "inner" if unseen == "drop" else "left")
-    kept = [name for name in df.columns if name != output]
+    # a text is its own key, which then moves once
+    kept = [F.col("_key").alias(name) if (name, kind) == (key, "string") else name for name in df.columns if name != output]
     return joined.select(*kept, F.coalesce("_frequency", F.lit(0)).alias(output))
 
 

@@ -38,14 +38,34 @@ def _each(words: str | Column) -> Column:
 
 
 def term_frequencies(df: DataFrame, key: str, column: str) -> DataFrame:
-    """Count of every word per record; ``key`` names one record."""
+    """Count of every word per record; ``key`` names one record.
+
+    A record's words are sorted and counted where it lies, so no words move. Only rows that share a key, or
+    lack one, are counted together.
+    """
+    repeated = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = write_table(repeated.where("_n > 1 OR _key IS NULL").select("_key"), "repeated-keys")
     words = tokenize(df.select(key, column), column)
-    return (
-        words.select(key, _each("words").alias("term"))
-        .where("term IS NOT NULL")
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    together = None
+    if not repeated.isEmpty():
+        same = F.col(key).eqNullSafe(F.col("_key"))
+        shared = words.join(repeated, same, "left_semi").select(key, _each("words").alias("term"))
+        shared = shared.where("term IS NOT NULL").groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+        together = write_table(shared, "shared-terms")
+        words = words.join(repeated, same, "left_anti")
+    ordered = words.select(key, F.sort_array("words").alias("words"))
+    # each is used twice, so Catalyst keeps the steps apart and computes it once
+    starts = F.transform("words", lambda word, i: F.when((i == 0) | (F.get("words", i - 1) != word), i))
+    ordered = ordered.select(key, "words", F.filter(starts, lambda start: start.isNotNull()).alias("starts"))
+    runs = F.transform(
+        "starts",
+        lambda start, i: F.struct(
+            F.get("words", start).alias("term"),
+            (F.coalesce(F.get("starts", i + 1), F.size("words")) - start).cast("long").alias("tf"),
+        ),
     )
+    own = ordered.select(key, F.inline_outer(runs)).where("term IS NOT NULL")
+    return own if together is None else own.unionByName(together)
 
 
 def document_frequencies(df: DataFrame, column: str) -> DataFrame:
