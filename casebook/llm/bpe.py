@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm.shipping import ship
-from casebook.llm.words import CHUNK, bpe_words, chunks, pieces
+from casebook.llm.words import CHUNK, Words, bpe_words, chunks, pieces
 
 #: Words and token pairs that a worker remembers; it forgets all when there are more.
 REMEMBERED = 150_000
@@ -145,7 +145,9 @@ class Codec:
             found[k] = tuple(tokens)
         return found
 
-    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
+    def encode_words(self, cut: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and for each of the distinct words where its own begin and how many they are."""
+        words = cut.distinct
         found = [self.known.get(word) for word in words]
         missing = [k for k, tokens in enumerate(found) if tokens is None]
         if len(self.known) + len(missing) > REMEMBERED:
@@ -154,7 +156,9 @@ class Codec:
             found[k] = tokens
             if len(self.known) < REMEMBERED:
                 self.known[words[k]] = tokens
-        return found
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        return flat, np.cumsum(sizes) - sizes, sizes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of every text."""
@@ -171,6 +175,8 @@ class Codec:
 def encode_texts(texts: list[str], encode_words, special: dict[str, int]) -> list[np.ndarray]:
     """Token ids of every text, from a function that encodes distinct words.
 
+    It returns ids, and for each word where its own begin and how many they are.
+
     The strings of special tokens in a text become those tokens, as the tokenizers library does.
     """
     parts: list[str] = []
@@ -194,10 +200,7 @@ def encode_texts(texts: list[str], encode_words, special: dict[str, int]) -> lis
     found: list[list[np.ndarray]] = [[] for _ in texts]
     for low, high in chunks(list(map(len, parts)), CHUNK):
         words = bpe_words(parts[low:high])
-        encoded = encode_words(words.distinct)
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
-        first = np.cumsum(sizes) - sizes
+        flat, first, sizes = encode_words(words)
         each = sizes[words.word]
         where = np.repeat(first[words.word] - (np.cumsum(each) - each), each)
         where += np.arange(len(where))

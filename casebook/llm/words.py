@@ -21,13 +21,28 @@ OTHER, LETTER, NUMBER, SPACE = range(4)
 
 @dataclass
 class Words:
-    """start, end: code points of each word. text: the row it stands in. word: its number."""
+    """start, end: code points of each word. text: the row it stands in. word: its number.
+
+    first: a span of each number. key: its hash, which different words may share. points: all code points.
+    """
 
     start: np.ndarray
     end: np.ndarray
     text: np.ndarray
     word: np.ndarray
-    distinct: list[str]
+    first: np.ndarray
+    key: np.ndarray
+    points: np.ndarray
+    joined: str
+
+    def strings(self, numbers: np.ndarray) -> list[str]:
+        """The words of these numbers."""
+        chosen = self.first[numbers]
+        return [self.joined[a:b] for a, b in zip(self.start[chosen].tolist(), self.end[chosen].tolist(), strict=True)]
+
+    @property
+    def distinct(self) -> list[str]:
+        return self.strings(np.arange(len(self.first)))
 
 
 @cache
@@ -96,42 +111,59 @@ def pieces(text: str, size: int = CHUNK) -> list[str]:
 
 def span_keys(points: np.ndarray, within: np.ndarray, first: np.ndarray) -> np.ndarray:
     """A hash of each span: of its code points, each with its place in the span."""
-    mixed = (points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = points.astype(np.uint64)
+    mixed += np.uint64(0x9E3779B97F4A7C15)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(29)
-    mixed *= within.astype(np.uint64) * np.uint64(2) + np.uint64(0x94D049BB133111EB)
-    mixed ^= mixed >> np.uint64(32)
+    places = within.astype(np.uint64)
+    places *= np.uint64(2)
+    places += np.uint64(0x94D049BB133111EB)
+    mixed *= places
+    mixed ^= np.right_shift(mixed, np.uint64(32), out=places)
     return np.add.reduceat(mixed, first)
 
 
 def numbered(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number of each span, equal for equal spans, and the first span of each number."""
+    return numbered_with_keys(points, start, end)[:2]
+
+
+def numbered_with_keys(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of each span, the first span of each number, and its hash."""
     if not len(start):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     length = end - start
     within = np.arange(length.sum(), dtype=np.int64)
     first_within = np.cumsum(length) - length
     within -= np.repeat(first_within, length)
-    own = points[within + np.repeat(start, length)]
-    _, first, number = np.unique(span_keys(own, within, first_within), return_index=True, return_inverse=True)
+    whole = start[0] == 0 and end[-1] == len(points) and (start[1:] == end[:-1]).all()
+    own = points if whole else points[within + np.repeat(start, length)]
+    keys = span_keys(own, within, first_within)
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.append(True, ranked[1:] != ranked[:-1])
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    first = np.minimum.reduceat(order, np.flatnonzero(new))
     like = first[number]
     if (length == length[like]).all():
         within += np.repeat(start[like], length)
         if np.array_equal(own, points[within]):
-            return number, first
+            return number, first, ranked[new]
     known: dict[bytes, int] = {}  # two spans share a hash: number them by their content
     number = np.fromiter(
         (known.setdefault(points[a:b].tobytes(), len(known)) for a, b in zip(start.tolist(), end.tolist(), strict=True)),
         np.int64,
         len(start),
     )
-    return number, np.unique(number, return_index=True)[1]
+    first = np.unique(number, return_index=True)[1]
+    return number, first, keys[first]
 
 
 def _collected(points: np.ndarray, begins: np.ndarray, joined: str, start: np.ndarray, end: np.ndarray) -> Words:
-    word, first = numbered(points, start, end)
-    distinct = [joined[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+    word, first, key = numbered_with_keys(points, start, end)
     text = np.searchsorted(begins, start, side="right") - 1
-    return Words(start, end, text, word, distinct)
+    return Words(start, end, text, word, first, key, points, joined)
 
 
 def runs(texts: list[str], inside: np.ndarray) -> Words:
@@ -164,7 +196,7 @@ def bpe_words(texts: list[str]) -> Words:
     points, begins = to_points(texts)
     n = len(points)
     if not n:
-        return Words(*[np.zeros(0, np.int64)] * 4, [])
+        return _collected(points, begins, "", *[np.zeros(0, np.int64)] * 2)
     kind = bpe_classes()[points]
     edge = np.zeros(n + 1, bool)
     edge[begins] = True

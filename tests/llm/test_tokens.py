@@ -11,6 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from casebook.llm import library as library_module
 from casebook.llm import bpe, token_files, token_rollups, words
 from casebook.llm.library import byte_bpe_path, library, many_languages_path
 from casebook.llm.queries import QUERIES
@@ -173,6 +174,29 @@ def test_a_very_long_text_without_a_blank(tokenizer):
     assert bpe.codec(byte_bpe_path()).encode([text])[0].tolist() == expected
 
 
+def test_words_met_again_are_encoded_once(tokenizer, monkeypatch):
+    """Words that occur once fill the memory; they do not push out those that every batch has."""
+    monkeypatch.setattr(library_module, "REMEMBERED", 60)
+    code, given = library_module.Library(byte_bpe_path()), []
+    plain = code.run
+    monkeypatch.setattr(code, "run", lambda found: given.extend(found) or plain(found))
+    for k in range(30):
+        text = "these five words stay known" + "".join(f" only{'abcdefghij'[k % 10]}x{'klmnopqrst'[n]}{'uvw'[k // 10]}" for n in range(10))
+        assert code.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert [given.count(word) for word in ("these", " five", " words", " stay", " known")] == [1] * 5
+    assert code.remembered.uses.size <= 60
+
+
+def test_remembered_words_of_one_hash_are_told_apart(tokenizer, monkeypatch):
+    monkeypatch.setattr(words, "span_keys", lambda points, within, first: points[first].astype(np.uint64) % np.uint64(3))
+    monkeypatch.setattr(library_module, "REMEMBERED", 20)
+    code = library_module.Library(byte_bpe_path())
+    for k in range(8):
+        texts = [f"a word and other words, {'x' * n} of them'll do été 日本 {k * n}" for n in range(1, 5)]
+        expected = [found.ids for found in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [ids.tolist() for ids in code.encode(texts)] == expected
+
+
 def test_awkward_rows_are_written(spark, awkward, nothing):
     found = token_files.written_and_read(spark, awkward, byte_bpe_path()).orderBy("start").collect()
     assert [row.doc_id for row in found] == [None, 1, 2, 3, 4, 5, 5, 5, 6, 7, 8, 9]
