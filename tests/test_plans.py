@@ -146,3 +146,16 @@ def test_ranks_do_not_pass_the_driver_and_equal_a_window(spark):
     for row in found.collect():
         value = values[row.id][row.column_name]
         assert row.category_index == (3 if value is None else ranks[row.column_name, str(value)])
+
+
+def test_inputs_are_scored_from_the_written_cases(spark, monkeypatch):
+    """The case view is joined once, for training: each further time sends its lookup tables through the driver."""
+    from casebook.catalog import queries
+
+    queries._trained(spark, SF)
+
+    def joined_again(*_):
+        raise AssertionError("cases were joined again")
+
+    monkeypatch.setattr(queries, "cases", joined_again)
+    assert REGISTERED["scored_archive"](spark, SF).count() + REGISTERED["diverted_input"](spark, SF).count() == 1500
