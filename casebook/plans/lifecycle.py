@@ -25,6 +25,7 @@ from casebook.schema import (
     TARGET,
     TRAINING_COLUMNS,
 )
+from casebook.workspace import ROWS_PER_FILE, in_many_tasks
 
 
 @dataclass(frozen=True)
@@ -41,16 +42,18 @@ class TrainingRun:
         return self.path("model")
 
 
+@in_many_tasks
 def validate(records: DataFrame, run: TrainingRun) -> DataFrame:
     """Quarantine the rejected columns, check the contract, write and return the accepted rows."""
     rejected = rejected_columns(records)
     accepted = require_columns(accepted_rows(records, rejected), TRAINING_COLUMNS, rejected)
     if rejected:
         quarantine_columns(records, rejected).write.mode("append").parquet(run.path("quarantine"))
-    accepted.write.parquet(run.path("accepted"))
+    accepted.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(run.path("accepted"))
     return records.sparkSession.read.schema(accepted.schema).parquet(run.path("accepted"))
 
 
+@in_many_tasks
 def train(
     accepted: DataFrame,
     run: TrainingRun,
@@ -70,7 +73,7 @@ def train(
     tagged = train_test_split(labelled)
     features = fit_features(tagged.where("split = 'train'"))
     vectors = features.transform(tagged).select(KEY, SCALED, TARGET, "split")
-    vectors.write.partitionBy("split").parquet(run.path("vectors"))
+    vectors.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("split").parquet(run.path("vectors"))
     vectors = spark.read.parquet(run.path("vectors"))
     training = vectors.where("split = 'train'")
     parts = parts or training_parts(training.count())
@@ -106,6 +109,7 @@ def compare(
     return promotion_gate(scored, TARGET, "candidate", "champion" if champion else None, margin, floor)
 
 
+@in_many_tasks
 def run_training(records: DataFrame, folder: str, report: str, seed: int = 42) -> TrainingRun:
     """The whole run. The champion is the newest accepted model of the report table."""
     run = TrainingRun(folder)

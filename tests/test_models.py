@@ -4,12 +4,12 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from casebook.operators import metrics, promotion
-from casebook.plans import scoring, training
+from casebook.plans import lifecycle, scoring, training
 from casebook.plans.lifecycle import TrainingRun, compare, run_training
 from casebook.schema import KEY, PREDICTED_LABEL, SCORING_COLUMNS
 from casebook.sources.cases import cases
 from casebook.streaming.scoring import score_stream
-from casebook.workspace import write_table
+from casebook.workspace import LEAST_TASKS, in_many_tasks, write_table
 
 SF = "/root/testdata/sf0.001"
 PAIRS = [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 1.0), (0.0, 0.0), (2.0, 1.0)]
@@ -114,6 +114,22 @@ def test_runs_leave_their_artifacts(spark, trained):
     assert len(values) == 22 and values["test", "f1"] > 0.8
 
 
+def test_passes_over_accepted_rows_have_several_tasks_for_each_core(spark, tmp_path, monkeypatch):
+    """Files that are packed into one task for each core, and one more, cost every pass a second round."""
+    seen = []
+    rejected = lifecycle.rejected_columns
+    monkeypatch.setattr(lifecycle, "rejected_columns", lambda df: seen.append(spark.conf.get(LEAST_TASKS)) or rejected(df))
+    monkeypatch.setattr(lifecycle, "ROWS_PER_FILE", 50)
+    records = write_table(cases(spark, SF), "model-records", rows_per_file=50)
+    accepted = lifecycle.validate(records, TrainingRun(str(tmp_path)))
+    tasks = in_many_tasks(lambda df: [df.rdd.getNumPartitions(), len(df.inputFiles())])
+    cores = spark.sparkContext.defaultParallelism
+    assert seen == [str(4 * cores)] and spark.conf.get(LEAST_TASKS, None) is None
+    for table in (records, accepted):
+        held, files = tasks(table)
+        assert held >= 3 * cores and files >= 30 and table.count() == 1500
+
+
 def test_report_names_champion_and_candidate(spark, trained):
     _, first, second, report = trained
     rows = spark.read.schema(promotion.REPORT_SCHEMA).parquet(report).orderBy("evaluated_at").collect()
