@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm.shipping import ship
-from casebook.llm.words import CHUNK, Words, bpe_words, chunks, pieces
+from casebook.llm.words import CHUNK, Words, bpe_words, by_chunks, chunks, pieces
 
+#: Code points that are encoded at a time; the words remembered serve all chunks.
+ENCODED = 400_000
 #: Words and token pairs that a worker remembers; it forgets all when there are more.
 REMEMBERED = 150_000
 PAIRS = 600_000
@@ -162,7 +164,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of every text."""
-        return encode_texts(texts, self.encode_words, self.special)
+        return encode_texts(texts, self.encode_words, self.special, ENCODED)
 
     def decode(self, tokens: np.ndarray) -> bytes:
         """The text of the ids, as UTF-8; bytes that are no UTF-8 become U+FFFD."""
@@ -172,10 +174,10 @@ class Codec:
         return self.flat[where].tobytes().decode("utf-8", "replace").encode()
 
 
-def encode_texts(texts: list[str], encode_words, special: dict[str, int]) -> list[np.ndarray]:
+def encode_texts(texts: list[str], encode_words, special: dict[str, int], size: int = CHUNK) -> list[np.ndarray]:
     """Token ids of every text, from a function that encodes distinct words.
 
-    It returns ids, and for each word where its own begin and how many they are.
+    It returns ids, and for each word where its own begin and how many they are. size: code points at a time.
 
     The strings of special tokens in a text become those tokens, as the tokenizers library does.
     """
@@ -193,12 +195,12 @@ def encode_texts(texts: list[str], encode_words, special: dict[str, int]) -> lis
                     for k, part in enumerate(whole.split(string))
                 ]
         for part, then in rest:
-            cut = pieces(part)
+            cut = pieces(part, size)
             parts += cut
             owner += [row] * len(cut)
             after += [-1] * (len(cut) - 1) + [then]
     found: list[list[np.ndarray]] = [[] for _ in texts]
-    for low, high in chunks(list(map(len, parts)), CHUNK):
+    for low, high in chunks(list(map(len, parts)), size):
         words = bpe_words(parts[low:high])
         flat, first, sizes = encode_words(words)
         each = sizes[words.word]
@@ -229,18 +231,19 @@ def encode_decode(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(vocabulary)
-        for batch in batches:
-            texts = [value or "" for value in batch.column(1).to_pylist()]
-            for low, high in chunks(list(map(len, texts))):
-                tokens = code.encode(texts[low:high])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, high - low),
-                        pa.array([ids.astype("<u4").tobytes() for ids in tokens], pa.binary()),
-                        pa.array([code.decode(ids) for ids in tokens], pa.binary()).cast(pa.string()),
-                    ],
-                    names=[key, "ids", "decoded"],
-                )
+
+        def both(rows: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+            tokens = code.encode(texts)
+            return pa.RecordBatch.from_arrays(
+                [
+                    rows.column(0),
+                    pa.array([ids.astype("<u4").tobytes() for ids in tokens], pa.binary()),
+                    pa.array([code.decode(ids) for ids in tokens], pa.binary()).cast(pa.string()),
+                ],
+                names=[key, "ids", "decoded"],
+            )
+
+        return by_chunks(batches, 1, both, ENCODED)
 
     schema = f"`{key}` {df.schema[key].dataType.simpleString()}, ids binary, decoded string"
     return df.select(key, text).mapInArrow(rows, schema)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm.shipping import ship
-from casebook.llm.words import all_points, chunks, point_table, run_spans, to_points
+from casebook.llm.words import all_points, by_chunks, chunks, point_table, run_spans, to_points
 
 BUCKETS = 1 << 16
 #: Cost of a change of language, in units of log-likelihood.
@@ -38,6 +38,8 @@ SMOOTHING = 0.5
 #: Languages that a model holds at most; each has BUCKETS numbers in every worker.
 LANGUAGES = 200
 UNKNOWN = "und"
+#: Letters scored at a time; each has a number for every language.
+SCORED = 1 << 16
 
 #: Scripts by Unicode property; letters of others are counted together.
 SCRIPTS = (
@@ -152,21 +154,17 @@ def fit(docs: DataFrame) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs: dict[str, int] = {}
         total: list[np.ndarray] = []
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            names = batch.column(1).to_pylist()
-            for low, high in chunks(list(map(len, texts))):
-                own = np.array([langs.setdefault(name, len(langs)) for name in names[low:high]], np.int64)
-                while len(total) < len(langs):
-                    total.append(np.zeros(BUCKETS + OTHER + 1, np.int64))
-                found, _ = letters(texts[low:high])
-                lang = own[found.text]
-                of_letter = np.repeat(lang, found.size)
-                for k in np.unique(lang).tolist():
-                    total[k][:BUCKETS] += np.bincount(found.bucket[of_letter == k], minlength=BUCKETS)
-                    mine = lang == k
-                    scripts = np.bincount(found.script[mine], weights=found.size[mine], minlength=OTHER + 1)
-                    total[k][BUCKETS:] += scripts.astype(np.int64)
+        for names, found in by_chunks(batches, 0, lambda rows, texts: (rows.column(1).to_pylist(), letters(texts)[0])):
+            own = np.array([langs.setdefault(name, len(langs)) for name in names], np.int64)
+            while len(total) < len(langs):
+                total.append(np.zeros(BUCKETS + OTHER + 1, np.int64))
+            lang = own[found.text]
+            of_letter = np.repeat(lang, found.size)
+            for k in np.unique(lang).tolist():
+                total[k][:BUCKETS] += np.bincount(found.bucket[of_letter == k], minlength=BUCKETS)
+                mine = lang == k
+                scripts = np.bincount(found.script[mine], weights=found.size[mine], minlength=OTHER + 1)
+                total[k][BUCKETS:] += scripts.astype(np.int64)
         for name, k in langs.items():
             place = np.flatnonzero(total[k])
             yield pa.RecordBatch.from_arrays(
@@ -196,7 +194,11 @@ def word_scores(model: Model, found: Letters) -> tuple[np.ndarray, np.ndarray]:
     """
     if not len(found.first):
         return np.zeros((0, len(model.langs)), np.float32), np.zeros(0, bool)
-    score = np.add.reduceat(model.score[found.bucket], found.first, axis=0)
+    score = np.empty((len(found.first), model.score.shape[1]), np.float32)
+    for low, high in chunks(found.size.tolist(), SCORED):
+        begin = found.first[low]
+        bucket = found.bucket[begin : found.first[high - 1] + found.size[high - 1]]
+        score[low:high] = np.add.reduceat(model.score[bucket], found.first[low:high] - begin, axis=0)
     allowed = model.uses[found.script]
     known = allowed.any(axis=1)
     score = np.where(allowed, score, np.float32(-1e6))
@@ -275,20 +277,15 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     ship(spark)
     shared = spark.sparkContext.broadcast(model)  # BUCKETS numbers for each language
 
+    def predicted(rows: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+        langs, score, spans = labelled(shared.value, texts)
+        return pa.RecordBatch.from_arrays(
+            [rows.column(0), pa.array(langs, pa.string()), pa.array(score), spans],
+            names=["doc_id", "lang_pred", "score", "spans"],
+        )
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            for low, high in chunks(list(map(len, texts))):
-                langs, score, spans = labelled(shared.value, texts[low:high])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, high - low),
-                        pa.array(langs, pa.string()),
-                        pa.array(score),
-                        spans,
-                    ],
-                    names=["doc_id", "lang_pred", "score", "spans"],
-                )
+        return by_chunks(batches, 1, predicted)
 
     key = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {key}, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
@@ -302,13 +299,12 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
+    def good(rows: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+        langs, score, _ = labelled(shared.value, texts)
+        return rows.filter(pa.array(((np.array(langs, object) != UNKNOWN) & (score >= least)).astype(bool)))
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [text or "" for text in batch.column(at).to_pylist()]
-            for low, high in chunks(list(map(len, texts))):
-                langs, score, _ = labelled(shared.value, texts[low:high])
-                good = (np.array(langs, object) != UNKNOWN) & (score >= least)
-                yield batch.slice(low, high - low).filter(pa.array(good.astype(bool)))
+        return by_chunks(batches, at, good)
 
     return docs.mapInArrow(rows, docs.schema)
 

@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from casebook.llm.components import components
 from casebook.llm.quality_rules import word_points
 from casebook.llm.shipping import ship
-from casebook.llm.words import chunks, numbered, run_spans, to_points
+from casebook.llm.words import by_chunks, numbered, run_spans, to_points
 from casebook.workspace import write_table
 
 SHINGLE = 5
@@ -143,28 +143,28 @@ def sketched(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     longest = int(SHORT / least + 1e-9)
     ship(docs.sparkSession)
 
+    def sketches(rows: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+        labels, bounds = shingle_labels(texts)
+        size = np.diff(bounds)
+        keys = [sketch(labels[a:b]) for a, b in zip(bounds, bounds[1:], strict=False) if b > a]
+        flat = np.concatenate([np.zeros(0, np.int64), *keys])
+        offsets = np.concatenate([[0], np.cumsum((size > 0) * SKETCHES)]).astype(np.int32)
+        short = size <= longest
+        few = labels[np.repeat(short, size)].view(np.int64)
+        ends = np.concatenate([[0], np.cumsum(size * short)]).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [
+                rows.column(0),
+                rows.column(1),
+                pa.array(size.astype(np.int64)),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(few)),
+            ],
+            names=["doc_id", "content", "n", "keys", "few"],
+        )
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [text or "" for text in batch.column(2).to_pylist()]
-            for low, high in chunks(list(map(len, texts))):
-                labels, bounds = shingle_labels(texts[low:high])
-                size = np.diff(bounds)
-                keys = [sketch(labels[a:b]) for a, b in zip(bounds, bounds[1:], strict=False) if b > a]
-                flat = np.concatenate([np.zeros(0, np.int64), *keys])
-                offsets = np.concatenate([[0], np.cumsum((size > 0) * SKETCHES)]).astype(np.int32)
-                short = size <= longest
-                few = labels[np.repeat(short, size)].view(np.int64)
-                ends = np.concatenate([[0], np.cumsum(size * short)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, high - low),
-                        batch.column(1).slice(low, high - low),
-                        pa.array(size.astype(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(few)),
-                    ],
-                    names=["doc_id", "content", "n", "keys", "few"],
-                )
+        return by_chunks(batches, 2, sketches)
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, content binary, n long, keys array<long>, few array<long>"
     return docs.select("doc_id", digest(F.col("text")).alias("content"), "text").mapInArrow(rows, schema)
@@ -284,15 +284,15 @@ def linked(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
 
+    def compared(rows: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+        others = rows.column(3).to_pylist()
+        found = [similarity(shingled(x), shingled(y), least) for x, y in zip(texts, others, strict=True)]
+        value = pa.array(found, pa.float64())
+        both = pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), value], names=["a", "b", "similarity"])
+        return both.filter(pa.array([x > 0 for x in found], pa.bool_()))
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [
-                similarity(shingled(x), shingled(y), least)
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            ]
-            value = pa.array(found, pa.float64())
-            both = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), value], names=["a", "b", "similarity"])
-            yield both.filter(pa.array([x > 0 for x in found], pa.bool_()))
+        return by_chunks(batches, 2, compared)
 
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return joined.mapInArrow(rows, "a long, b long, similarity double")
@@ -333,14 +333,13 @@ def still_apart(members: DataFrame, labels: DataFrame) -> DataFrame:
 def all_shingles(texts: DataFrame) -> DataFrame:
     """id, n and few (all labelled shingles) of some texts."""
 
+    def shingles(rows: pa.RecordBatch, own: list[str]) -> pa.RecordBatch:
+        labels, bounds = shingle_labels(own)
+        few = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(labels.view(np.int64)))
+        return pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(bounds).astype(np.int64)), few], names=["id", "n", "few"])
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = batch.column(1).to_pylist()
-            for low, high in chunks(list(map(len, own))):
-                labels, bounds = shingle_labels(own[low:high])
-                few = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(labels.view(np.int64)))
-                columns = [batch.column(0).slice(low, high - low), pa.array(np.diff(bounds).astype(np.int64)), few]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "few"])
+        return by_chunks(batches, 1, shingles)
 
     return texts.select("id", "text").mapInArrow(rows, "id long, n long, few array<long>")
 

@@ -6,15 +6,19 @@ numbered by a hash that is then checked point by point, so equal numbers always
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Code points handled at a time; bounds a worker's memory. A longer text makes a chunk of its own.
 CHUNK = 1_500_000
+#: Code points of spans that are hashed and compared at a time.
+HASHED = 1 << 18
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 
@@ -87,6 +91,23 @@ def chunks(lengths: list[int], size: int = CHUNK) -> Iterator[tuple[int, int]]:
         yield low, len(lengths)
 
 
+def by_chunks[T](
+    batches: Iterator[pa.RecordBatch], column: int, work: Callable[[pa.RecordBatch, list[str]], T], size: int = CHUNK
+) -> Iterator[T]:
+    """``work`` of the rows of each chunk and their texts (null: empty).
+
+    Only a chunk's texts are strings at a time. A batch is let go before the next is read, and what
+    Arrow kept of its memory given back: workers live on beside the stages that follow.
+    """
+    for batch in batches:
+        lengths = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_pylist()
+        for low, high in chunks(lengths, size):
+            rows = batch.slice(low, high - low)
+            yield work(rows, [text or "" for text in rows.column(column).to_pylist()])
+        batch = rows = None
+        pa.default_memory_pool().release_unused()
+
+
 def pieces(text: str, size: int = CHUNK) -> list[str]:
     """A long text cut before single blanks between other characters, where no token spans.
 
@@ -123,6 +144,24 @@ def span_keys(points: np.ndarray, within: np.ndarray, first: np.ndarray) -> np.n
     return np.add.reduceat(mixed, first)
 
 
+def _places(start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every place in the spans, its place within its span, and where each span begins among them."""
+    first = np.cumsum(length) - length
+    within = np.arange(length.sum(), dtype=np.int64)
+    within -= np.repeat(first, length)
+    return within + np.repeat(start, length), within, first
+
+
+def _block_keys(points: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    place, within, first = _places(start, length)
+    return span_keys(points[place], within, first)
+
+
+def _block_same(points: np.ndarray, start: np.ndarray, other: np.ndarray, length: np.ndarray) -> bool:
+    """Whether the spans from ``start`` are those from ``other``."""
+    return np.array_equal(points[_places(start, length)[0]], points[_places(other, length)[0]])
+
+
 def numbered(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number of each span, equal for equal spans, and the first span of each number."""
     return numbered_with_keys(points, start, end)[:2]
@@ -133,12 +172,8 @@ def numbered_with_keys(points: np.ndarray, start: np.ndarray, end: np.ndarray) -
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     length = end - start
-    within = np.arange(length.sum(), dtype=np.int64)
-    first_within = np.cumsum(length) - length
-    within -= np.repeat(first_within, length)
-    whole = start[0] == 0 and end[-1] == len(points) and (start[1:] == end[:-1]).all()
-    own = points if whole else points[within + np.repeat(start, length)]
-    keys = span_keys(own, within, first_within)
+    blocks = list(chunks(length.tolist(), HASHED))
+    keys = np.concatenate([_block_keys(points, start[low:high], length[low:high]) for low, high in blocks])
     order = np.argsort(keys)
     ranked = keys[order]
     new = np.append(True, ranked[1:] != ranked[:-1])
@@ -146,10 +181,10 @@ def numbered_with_keys(points: np.ndarray, start: np.ndarray, end: np.ndarray) -
     number[order] = np.cumsum(new) - 1
     first = np.minimum.reduceat(order, np.flatnonzero(new))
     like = first[number]
-    if (length == length[like]).all():
-        within += np.repeat(start[like], length)
-        if np.array_equal(own, points[within]):
-            return number, first, ranked[new]
+    if (length == length[like]).all() and all(
+        _block_same(points, start[low:high], start[like[low:high]], length[low:high]) for low, high in blocks
+    ):
+        return number, first, ranked[new]
     known: dict[bytes, int] = {}  # two spans share a hash: number them by their content
     number = np.fromiter(
         (known.setdefault(points[a:b].tobytes(), len(known)) for a, b in zip(start.tolist(), end.tolist(), strict=True)),
