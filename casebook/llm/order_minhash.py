@@ -21,8 +21,9 @@ Equal texts are one class from the start. Others are compared step by step, so t
 are in proportion to the texts and what is in one component already is not compared again. Each
 bucket of a key has a leader, the text that shares most buckets. First every text meets the greatest
 of its buckets' leaders, one pair for each text. Then it meets the leaders of its buckets that are
-in other components. What buckets still hold apart, the texts of those with several components,
-is filtered by the bound for short texts: all their labelled shingles are counted, and only texts
+in other components. What buckets still hold apart, the texts of those that have several components
+without their leader, whom all have met, is filtered by the bound for short texts: all their
+labelled shingles are counted, and only texts
 that share one of their rarest ones can be alike. So texts that have a passage in common, however
 many, drop out. Components that still share such a key are gathered into groups, and the texts of a
 group are compared in blocks of bounded size; there another bound comes first: texts cannot match in
@@ -35,7 +36,6 @@ has the smallest known key of its class, else null.
 
 from __future__ import annotations
 
-import re
 from array import array
 from bisect import bisect_left
 from collections import Counter
@@ -43,14 +43,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.llm.components import components
 from casebook.llm.quality_rules import word_points
 from casebook.llm.shipping import ship
-from casebook.llm.words import by_chunks, numbered, run_spans, to_points
+from casebook.llm.words import HASHED, by_chunks, run_spans, span_keys, to_points
 from casebook.workspace import write_table
 
 SHINGLE = 5
@@ -66,8 +65,9 @@ BLOCK_BYTES = 1_500_000
 LONG = 8192
 #: Hashes that a worker holds at a time.
 HASHES = 1 << 21
+#: Ranks of a text that are looked at for its smallest ones, about.
+NEAR = 16
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _random = np.random.default_rng(20_240_501)
 _SEEDS = _random.integers(1, 1 << 63, SKETCHES, np.uint64)
 _ODDS = _random.integers(1, 1 << 63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -87,52 +87,116 @@ def folded(columns: list[np.ndarray]) -> np.ndarray:
     return total
 
 
+def word_hashes(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each word's code points, each with its place in the word; words in text order.
+
+    What stands between words is hashed with them and left out of the sums, so that nothing is gathered.
+    """
+    found = np.empty(len(start), np.uint64)
+    low = 0
+    while low < len(start):
+        high = max(low + 1, int(np.searchsorted(end, start[low] + HASHED, side="right")))
+        first, last, own = start[low], end[high - 1], start[low:high]
+        within = np.arange(last - first) - np.repeat(own - first, np.diff(own, append=last))
+        edges = np.stack([own, end[low:high]], axis=1).ravel()[:-1] - first
+        found[low:high] = span_keys(points[first:last], within, edges)[::2]
+        low = high
+    return mix(found)
+
+
 def shingle_labels(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all occurrence-labelled shingles in text order, and where each text's begin."""
     points, begins = to_points(texts)
     start, end = run_spans(points, begins, word_points())
-    text = np.searchsorted(begins, start, side="right") - 1
-    word, first = numbered(points, start, end)
-    joined = "".join(texts)
-    spans = zip(start[first].tolist(), end[first].tolist(), strict=True)
-    hashes = np.array([xxhash.xxh3_64_intdigest(joined[a:b].encode()) for a, b in spans], np.uint64)
-    own = hashes[word] if len(word) else np.zeros(0, np.uint64)
-    size = np.bincount(text, minlength=len(texts))
-    low = np.cumsum(size) - size
-    whole = np.arange(max(0, len(own) - SHINGLE + 1))
-    whole = whole[text[whole] == text[whole + SHINGLE - 1]]
-    shingles = folded([own[whole + k] for k in range(SHINGLE)])
-    owner = text[whole]
-    short = np.flatnonzero((size > 0) & (size < SHINGLE))
-    if len(short):
-        few = [folded([own[[low[k] + j]] for j in range(size[k])]) for k in short]
-        shingles = np.concatenate([shingles, *few])
-        owner = np.concatenate([owner, short])
-    order = np.lexsort((shingles, owner))
-    same = np.zeros(len(order), bool)
-    same[1:] = (shingles[order][1:] == shingles[order][:-1]) & (owner[order][1:] == owner[order][:-1])
-    place = np.arange(len(order))
-    opened = np.maximum.accumulate(np.where(same, 0, place)) if len(order) else place
-    before = np.empty(len(order), np.uint64)
-    before[order] = place - opened
-    labels = mix(shingles + before * np.uint64(0xD6E8FEB86659FD93))
-    by_text = np.argsort(owner, kind="stable")
-    return labels[by_text], np.searchsorted(owner[by_text], np.arange(len(texts) + 1))
+    own = word_hashes(points, start, end)
+    low = np.searchsorted(start, begins)
+    size, low = np.diff(low), low[:-1]
+    text = np.repeat(np.arange(len(texts)), size)
+    n = max(0, len(own) - SHINGLE + 1)
+    inside = text[:n] == text[len(text) - n :]
+    shingles = folded([own[k : k + n] for k in range(SHINGLE)])[inside]
+    owner = text[:n][inside]
+    if ((size > 0) & (size < SHINGLE)).any():
+        for words in range(1, SHINGLE):
+            short = np.flatnonzero(size == words)
+            shingles = np.concatenate([shingles, folded([own[low[short] + k] for k in range(words)])])
+            owner = np.concatenate([owner, short])
+        by_text = np.argsort(owner, kind="stable")
+        shingles, owner = shingles[by_text], owner[by_text]
+    labels = mix(shingles + earlier(shingles, owner) * np.uint64(0xD6E8FEB86659FD93))
+    return labels, np.searchsorted(owner, np.arange(len(texts) + 1))
+
+
+def earlier(shingles: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """How often each shingle stands earlier in its text; only those that may stand there twice are put in order."""
+    before = np.zeros(len(shingles), np.uint64)
+    keys = mix(shingles ^ owner.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+    ranked = np.sort(keys)
+    several = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
+    if len(several):
+        found = np.minimum(np.searchsorted(several, keys), len(several) - 1)
+        places = np.flatnonzero(several[found] == keys)
+        places = places[np.lexsort((shingles[places], owner[places]))]
+        same = np.zeros(len(places), bool)
+        same[1:] = (shingles[places][1:] == shingles[places][:-1]) & (owner[places][1:] == owner[places][:-1])
+        count = np.arange(len(places))
+        before[places] = count - np.maximum.accumulate(np.where(same, 0, count))
+    return before
 
 
 def sketch(labels: np.ndarray) -> np.ndarray:
     """The hashes of all sketches of one text."""
-    n, found = len(labels), []
-    step = max(1, HASHES // n)
-    for low in range(0, SKETCHES, step):
-        seeds, odds = _SEEDS[low : low + step, None], _ODDS[low : low + step, None]
-        if n > LENGTH:
-            ranks = (labels ^ seeds) * odds
-            chosen = np.sort(np.argpartition(ranks, LENGTH - 1, axis=1)[:, :LENGTH], axis=1)
-        else:
-            chosen = np.broadcast_to(np.arange(n), (len(seeds), n))
-        found.append(folded([seeds[:, 0], *(labels[chosen[:, k]] for k in range(chosen.shape[1]))]))
-    return np.concatenate(found).view(np.int64)
+    return text_sketches(labels, np.array([0, len(labels)]))[0]
+
+
+def text_sketches(labels: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The hashes of all sketches of texts that have shingles, a row for each text.
+
+    The smallest ranks of a text are found among those under a limit, which about ``NEAR`` of its ranks
+    are; where fewer than ``LENGTH`` are, among all.
+    """
+    low, size = bounds[:-1], np.diff(bounds)
+    found = np.empty((len(size), SKETCHES), np.uint64)
+    for n in range(1, LENGTH + 1):
+        few = np.flatnonzero(size == n)
+        chosen = [np.broadcast_to(labels[low[few] + k, None], (len(few), SKETCHES)) for k in range(n)]
+        found[few] = folded([np.broadcast_to(_SEEDS, (len(few), SKETCHES)), *chosen])
+    many = np.flatnonzero(size > LENGTH)
+    limit = np.full(len(size), np.iinfo(np.uint64).max, np.uint64)
+    large = size > NEAR
+    limit[large] = (2.0**64 * NEAR / size[large]).astype(np.uint64)
+    limits = np.repeat(limit, size)
+    for k, (seed, odd) in enumerate(zip(_SEEDS, _ODDS, strict=True)):
+        places, ranks = ranks_within(labels, limits, seed, odd)
+        first = np.searchsorted(places, low[many])
+        n = np.searchsorted(places, bounds[1:][many]) - first
+        enough = n >= LENGTH
+        at = np.empty((len(many), LENGTH), np.int64)
+        column = np.arange(n.max(initial=0))
+        grid = np.minimum(first[enough, None] + column, len(ranks) - 1)
+        grid = np.where(column < n[enough, None], ranks[grid], np.iinfo(np.uint64).max)
+        at[enough] = places[first[enough, None] + least_places(grid)] if enough.any() else 0
+        for row in np.flatnonzero(~enough):
+            own = labels[low[many[row]] : bounds[many[row] + 1]]
+            at[row] = low[many[row]] + least_places(((own ^ seed) * odd)[None, :])[0]
+        found[many, k] = folded([np.full(len(many), seed), *(labels[at[:, j]] for j in range(LENGTH))])
+    return found.view(np.int64)
+
+
+def ranks_within(labels: np.ndarray, limits: np.ndarray, seed: np.uint64, odd: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Places and ranks of the labels whose ranks are at most their limits."""
+    places, ranks = [], []
+    for low in range(0, len(labels), HASHES):
+        rank = (labels[low : low + HASHES] ^ seed) * odd
+        place = np.flatnonzero(rank <= limits[low : low + HASHES])
+        places.append(place + low)
+        ranks.append(rank[place])
+    return np.concatenate([np.zeros(0, np.int64), *places]), np.concatenate([np.zeros(0, np.uint64), *ranks])
+
+
+def least_places(ranks: np.ndarray) -> np.ndarray:
+    """Where the ``LENGTH`` smallest ranks of each row are, in order."""
+    return np.sort(np.argpartition(ranks, LENGTH - 1, axis=1)[:, :LENGTH], axis=1)
 
 
 def sketched(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -146,8 +210,7 @@ def sketched(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     def sketches(rows: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
         labels, bounds = shingle_labels(texts)
         size = np.diff(bounds)
-        keys = [sketch(labels[a:b]) for a, b in zip(bounds, bounds[1:], strict=False) if b > a]
-        flat = np.concatenate([np.zeros(0, np.int64), *keys])
+        flat = text_sketches(labels, np.append(bounds[:-1][size > 0], bounds[-1])).ravel()
         offsets = np.concatenate([[0], np.cumsum((size > 0) * SKETCHES)]).astype(np.int32)
         short = size <= longest
         few = labels[np.repeat(short, size)].view(np.int64)
@@ -174,6 +237,11 @@ def digest(text: Column) -> Column:
     return F.unhex(F.md5(F.encode(text, "UTF-8")))
 
 
+def shared(keyed: DataFrame, size: str) -> DataFrame:
+    """The rows whose key is in several rows, with that number. Rows are sent by their keys once and not joined to counts."""
+    return keyed.withColumn(size, F.count("*").over(Window.partitionBy("key"))).filter(F.col(size) > 1)
+
+
 def rarest(equal: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """id, n and key of the rarest labelled shingles of each text in ``few``; similar texts share one.
 
@@ -181,17 +249,16 @@ def rarest(equal: DataFrame, least: float = SIMILARITY) -> DataFrame:
     n - ``least`` * n + 1 first ones in common, in one order for all texts, are not similar.
     Shingles of a single text come first in the order and make no keys.
     """
-    few = equal.select("id", "n", F.explode("few").alias("key"))
-    often = few.groupBy("key").agg(F.count("*").alias("often")).filter("often > 1")
+    few = shared(equal.select("id", "n", F.explode("few").alias("key")), "often")
     order = F.array_sort(F.collect_list(F.struct("often", "key")))
-    shared = few.join(often, "key").groupBy("id", "n").agg(order.alias("order"))
+    ordered = few.groupBy("id", "n").agg(order.alias("order"))
     first = F.col("n") - F.ceil(least * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("order"))
     taken = F.slice("order", 1, F.greatest(first, F.lit(0)).cast("int"))
-    return shared.select("id", "n", F.explode(F.transform(taken, lambda x: x["key"])).alias("key"))
+    return ordered.select("id", "n", F.explode(F.transform(taken, lambda x: x["key"])).alias("key"))
 
 
-def shingled(text: str) -> list[tuple[str, ...]]:
-    words = WORD.findall(text)
+def shingled(text: str) -> list[tuple[bytes, ...]]:
+    words = text.encode("utf-8", "surrogatepass").split()  # at the blanks of ``word_points``
     if len(words) < SHINGLE:
         return [tuple(words)] if words else []
     return list(zip(*(words[k:] for k in range(SHINGLE)), strict=False))
@@ -432,19 +499,22 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
     equal = write_table(equal.withColumn("id", F.monotonically_increasing_id()), "equal-texts")
     keyed = equal.select("id", "n", F.explode("keys").alias("key"))
     keyed = keyed.union(write_table(rarest(equal, least), "rarest"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    members = write_table(keyed.join(shared, "key"), "buckets")
+    members = write_table(shared(keyed, "size"), "buckets")
     degree = write_table(members.groupBy("id").agg(F.sum("size").alias("degree")), "degrees")
     chosen = equal.join(degree, "id", "left_semi").select("id", "content", F.col("doc_id").alias("own_id"))
-    texts = docs.select("doc_id", digest(F.col("text")).alias("content"), "text").join(chosen, "content")
+    chosen = write_table(chosen, "chosen")
+    # four bytes a text are few enough to leave most others where they lie; what is left meets the whole digest
+    hashes = write_table(chosen.select(F.hash("content").alias("hash")).distinct(), "hashes")
+    texts = docs.select("doc_id", digest(F.col("text")).alias("content"), "text").withColumn("hash", F.hash("content"))
+    texts = texts.join(hashes, "hash", "left_semi").drop("hash").join(chosen, "content")
     texts = texts.filter(F.col("doc_id").eqNullSafe(F.col("own_id")))
     if not rows.groupBy("doc_id", "content").count().filter("count > 1").isEmpty():
         texts = texts.dropDuplicates(["id"])
     texts = write_table(texts.select("id", "text"), "texts")
     # one pair for each text: with the greatest of its buckets' leaders
     leaders = members.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id", "n")).alias("top"))
-    candidates = members.join(leaders, "key").filter(F.col("id") != F.col("top.id"))
-    candidates = candidates.filter(alike_in_size("n", "top.n", least)).select("id", "top").distinct()
+    led = write_table(members.join(leaders, "key").filter(F.col("id") != F.col("top.id")), "led")
+    candidates = led.filter(alike_in_size("n", "top.n", least)).select("id", "top").distinct()
     candidates = write_table(candidates, "candidates")
     best = candidates.groupBy("id").agg(F.max("top").alias("top")).select(*ordered_pair("id", "top.id")).distinct()
     best = write_table(best, "pairs")
@@ -459,8 +529,8 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
         more = write_table(linked(others, texts, least), "links")
         labels = relabelled(labels, more)
         links = links.union(more)
-    # texts of buckets that are still apart, by their rarest shingles
-    apart = write_table(still_apart(members, labels).select("id").distinct(), "apart")
+    # texts of buckets that are still apart, by their rarest shingles; each has met its buckets' leaders
+    apart = write_table(still_apart(led.select("key", "id"), labels).select("id").distinct(), "apart")
     if not apart.isEmpty():
         few = write_table(all_shingles(texts.join(apart, "id", "left_semi")), "shingles")
         more = write_table(grouped_links(write_table(rarest(few, least), "rarest"), labels, texts, least), "links")

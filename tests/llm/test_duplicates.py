@@ -1,10 +1,13 @@
 """Near-duplicates, repeated bytes, components and the pipeline."""
 
+import itertools
 import random
 import tracemalloc
 
 import brute
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -13,6 +16,7 @@ import corpus_pipeline
 from casebook.llm import components, order_minhash, suffix_dedup
 from casebook.llm.library import byte_bpe_path
 from casebook.llm.queries import QUERIES
+from casebook.llm.words import to_points
 from casebook.workspace import write_table
 
 SF = "/root/testdata/sf0.001"
@@ -81,6 +85,44 @@ def test_long_texts_are_sketched_in_parts(monkeypatch):
     assert (order_minhash.sketch(labels) == whole).all()
 
 
+def plain_sketch(labels):
+    """All ranks of all sketches, sorted."""
+    found = []
+    for seed, odd in zip(order_minhash._SEEDS, order_minhash._ODDS, strict=True):
+        chosen = np.sort(np.argsort((labels ^ seed) * odd)[: order_minhash.LENGTH])
+        found.append(order_minhash.folded([np.array([seed]), *(labels[[place]] for place in chosen)])[0])
+    return np.array(found).view(np.int64)
+
+
+def test_sketches_of_a_chunk_equal_plain_ones(spark, monkeypatch):
+    """Texts of every size, with repeats, all sketched in a number of steps that does not grow with the texts."""
+    chance = random.Random(9)
+    texts = [" ".join(f"w{chance.randrange(900)}" for _ in range(k % 60)) for k in range(900)]
+    texts += ["a b a b a b a b a b a", "x " * 70, "é\x00 日本 🙂 a b c d", " \t", "", " ".join(f"w{k}" for k in range(3000))]
+    steps = []
+    plain = order_minhash.folded
+    monkeypatch.setattr(order_minhash, "folded", lambda columns: steps.append(1) or plain(columns))
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, work, schema: work)
+    keys = pa.array(range(len(texts)))
+    batch = pa.RecordBatch.from_arrays([keys, keys, pa.array(texts)], names=["doc_id", "content", "text"])
+    (found,) = order_minhash.sketched(docs)(iter([batch]))
+    assert len(steps) < 100
+    for text, n, own in zip(texts, found.column(2).to_pylist(), found.column(3).to_pylist(), strict=True):
+        labels, _ = order_minhash.shingle_labels([text])
+        assert n == len(labels) == len(order_minhash.shingled(text)) == len(set(labels.tolist()))
+        assert own == (plain_sketch(labels).tolist() if n else [])
+
+
+def test_words_have_hashes_of_their_own():
+    """Over all words of the given texts, and words made of the same letters."""
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])
+    words = {word for text in table.column("text").to_pylist() for word in (text or "").split()}
+    words |= {"".join(letters) for letters in itertools.product("ab", repeat=12)} | {"a" * n for n in range(1, 300)}
+    points, begins = to_points(list(words))
+    assert len(np.unique(order_minhash.word_hashes(points, begins[:-1], begins[1:]))) == len(words) > 20_000
+
+
 def classes(found):
     return {row.doc_id: row.class_id for row in found.collect()}
 
@@ -170,6 +212,23 @@ def test_pairs_stay_in_proportion_to_texts(spark, monkeypatch):
     assert compared[400] < 6 * compared[100] and compared[400] < 8 * 400
 
 
+def test_texts_that_met_are_not_looked_at_again(spark, monkeypatch):
+    """Pairs that share sketches and are not alike: the one is its buckets' leader, so nothing is left to find."""
+    looked = []
+    plain = order_minhash.all_shingles
+    monkeypatch.setattr(order_minhash, "all_shingles", lambda texts: looked.append(texts.count()) or plain(texts))
+    rows = []
+    for k in range(30):
+        words = [f"p{k}w{j}" for j in range(100)]
+        rows += [" ".join(words), " ".join([*words[:80], *(f"q{k}w{j}" for j in range(20))])]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert order_minhash.similarity(*(order_minhash.shingled(text) for text in rows[:2]), 0.6) > 0.6
+    sketches = [order_minhash.sketch(order_minhash.shingle_labels([text])[0]) for text in rows[:2]]
+    assert (sketches[0] == sketches[1]).any()
+    assert classes(order_minhash.deduplicated(docs)) == {k: k for k in range(60)}
+    assert looked == []
+
+
 def test_awkward_rows_have_classes(awkward, nothing):
     found = order_minhash.deduplicated(awkward).collect()
     assert len(found) == awkward.count()
